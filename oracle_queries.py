@@ -269,5 +269,138 @@ SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS parti
     return q
 
 
+
+
+# --- Bronze landing fixture (dirty events as text) ------------------------------------
+
+BRONZE = f"""
+bz_base AS (
+  SELECT event_id, ts, user_id, event_type, value FROM events
+  UNION ALL
+  SELECT event_id, ts + INTERVAL 1 HOUR, user_id, event_type, value + 1.0 FROM events WHERE event_id % 131 = 0
+),
+bronze AS (
+  SELECT CAST(b.event_id AS VARCHAR) AS transaction_id,
+         CASE WHEN b.event_id % 107 = 0 THEN 'not-a-time'
+              WHEN b.event_id % 2 = 1 THEN strftime(b.ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+              ELSE strftime(b.ts, '%Y-%m-%dT%H:%M:%SZ') END AS "timestamp",
+         CASE WHEN b.event_id % 97 = 0 THEN NULL ELSE 'store-' || CAST(b.user_id AS VARCHAR) END AS store_id,
+         COALESCE(sr.region, 'Central') AS region,
+         'P-' || b.event_type AS product_id,
+         b.event_type AS product_name,
+         b.event_type AS category,
+         CASE WHEN b.event_id % 109 = 0 THEN '0' ELSE '1' END AS quantity,
+         CAST(b.value AS VARCHAR) AS unit_price,
+         CAST(CASE WHEN b.event_id % 127 = 0 THEN NULL WHEN b.event_id % 113 = 0 THEN CAST(1.5 AS DOUBLE)
+                   ELSE CAST(0.0 AS DOUBLE) END AS VARCHAR) AS discount_pct,
+         CAST(CASE WHEN b.event_id % 103 = 0
+                   THEN 0.0 - (CASE WHEN b.event_id % 101 = 0 THEN CAST(0.0 AS DOUBLE) ELSE b.value END)
+                   WHEN b.event_id % 101 = 0 THEN CAST(0.0 AS DOUBLE) ELSE b.value END AS VARCHAR) AS total_amount,
+         'card' AS payment_method,
+         'cust-' || CAST(b.user_id AS VARCHAR) AS customer_id,
+         CAST(b.event_id % 17 = 0 AS VARCHAR) AS is_return,
+         b.ts AS arrival
+  FROM bz_base b LEFT JOIN {STORE_REGIONS} ON 'store-' || CAST(b.user_id AS VARCHAR) = sr.store_id
+),
+typed AS (
+  SELECT transaction_id,
+         COALESCE(TRY_STRPTIME("timestamp", '%Y-%m-%dT%H:%M:%S.%fZ'),
+                  TRY_STRPTIME("timestamp", '%Y-%m-%dT%H:%M:%SZ')) AS "timestamp",
+         store_id, region, product_id, product_name, category,
+         TRY_CAST(quantity AS INTEGER) AS quantity,
+         TRY_CAST(unit_price AS DOUBLE) AS unit_price,
+         TRY_CAST(discount_pct AS DOUBLE) AS discount_pct,
+         TRY_CAST(total_amount AS DOUBLE) AS total_amount,
+         payment_method, customer_id,
+         TRY_CAST(is_return AS BOOLEAN) AS is_return,
+         "timestamp" AS raw_time
+  FROM bronze
+),
+validated AS (
+  SELECT transaction_id,
+         list_filter([
+           {", ".join(f"CASE WHEN {f} IS NULL THEN 'Missing field: {f}' END" for f in
+                      ["transaction_id", '"timestamp"', "store_id", "product_id", "total_amount", "quantity", "category"])},
+           CASE WHEN COALESCE(TRY_CAST(total_amount AS DOUBLE), -1.0) <= 0
+                THEN 'Invalid total_amount: ' || COALESCE(total_amount, 'None') END,
+           CASE WHEN COALESCE(TRY_CAST(quantity AS DOUBLE), -1.0) <= 0
+                THEN 'Invalid quantity: ' || COALESCE(quantity, 'None') END,
+           CASE WHEN COALESCE(TRY_CAST(discount_pct AS DOUBLE), -1.0) < 0
+                  OR COALESCE(TRY_CAST(discount_pct AS DOUBLE), -1.0) > 1
+                THEN 'Discount out of range: ' || COALESCE(discount_pct, 'None') END
+         ], lambda x: x IS NOT NULL) AS errors
+  FROM bronze
+),
+scored AS (
+  SELECT COUNT(*) AS records, COUNT(*) FILTER (WHERE len(errors) = 0) AS valid_records,
+         CASE WHEN COUNT(*) > 0 THEN CAST(COUNT(*) FILTER (WHERE len(errors) = 0) AS DOUBLE) / COUNT(*) ELSE 0.0 END
+           AS quality_score
+  FROM validated
+),
+verdict AS (
+  SELECT CASE WHEN records = 0 THEN 'NO_DATA' WHEN quality_score < 0.95 THEN 'QUALITY_FAIL' ELSE 'OK' END AS status,
+         quality_score, records, records - valid_records AS invalid_records, CAST(0.95 AS DOUBLE) AS threshold
+  FROM scored
+)"""
+
+TYPED_COLS = ('transaction_id, "timestamp", store_id, region, product_id, product_name, category, quantity, '
+              'unit_price, discount_pct, total_amount, payment_method, customer_id, is_return')
+
+
+def with_bronze(body: str) -> str:
+    return f"WITH {BRONZE},{silver_cte('bsilver', f'(SELECT {TYPED_COLS} FROM typed)')},{gold_ctes('gb', 'bsilver')}\n{body}"
+
+
+def bronze_ops() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["bronze_scan"] = with_bronze("SELECT * EXCLUDE (arrival) FROM bronze")
+    q["typed_transactions"] = with_bronze(f"SELECT {TYPED_COLS} FROM typed")
+    q["drop_critical_nulls"] = with_bronze(
+        f'SELECT {TYPED_COLS} FROM typed WHERE transaction_id IS NOT NULL AND "timestamp" IS NOT NULL '
+        "AND store_id IS NOT NULL AND product_id IS NOT NULL AND total_amount IS NOT NULL")
+    q["valid_amounts"] = with_bronze(f"SELECT {TYPED_COLS} FROM typed WHERE total_amount > 0 AND NOT isnan(total_amount)")
+    q["cleaning_report"] = with_bronze(f"""
+, flagged AS (SELECT transaction_id, ({CLEAN}) AS ok FROM typed)
+SELECT COUNT(*) AS raw_rows, COUNT(*) FILTER (WHERE ok) AS clean_rows,
+       COUNT(*) - COUNT(*) FILTER (WHERE ok) AS dropped_quality,
+       COUNT(DISTINCT CASE WHEN ok THEN transaction_id END) AS silver_rows,
+       COUNT(*) FILTER (WHERE ok) - COUNT(DISTINCT CASE WHEN ok THEN transaction_id END) AS dropped_duplicates
+FROM flagged""")
+    q["dead_letter"] = with_bronze("""
+SELECT transaction_id, raw_time AS raw_timestamp,
+       CASE WHEN transaction_id IS NULL OR store_id IS NULL OR product_id IS NULL OR total_amount IS NULL
+                 OR raw_time IS NULL THEN 'missing_field'
+            WHEN "timestamp" IS NULL THEN 'bad_timestamp'
+            ELSE 'invalid_amount' END AS error_type
+FROM typed
+WHERE transaction_id IS NULL OR store_id IS NULL OR product_id IS NULL OR total_amount IS NULL OR raw_time IS NULL
+   OR "timestamp" IS NULL OR NOT (total_amount > 0) OR isnan(total_amount)""")
+    q["silver_roundtrip"] = with_bronze("SELECT * FROM bsilver")
+    q["gold_roundtrip"] = with_bronze("SELECT * FROM gb_product")
+    q["dq_validate"] = with_bronze("""
+SELECT transaction_id, len(errors) = 0 AS is_valid, CAST(len(errors) AS INTEGER) AS error_count,
+       array_to_string(errors, '; ') AS errors_text FROM validated""")
+    q["dq_score"] = with_bronze("SELECT * FROM scored")
+    q["dq_error_log"] = with_bronze("""
+SELECT COALESCE(transaction_id, 'unknown') AS record_id, array_to_string(errors, '; ') AS errors_text
+FROM validated WHERE len(errors) > 0""")
+    q["dq_error_counts"] = with_bronze("""
+, e AS (SELECT unnest(errors) AS error FROM validated WHERE len(errors) > 0)
+SELECT CASE WHEN starts_with(error, 'Missing field') THEN error ELSE split_part(error, ':', 1) END AS rule,
+       COUNT(*) AS records
+FROM e GROUP BY 1""")
+    q["dq_gate"] = with_bronze("SELECT * FROM verdict")
+    q["dq_metrics"] = with_bronze("""
+SELECT 'QualityScore' AS metric_name, quality_score AS metric_value, 'None' AS unit, 'Bronze' AS zone FROM scored
+UNION ALL
+SELECT 'SampledRecords', CAST(records AS DOUBLE), 'Count', 'Bronze' FROM scored""")
+    q["dq_alerts"] = with_bronze("""
+SELECT status, CASE WHEN status = 'NO_DATA' THEN 'WARNING: no new Bronze data'
+                    ELSE 'ALERT: Bronze quality below threshold, ETL stopped' END AS subject,
+       quality_score, records, invalid_records, threshold
+FROM verdict WHERE status <> 'OK'""")
+    return q
+
+
 def all_queries() -> dict[str, str]:
-    return {**kpis(), **reports(), **silver_ops()}
+    return {**kpis(), **reports(), **silver_ops(), **bronze_ops()}

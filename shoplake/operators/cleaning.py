@@ -144,3 +144,24 @@ __all__ = [
     "valid_amounts", "sales_only", "dedup_latest", "to_silver", "bronze_to_silver", "cleaning_report",
     "silver_preview", "line_totals", "pricing_errors", "clean_rule",
 ]
+
+
+def reject_reasons(bronze: DataFrame) -> DataFrame:
+    """Rows that cleaning rejects, with the first failing rule (dead letter, K5).
+
+    Works on raw text so the reason can tell an absent time from an
+    unparseable one. ``error_type`` is one of missing_field, bad_timestamp,
+    invalid_amount.
+    """
+    typed = type_transactions(bronze.withColumnRenamed("timestamp", "_raw_time").withColumn(
+        "timestamp", F.col("_raw_time")))
+    missing = F.lit(False)
+    for c in CRITICAL:
+        if c != "timestamp":
+            missing = missing | F.col(c).isNull()
+    missing = missing | F.col("_raw_time").isNull()
+    amount = F.col("total_amount")
+    reason = (F.when(missing, F.lit("missing_field"))
+              .when(F.col("timestamp").isNull(), F.lit("bad_timestamp"))
+              .when(~(amount > 0) | F.isnan(amount), F.lit("invalid_amount")))
+    return typed.withColumn("error_type", reason).filter(F.col("error_type").isNotNull())
