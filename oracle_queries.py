@@ -317,7 +317,7 @@ typed AS (
   FROM bronze
 ),
 validated AS (
-  SELECT transaction_id,
+  SELECT transaction_id, arrival,
          list_filter([
            {", ".join(f"CASE WHEN {f} IS NULL THEN 'Missing field: {f}' END" for f in
                       ["transaction_id", '"timestamp"', "store_id", "product_id", "total_amount", "quantity", "category"])},
@@ -402,5 +402,35 @@ FROM verdict WHERE status <> 'OK'""")
     return q
 
 
+def stream_ops() -> dict[str, str]:
+    b = bronze_ops()
+    q: dict[str, str] = {"landing_stream": b["bronze_scan"], "silver_incremental": b["silver_roundtrip"]}
+    q["late_data_rebuild"] = f"""WITH {EV_RAW},
+resent AS (
+  SELECT transaction_id, "timestamp" + INTERVAL 1 SECOND AS "timestamp", store_id, region, product_id, product_name,
+         category, quantity, unit_price, discount_pct, total_amount + 1.0 AS total_amount, payment_method,
+         customer_id, is_return
+  FROM ev_raw WHERE strftime("timestamp", '%d') = '05'),
+all_rows AS (SELECT * FROM ev_raw UNION ALL SELECT * FROM resent),
+{silver_cte('ls', 'all_rows')},{gold_ctes('gl', 'ls')}
+SELECT * FROM gl_product"""
+    amt = dec("value")
+    q["win_incoming_records"] = """
+SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
+       COUNT(*) AS records FROM events GROUP BY 1, 2"""
+    q["win_hourly_sum"] = f"""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       CAST(SUM({amt}) AS DOUBLE) AS total_value FROM events GROUP BY 1, 2"""
+    q["win_daily_avg"] = f"""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+       {mean2(f'SUM({amt})', 'COUNT(value)')} AS avg_value, COUNT(value) AS records FROM events GROUP BY 1, 2"""
+    q["win_quality_score"] = f"""WITH {BRONZE}
+, flagged AS (SELECT arrival, len(errors) = 0 AS ok FROM validated)
+SELECT time_bucket(INTERVAL 1 DAY, arrival) AS window_start, time_bucket(INTERVAL 1 DAY, arrival) + INTERVAL 1 DAY AS window_end,
+       CAST(COUNT(*) FILTER (WHERE ok) AS DOUBLE) / COUNT(*) AS quality_score, COUNT(*) AS records
+FROM flagged GROUP BY 1, 2"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
-    return {**kpis(), **reports(), **silver_ops(), **bronze_ops()}
+    return {**kpis(), **reports(), **silver_ops(), **bronze_ops(), **stream_ops()}

@@ -113,17 +113,22 @@ def _txt(c: Column) -> Column:
 
 
 def bronze_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as landing text with deterministic defects.
+    """Events as landing text with deterministic defects (batch read)."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return dirty_landing_rows(spark, ev)
+
+
+def dirty_landing_rows(spark: SparkSession, ev: DataFrame) -> DataFrame:
+    """Render events (batch or streaming) as landing text with defects.
 
     Columns: the 14 fields as text plus ``arrival`` (NTZ: when the record
     reached the landing zone; it decides the landing folder).
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    orig = ev.select("*", F.lit(False).alias("is_copy"))
+    orig = ev.select("event_id", "ts", "user_id", "event_type", "value")
     # 1. a later copy of every 131st event: one hour later, one more unit of amount
     copies = (ev.filter(F.col("event_id") % 131 == 0)
                 .select("event_id", (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), "user_id",
-                        "event_type", (F.col("value") + F.lit(1.0)).alias("value"), F.lit(True).alias("is_copy")))
+                        "event_type", (F.col("value") + F.lit(1.0)).alias("value")))
     rows = orig.unionByName(copies)
     eid = F.col("event_id")
     ts = as_utc_ntz("ts")
