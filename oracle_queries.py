@@ -432,5 +432,23 @@ FROM flagged GROUP BY 1, 2"""
     return q
 
 
+def storage_ops() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["silver_scan"] = with_tx("SELECT * FROM tx")
+    day = "make_date(CAST(year AS INTEGER), CAST(month AS INTEGER), CAST(day AS INTEGER))"
+    q["retention_expired"] = with_tx(f"""
+SELECT DISTINCT year, month, day, CAST(datediff('day', {day}, DATE '{AS_OF}') AS INTEGER) AS age_days
+FROM tx WHERE datediff('day', {day}, DATE '{AS_OF}') > 730""")
+    q["retention_kept"] = with_tx(f"SELECT * FROM tx WHERE {day} >= DATE '{AS_OF}' - INTERVAL 730 DAY")
+    fields = ["transaction_id", "timestamp", "store_id", "region", "product_id", "product_name", "category",
+              "quantity", "unit_price", "discount_pct", "total_amount", "payment_method", "customer_id", "is_return"]
+    parts = "\nUNION ALL\n".join(
+        f"""SELECT '{f}' AS column_name, 'string' AS data_type,
+       COUNT(DISTINCT CASE WHEN "{f}" IS NOT NULL THEN CAST(CAST(arrival AS DATE) AS VARCHAR) END) AS partitions
+FROM bronze""" for f in fields)
+    q["schema_discovery"] = f"WITH {BRONZE}\n{parts}"
+    return q
+
+
 def all_queries() -> dict[str, str]:
-    return {**kpis(), **reports(), **silver_ops(), **bronze_ops(), **stream_ops()}
+    return {**kpis(), **reports(), **silver_ops(), **bronze_ops(), **stream_ops(), **storage_ops()}

@@ -118,8 +118,11 @@ def alerts(verdict: DataFrame) -> DataFrame:
             .select("status", subject.alias("subject"), "quality_score", "records", "invalid_records", "threshold"))
 
 
-def sample(bronze_with_file: DataFrame, files: int = 5, per_file: int = 20, seed: int = 42) -> DataFrame:
-    """The original spot check: up to ``files`` random files, first ``per_file`` records each.
+def sample(bronze_with_file: DataFrame, candidates: DataFrame, files: int = 5, per_file: int = 20,
+           seed: int = 42) -> DataFrame:
+    """The original spot check: up to ``files`` random files out of
+    ``candidates`` (a file listing, e.g. ``new_files``), first ``per_file``
+    records of each (S6).
 
     Kept as an option; the default gate runs over every record. Within a
     file, read order is the order of monotonically_increasing_id (a
@@ -127,7 +130,7 @@ def sample(bronze_with_file: DataFrame, files: int = 5, per_file: int = 20, seed
     """
     from pyspark.sql import Window
 
-    chosen = (bronze_with_file.select("file_path").distinct().orderBy(F.rand(seed)).limit(files))
+    chosen = candidates.select("file_path").distinct().orderBy(F.rand(seed)).limit(files)
     rows = bronze_with_file.withColumn("_pos", F.monotonically_increasing_id()).join(chosen, "file_path", "left_semi")
     w = Window.partitionBy("file_path").orderBy("_pos")
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_file).drop("_n", "_pos")

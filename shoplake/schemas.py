@@ -17,10 +17,8 @@ PARTITION_COLS = ["year", "month", "day"]
 # not mark the whole row corrupt (a typed read schema would null the field and
 # flag the row); typing happens afterwards with try_cast.
 CORRUPT_COL = "_corrupt_record"
-BRONZE = T.StructType(
-    [T.StructField(f, T.StringType(), True) for f in TX_FIELDS]
-    + [T.StructField(CORRUPT_COL, T.StringType(), True)]
-)
+BRONZE = T.StructType([T.StructField(f, T.StringType(), True) for f in TX_FIELDS])
+BRONZE_WITH_CORRUPT = T.StructType(list(BRONZE.fields) + [T.StructField(CORRUPT_COL, T.StringType(), True)])
 
 # Silver time is a UTC wall-clock TIMESTAMP_NTZ: partition values and hour
 # buckets then do not depend on the session time zone.

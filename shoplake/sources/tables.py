@@ -171,3 +171,11 @@ def pricing_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = events_tx(spark, sf_dir)
     off = F.col("transaction_id").cast("long") % 89 == 0
     return tx.withColumn("unit_price", F.when(off, F.col("unit_price") + F.lit(1.0)).otherwise(F.col("unit_price")))
+
+
+def clean_landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events_tx rendered as landing text without defects (the gate passes)."""
+    tx = events_tx(spark, sf_dir)
+    text = [render_event_time("timestamp").alias("timestamp") if f == "timestamp" else _txt(F.col(f)).alias(f)
+            for f in TX_FIELDS]
+    return tx.select(*text, F.col("timestamp").alias("arrival"))

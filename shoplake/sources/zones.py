@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..schemas import BRONZE, CORRUPT_COL, GOLD, PARTITION_COLS, SILVER
+from ..schemas import BRONZE, BRONZE_WITH_CORRUPT, CORRUPT_COL, GOLD, PARTITION_COLS, SILVER
 
 
 def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
@@ -13,15 +12,17 @@ def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
 
     Landing folder names (year=/month=/day=) describe arrival, not event
     time, so they are dropped; Silver derives its partitions from the event.
-    Lines that are not JSON land in ``_corrupt_record`` and are dropped
-    unless ``keep_corrupt``.
+    Lines that are not JSON are dropped by the parser (DROPMALFORMED), or
+    kept with their text in ``_corrupt_record`` when ``keep_corrupt``.
+    With an all-text schema only unparseable lines count as malformed.
     """
-    df = (spark.read.schema(BRONZE).option("multiLine", "false").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
-    df = df.drop(*[c for c in PARTITION_COLS if c in df.columns])
     if keep_corrupt:
-        return df
-    return df.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+        reader = (spark.read.schema(BRONZE_WITH_CORRUPT).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", CORRUPT_COL))
+    else:
+        reader = spark.read.schema(BRONZE).option("mode", "DROPMALFORMED")
+    df = reader.option("multiLine", "false").json(path)
+    return df.drop(*[c for c in PARTITION_COLS if c in df.columns])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

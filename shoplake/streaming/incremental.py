@@ -89,7 +89,7 @@ def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_days
 def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoint: str,
                     max_files_per_trigger: int | None = None, with_gold: bool = True) -> None:
     """Process every landing file not yet committed, then stop (availableNow)."""
-    reader = spark.readStream.schema(BRONZE).option("multiLine", "false")
+    reader = spark.readStream.schema(BRONZE).option("multiLine", "false").option("mode", "DROPMALFORMED")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(bronze_path)
