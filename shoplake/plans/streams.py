@@ -78,22 +78,25 @@ def _four_files(spark: SparkSession, sf_dir: str, run: str) -> str:
     return path
 
 
-def _window_run(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _window_run(spark: SparkSession, sf_dir: str, name: str, build, watermark: str | None = None) -> DataFrame:
     apply_lake_conf(spark)
     run = scratch_path(spark, "streams", name, unique=True)
     src = _four_files(spark, sf_dir, run)
     ev = landing.events_stream(spark, src, "*.parquet", _events_schema(spark, sf_dir), max_files=1)
     tx = ev.select(F.col("ts").cast("timestamp_ntz").alias("timestamp"), F.col("value").alias("total_amount"))
-    windows.run_to_table(build(ev, tx), f"{run}/result", f"{run}/_checkpoint")
-    return spark.read.parquet(f"{run}/result")
+    if watermark:
+        tx = windows.with_watermark(tx, "timestamp", watermark)
+    windows.run_to_table(build(ev, tx), f"{run}/result", f"{run}/_checkpoint",
+                         mode="update" if watermark else "complete")
+    return spark.read.parquet(f"{run}/result").drop("window_day")
 
 
 def win_incoming_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_run(spark, sf_dir, "win5m", lambda ev, tx: windows.incoming_records(tx))
 
 
-def win_hourly_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _window_run(spark, sf_dir, "win1h", lambda ev, tx: windows.hourly_sum(tx))
+def win_hourly_sum(spark: SparkSession, sf_dir: str, watermark: str | None = None) -> DataFrame:
+    return _window_run(spark, sf_dir, "win1h", lambda ev, tx: windows.hourly_sum(tx), watermark)
 
 
 def win_daily_avg(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,9 +49,9 @@ def replace_partitions(spark: SparkSession, df: DataFrame, path: str, affected:
     bounded number of days), so listing it on the driver is fine.
     """
     staging = scratch_path(spark, "staging", unique=True)
+    schema = schema if schema is not None else df.schema
     write_partitioned(df, staging, partition_cols, mode="overwrite")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    staged = reader.parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
     overwrite_partitions(staged, path, partition_cols)
     kept = staged.select(*partition_cols).distinct()
     emptied = affected.select(*partition_cols).distinct().join(kept, partition_cols, "left_anti")

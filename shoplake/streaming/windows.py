@@ -16,13 +16,37 @@ from pyspark.sql import functions as F
 from ..functions import money as M
 
 
+# Set by ``with_watermark``: the event-time column is then a TIMESTAMP
+# instant (watermarks need one), converted back to UTC wall-clock on output.
+_EVENT = "_event_time"
+
+
+def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Event time as a TIMESTAMP instant with a watermark (bounded state).
+
+    Silver time is UTC wall-clock TIMESTAMP_NTZ; watermarks need TIMESTAMP, so
+    the value is read as UTC explicitly (independent of the session zone).
+    """
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    instant = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts)).cast("timestamp")
+    return df.withColumn(_EVENT, instant).withWatermark(_EVENT, delay)
+
+
 def _windowed(df: DataFrame, ts: str, width: str, *aggs: Column) -> DataFrame:
-    return df.groupBy(F.window(F.col(ts), width).alias("w")).agg(*aggs)
+    col = F.col(_EVENT) if _EVENT in df.columns else F.col(ts)
+    return df.groupBy(F.window(col, width).alias("w")).agg(*aggs)
+
+
+def _wall(c: Column) -> Column:
+    return F.convert_timezone(None, F.lit("UTC"), c)
 
 
 def _flat(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != "w"]
-    return df.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *cols)
+    start, end = F.col("w.start"), F.col("w.end")
+    if dict(df.select("w.start").dtypes)["start"] == "timestamp":
+        start, end = _wall(start), _wall(end)
+    return df.select(start.alias("window_start"), end.alias("window_end"), *cols)
 
 
 def incoming_records(df: DataFrame, ts: str = "timestamp", width: str = "5 minutes") -> DataFrame:
@@ -48,11 +72,38 @@ def quality_score(validated: DataFrame, ts: str = "arrival", width: str = "1 day
     return g.select("w", (F.col("_v").cast("double") / F.col("records")).alias("quality_score"), "records")
 
 
-def run_to_table(agg: DataFrame, path: str, checkpoint: str) -> None:
-    """Drive a windowed aggregate to completion, keeping the result at ``path``."""
-    def each(batch: DataFrame, epoch_id: int) -> None:
-        _flat(batch).write.mode("overwrite").parquet(path)
+def run_to_table(agg: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> None:
+    """Drive a windowed aggregate to completion, keeping the result at ``path``.
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(each)
+    ``complete``: every batch carries the whole result and replaces the table.
+    ``update`` (needs a watermark): a batch carries only the windows that
+    changed; they replace their old versions in the table, which is
+    partitioned by window day so a batch rewrites only the days it touches.
+    """
+    spark = agg.sparkSession
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        if mode == "complete":
+            _flat(batch).write.mode("overwrite").parquet(path)
+            return
+        from ..session import path_exists
+        from ..sinks.writers import replace_partitions
+
+        changed = _flat(batch).withColumn("window_day", F.date_format("window_start", "yyyy-MM-dd")).persist()
+        try:
+            if changed.isEmpty():
+                return
+            days = changed.select("window_day").distinct()
+            if path_exists(spark, path):
+                old = spark.read.schema(changed.schema).parquet(path).join(days, "window_day", "left_semi")
+                kept = old.join(changed.select("window_start"), "window_start", "left_anti")
+                merged = kept.unionByName(changed)
+            else:
+                merged = changed
+            replace_partitions(spark, merged, path, days, partition_cols=["window_day"])
+        finally:
+            changed.unpersist()
+
+    q = (agg.writeStream.outputMode(mode).foreachBatch(each)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

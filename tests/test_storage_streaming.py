@@ -121,3 +121,11 @@ def test_pipeline_gate_blocks_bad_input_and_runs_good(spark, tmp_root):
     assert set(r.results) == {"monthly_category_revenue", "monthly_region_performance", "transaction_trend"}
     empty = run_pipeline(spark, good_landing, Lake(spark, f"{tmp_root}/e"), "2100-01-01T00:00:00", ("2024", "01"))
     assert empty.status == "NO_DATA"
+
+
+def test_watermarked_update_mode_equals_complete(spark):
+    from shoplake.plans import streams
+    full = streams.win_hourly_sum(spark, SF001)
+    bounded = streams.win_hourly_sum(spark, SF001, watermark="40 days")
+    assert full.count() == bounded.count() > 0
+    assert full.exceptAll(bounded.select(*full.columns)).count() == 0
