@@ -33,11 +33,12 @@ class Lake:
     def gold_root(self) -> str:
         return f"{self.root}/gold"
 
-    def silver(self) -> DataFrame:
-        return read_silver(self.spark, self.silver_path)
+    def silver(self, *periods: tuple[str, ...]) -> DataFrame:
+        """Silver, or only the given (year[, month[, day]]) periods' folders."""
+        return read_silver(self.spark, self.silver_path, list(periods) or None)
 
-    def gold(self, name: str) -> DataFrame:
-        return read_gold(self.spark, self.gold_root, name)
+    def gold(self, name: str, *periods: tuple[str, ...]) -> DataFrame:
+        return read_gold(self.spark, self.gold_root, name, list(periods) or None)
 
     # --- jobs -----------------------------------------------------------------
 

@@ -25,10 +25,32 @@ def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
     return df.drop(*[c for c in PARTITION_COLS if c in df.columns])
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
+def period_paths(table_path: str, periods: list[tuple[str, ...]]) -> list[str]:
+    """Sub-folders for (year[, month[, day]]) tuples of a year/month/day table."""
+    out = []
+    for p in periods:
+        out.append(table_path.rstrip("/") + "".join(f"/{k}={v}" for k, v in zip(PARTITION_COLS, p)))
+    return out
+
+
+def _read(spark: SparkSession, schema, table_path: str, periods: list[tuple[str, ...]] | None) -> DataFrame:
+    """Read a partitioned table, optionally only some periods' folders.
+
+    With ``periods`` only those folders are listed (``basePath`` keeps the
+    partition columns): without a metastore, a whole-table read lists every
+    day folder before pruning, which on an object store costs a request per
+    folder. Callers still filter on the partition columns.
+    """
+    reader = spark.read.schema(schema)
+    if not periods:
+        return reader.parquet(table_path)
+    return reader.option("basePath", table_path).parquet(*period_paths(table_path, periods))
+
+
+def read_silver(spark: SparkSession, path: str, periods: list[tuple[str, ...]] | None = None) -> DataFrame:
     """Partitioned Silver Parquet; partition values stay zero-padded text (S3)."""
-    return spark.read.schema(SILVER).parquet(path)
+    return _read(spark, SILVER, path, periods)
 
 
-def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(GOLD[name]).parquet(f"{root.rstrip('/')}/{name}")
+def read_gold(spark: SparkSession, root: str, name: str, periods: list[tuple[str, ...]] | None = None) -> DataFrame:
+    return _read(spark, GOLD[name], f"{root.rstrip('/')}/{name}", periods)
