@@ -40,24 +40,30 @@ def partition_path(root: str, values: dict[str, str]) -> str:
 
 
 def replace_partitions(spark: SparkSession, df: DataFrame, path: str, affected: DataFrame,
-                       partition_cols: list[str] = PARTITION_COLS, schema=None) -> None:
+                       partition_cols: list[str] = PARTITION_COLS, schema=None, staged: bool = False) -> None:
     """Safely rewrite the ``affected`` partitions of ``path`` with ``df``.
 
     ``df`` may read ``path`` itself. Steps: write df to staging; dynamic
     overwrite from staging; delete affected partitions with no rows left.
     ``affected`` holds one row per partition (it is small: a batch touches a
     bounded number of days), so listing it on the driver is fine.
+    ``staged=True``: ``df`` is already a read of a staging copy (it does not
+    read ``path``), so it is written directly.
     """
-    staging = scratch_path(spark, "staging", unique=True)
-    schema = schema if schema is not None else df.schema
-    write_partitioned(df, staging, partition_cols, mode="overwrite")
-    staged = spark.read.schema(schema).parquet(staging)
-    overwrite_partitions(staged, path, partition_cols)
-    kept = staged.select(*partition_cols).distinct()
-    emptied = affected.select(*partition_cols).distinct().join(kept, partition_cols, "left_anti")
-    for row in emptied.toLocalIterator():
-        delete_path(spark, partition_path(path, row.asDict()))
-    delete_path(spark, staging)
+    staging = None
+    if not staged:
+        staging = scratch_path(spark, "staging", unique=True)
+        schema = schema if schema is not None else df.schema
+        write_partitioned(df, staging, partition_cols, mode="overwrite")
+        df = spark.read.schema(schema).parquet(staging)
+    # Emptied partitions are found before the overwrite (df may be lazy).
+    kept = [tuple(r) for r in df.select(*partition_cols).distinct().collect()]
+    overwrite_partitions(df, path, partition_cols)
+    for row in affected.select(*partition_cols).distinct().toLocalIterator():
+        if tuple(row) not in set(kept):
+            delete_path(spark, partition_path(path, row.asDict()))
+    if staging:
+        delete_path(spark, staging)
 
 
 def write_results(df: DataFrame, root: str, name: str, run_id: str) -> str:

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from ..operators import cleaning, kpis
 from ..plans.lake import Lake
 from ..schemas import BRONZE, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
-from ..session import path_exists
-from ..sinks.writers import replace_partitions
+from ..session import delete_path, path_exists, scratch_path
+from ..sources.zones import read_silver
+from ..sinks.writers import replace_partitions, write_partitioned
 
 
 def _partition_filter(days: list[dict[str, str]]) -> F.Column:
@@ -29,20 +30,25 @@ def _partition_filter(days: list[dict[str, str]]) -> F.Column:
 
 
 def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_days: int | None = None) -> list[dict]:
-    """Merge typed rows into Silver; returns the touched partitions.
-
-    ``lookback_days`` (optional) limits the search for earlier versions of
-    the batch's ids to partitions that recent; by default every partition's
-    id column is scanned (exact; only ``transaction_id`` and the partition
-    columns are read).
+    """Merge typed rows into Silver; returns the partitions that changed.
+
+    Only days that hold an earlier version of one of the batch's ids are
+    rewritten (R). Every other winning row is appended to its day: in the
+    usual case (fresh ids) a micro-batch is a pure append and never rewrites
+    existing data. Finding earlier versions is a semi-join that reads only
+    ``transaction_id`` and the partition columns of Silver; ``lookback_days``
+    (optional) limits it to recent days, by default every day is searched.
+
+    Failure safety: both outputs are staged first; the rewrite of R happens
+    before the append. A batch retried after a partial run finds its own
+    appended rows as earlier versions and rewrites them to the same result.
     """
-    batch = cleaning.add_date_partitions(
-        cleaning.valid_amounts(cleaning.drop_critical_nulls(typed.select(*TX_FIELDS))))
+    batch = cleaning.add_date_partitions(cleaning.dedup_latest(
+        cleaning.valid_amounts(cleaning.drop_critical_nulls(typed.select(*TX_FIELDS)))))
     batch = batch.persist()
     try:
-        have_silver = path_exists(spark, lake.silver_path)
-        existing = lake.silver() if have_silver else None
-        touched = batch.select(*PARTITION_COLS)
+        existing = lake.silver() if path_exists(spark, lake.silver_path) else None
+        rewrite: list[dict] = []
         if existing is not None:
             ids = existing.select("transaction_id", *PARTITION_COLS)
             if lookback_days is not None:
@@ -51,20 +57,32 @@ def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_da
                     lo_day = F.date_sub(F.to_date(F.lit(lo)), lookback_days)
                     ids = ids.filter(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
                                                  F.col("day").cast("int")) >= lo_day)
-            moved = ids.join(batch.select("transaction_id").distinct(), "transaction_id", "left_semi")
-            touched = touched.unionByName(moved.select(*PARTITION_COLS))
-        # The set of touched days is metadata-sized (days, not rows).
-        days = [r.asDict() for r in touched.distinct().collect()]
-        if not days:
-            return []
-        merged = batch.select(*TX_FIELDS)
-        if existing is not None:
-            old = existing.filter(_partition_filter(days)).select(*TX_FIELDS)
-            merged = old.unionByName(merged)
-        silver_rows = cleaning.add_date_partitions(cleaning.dedup_latest(merged))
-        affected = spark.createDataFrame(days, "year string, month string, day string")
-        replace_partitions(spark, silver_rows, lake.silver_path, affected, schema=SILVER)
-        return days
+            earlier = ids.join(batch.select("transaction_id"), "transaction_id", "left_semi")
+            # Days holding earlier versions: metadata-sized (days, not rows).
+            rewrite = [r.asDict() for r in earlier.select(*PARTITION_COLS).distinct().collect()]
+        staging = None
+        if rewrite:
+            # The winners read the days being replaced: stage them before any
+            # file of Silver changes (never overwrite what the plan reads).
+            old = existing.filter(_partition_filter(rewrite)).select(*TX_FIELDS)
+            winners = cleaning.add_date_partitions(cleaning.dedup_latest(old.unionByName(batch.select(*TX_FIELDS))))
+            staging = scratch_path(spark, "staging", unique=True)
+            write_partitioned(winners, staging, mode="overwrite")
+            winners = read_silver(spark, staging)
+        else:
+            winners = batch
+        in_r = _partition_filter(rewrite)
+        if rewrite:
+            affected = spark.createDataFrame(rewrite, "year string, month string, day string")
+            replace_partitions(spark, winners.filter(in_r), lake.silver_path, affected, schema=SILVER, staged=True)
+        fresh = winners.filter(~in_r)
+        fresh_days = [r.asDict() for r in fresh.select(*PARTITION_COLS).distinct().collect()]
+        if fresh_days:
+            write_partitioned(fresh, lake.silver_path, mode="append")
+        if staging:
+            delete_path(spark, staging)
+        seen = {tuple(d.values()) for d in rewrite}
+        return rewrite + [d for d in fresh_days if tuple(d.values()) not in seen]
     finally:
         batch.unpersist()
 
