@@ -89,3 +89,15 @@ def test_pricing_errors_tolerance(spark):
     df = spark.createDataFrame([("a", 2, 10.0, 20.0), ("b", 2, 10.0, 20.04), ("c", 2, 10.0, 20.05)],
                                "transaction_id string, quantity int, unit_price double, total_amount double")
     assert [r.transaction_id for r in cleaning.pricing_errors(df).collect()] == ["c"]
+
+
+def test_dedup_with_one_id_holding_a_third_of_rows(spark):
+    """A hot key is reduced map-side; the latest of its 3,000 versions wins."""
+    base = dt.datetime(2026, 5, 1)
+    hot = [("hot", base + dt.timedelta(seconds=i), "s", "p", float(i)) for i in range(3000)]
+    cold = [(f"id{i}", base, "s", "p", 1.0) for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "transaction_id string, timestamp timestamp_ntz, store_id string, "
+                                           "product_id string, total_amount double").repartition(8)
+    out = cleaning.dedup_latest(df)
+    assert out.count() == 6001
+    assert out.filter("transaction_id = 'hot'").first().total_amount == 2999.0

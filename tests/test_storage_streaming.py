@@ -129,3 +129,15 @@ def test_watermarked_update_mode_equals_complete(spark):
     bounded = streams.win_hourly_sum(spark, SF001, watermark="40 days")
     assert full.count() == bounded.count() > 0
     assert full.exceptAll(bounded.select(*full.columns)).count() == 0
+
+
+def test_serving_copy_is_cached(spark, tmp_root):
+    from shoplake.plans.pipeline import serve
+    lake = Lake(spark, tmp_root)
+    lake.build_silver(tables.events_tx(spark, SF001))
+    lake.build_gold()
+    serve(spark, lake)
+    assert spark.catalog.isCached("gold_revenue_by_region")
+    assert spark.table("gold_revenue_by_product").count() > 0
+    for name in ("revenue_by_product", "revenue_by_region", "payment_method_split", "top_products"):
+        spark.catalog.uncacheTable(f"gold_{name}")
