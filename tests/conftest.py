@@ -19,6 +19,8 @@ def spark():
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shoplake-test-ckpt-"))
     yield s
+    from shoplake.session import delete_path, scratch_path
+    delete_path(s, scratch_path(s))  # this session's own scratch folders
     s.stop()
 
 
