@@ -85,3 +85,12 @@ def test_no_python_udfs_anywhere(spark, gold_folder):
     for key in ["kpi_revenue_by_region", "amount_outliers", "monthly_region_performance", "dq_validate"]:
         plan = _plan(E.queries()[key](spark, SF01))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+
+
+def test_gold_job_uses_unique_ids_without_expand(spark, gold_folder):
+    g = kpis.gold_tables(gold_folder.silver())
+    assert "Expand" not in _plan(g["revenue_by_product"])
+    assert "Expand" in _plan(kpis.revenue_by_product(kpis.sales(gold_folder.silver())))
+    a = g["revenue_by_product"].select("year", "month", "day", "category", "transaction_count")
+    b = kpis.revenue_by_product(kpis.sales(gold_folder.silver())).select(*a.columns)
+    assert a.exceptAll(b).count() == 0
