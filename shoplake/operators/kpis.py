@@ -27,7 +27,8 @@ def _finish(df: DataFrame, kpi: str, keys: list[str], measures: list[str]) -> Da
 def _tx_count(ids_unique: bool) -> F.Column:
     """Distinct transactions. When the input is Silver, ids are unique by
     construction (keep-latest dedup), so a plain count gives the same number
-    without the distinct rewrite (an Expand and a shuffle keyed by the id)."""
+    without the distinct rewrite (an extra aggregation level and a shuffle
+    keyed by the id, plus an Expand when a second distinct is present)."""
     return F.count("transaction_id") if ids_unique else F.count_distinct("transaction_id")
 
 
@@ -49,7 +50,7 @@ def revenue_by_region(sales_df: DataFrame, ids_unique: bool = False) -> DataFram
 
     Two distinct counts: Catalyst rewrites them with one Expand, so each
     (day, region) group is still aggregated in two hash stages. With
-    ``ids_unique`` only the store count is distinct (no Expand).
+    ``ids_unique`` only the store count is distinct (no Expand, no id shuffle).
     """
     g = sales_df.groupBy(*DAY, "region").agg(
         F.sum(M.money("total_amount")).alias("_rev"),
