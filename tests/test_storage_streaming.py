@@ -141,3 +141,17 @@ def test_serving_copy_is_cached(spark, tmp_root):
     assert spark.table("gold_revenue_by_product").count() > 0
     for name in ("revenue_by_product", "revenue_by_region", "payment_method_split", "top_products"):
         spark.catalog.uncacheTable(f"gold_{name}")
+
+
+def test_jobs_entry_point(spark, tmp_root):
+    from shoplake import jobs
+    landing = f"{tmp_root}/landing"
+    write_landing(tables.clean_landing_rows(spark, SF001), landing, mode="overwrite")
+    lake_root = f"{tmp_root}/lake"
+    assert jobs.main(["quality-check", "--bronze", landing]) == 0
+    assert jobs.main(["bronze-to-silver", "--bronze", landing, "--lake", lake_root]) == 0
+    assert jobs.main(["silver-to-gold", "--lake", lake_root]) == 0
+    assert jobs.main(["report", "monthly_category_revenue", "--lake", lake_root, "--year", "2024", "--month", "01",
+                      "--out", f"{tmp_root}/results"]) == 0
+    assert spark.read.parquet(f"{tmp_root}/results/monthly_category_revenue").count() == 5
+    assert jobs.main(["silver-to-gold", "--lake", lake_root, "--days", "2024-01-05"]) == 0
