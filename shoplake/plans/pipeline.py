@@ -39,7 +39,8 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
         verdict = quality.gate(quality.score(quality.validate(spark.createDataFrame([], read_bronze_schema()))),
                                threshold)
     else:
-        validated = quality.validate(read_bronze(spark, landing))
+        # Only files that arrived since the last run are checked.
+        validated = quality.validate(read_bronze(spark, landing, modified_after=modified_after))
         scored = quality.score(validated).persist()
         _append(quality.metrics(scored), f"{lake.root}/ops/metrics")
         verdict = quality.gate(scored, threshold)
@@ -49,7 +50,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     if row["status"] != quality.STATUS_OK:
         return RunResult(row["status"], row["quality_score"], row["records"])
 
-    schema = [tuple(r) for r in discover_schema(spark, landing).collect()]  # one row per column
+    schema = [tuple(r) for r in discover_schema(spark, landing, modified_after).collect()]  # one row per column
     incremental.run_incremental(spark, landing, lake, f"{lake.root}/_checkpoints/silver")
     year, month = report_month
     out = {}

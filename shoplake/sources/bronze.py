@@ -16,7 +16,7 @@ def new_files(spark: SparkSession, path: str, modified_after: str, glob: str = "
     so no file body is read.
     """
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob).option("modifiedAfter", modified_after).load(path)
+            .option("pathGlobFilter", glob).option("modifiedAfter", modified_after).option("timeZone", "UTC").load(path)
             .select(F.col("path").alias("file_path"), F.col("modificationTime").alias("modified"), F.col("length")))
 
 
@@ -25,7 +25,7 @@ def read_bronze_with_file(spark: SparkSession, path: str) -> DataFrame:
     return read_bronze(spark, path).withColumn("file_path", F.col("_metadata.file_path"))
 
 
-def discover_schema(spark: SparkSession, path: str) -> DataFrame:
+def discover_schema(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
     """Schema discovery over a landing folder with drifting batches.
 
     The JSON schema is inferred over all files (Spark merges columns and
@@ -33,7 +33,10 @@ def discover_schema(spark: SparkSession, path: str) -> DataFrame:
     column that appears only in newer batches shows a smaller count. Output:
     (column_name, data_type, partitions), one row per column.
     """
-    inferred = spark.read.option("multiLine", "false").json(path)
+    reader = spark.read.option("multiLine", "false")
+    if modified_after:  # only the new batches (inference would read every file)
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
+    inferred = reader.json(path)
     cols = [f for f in inferred.schema.fields if f.name not in PARTITION_COLS and f.name != "_corrupt_record"]
     day = F.concat_ws("-", *[F.col(c).cast("string") for c in PARTITION_COLS])
     present = inferred.select(day.alias("_part"), *[F.col(f.name).isNotNull().alias(f.name) for f in cols])

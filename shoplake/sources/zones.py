@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..schemas import BRONZE, BRONZE_WITH_CORRUPT, CORRUPT_COL, GOLD, PARTITION_COLS, SILVER
 
 
-def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
+def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False,
+                modified_after: str | None = None) -> DataFrame:
     """Newline-delimited JSON (plain or .gz, by suffix) with an all-text schema.
 
     Landing folder names (year=/month=/day=) describe arrival, not event
@@ -15,12 +16,17 @@ def read_bronze(spark: SparkSession, path: str, keep_corrupt: bool = False) -> D
     Lines that are not JSON are dropped by the parser (DROPMALFORMED), or
     kept with their text in ``_corrupt_record`` when ``keep_corrupt``.
     With an all-text schema only unparseable lines count as malformed.
+    ``modified_after`` ('yyyy-MM-ddTHH:mm:ss', UTC) restricts the read to
+    files that arrived since then (the listing filters them; older files
+    are never opened).
     """
     if keep_corrupt:
         reader = (spark.read.schema(BRONZE_WITH_CORRUPT).option("mode", "PERMISSIVE")
                   .option("columnNameOfCorruptRecord", CORRUPT_COL))
     else:
         reader = spark.read.schema(BRONZE).option("mode", "DROPMALFORMED")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
     df = reader.option("multiLine", "false").json(path)
     return df.drop(*[c for c in PARTITION_COLS if c in df.columns])
 

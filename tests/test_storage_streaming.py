@@ -155,3 +155,17 @@ def test_jobs_entry_point(spark, tmp_root):
                       "--out", f"{tmp_root}/results"]) == 0
     assert spark.read.parquet(f"{tmp_root}/results/monthly_category_revenue").count() == 5
     assert jobs.main(["silver-to-gold", "--lake", lake_root, "--days", "2024-01-05"]) == 0
+
+
+def test_gate_reads_only_new_files(spark, tmp_root):
+    import time
+    from datetime import datetime, timezone
+    landing = f"{tmp_root}/landing"
+    write_landing(tables.bronze_dirty(spark, SF001), landing, mode="overwrite")  # old, dirty
+    time.sleep(2)
+    cut = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+    time.sleep(2)
+    write_landing(tables.clean_landing_rows(spark, SF001), landing, mode="append")  # new, clean
+    assert read_bronze(spark, landing, modified_after=cut).count() == tables.events_tx(spark, SF001).count()
+    r = run_pipeline(spark, landing, Lake(spark, f"{tmp_root}/lake"), cut, ("2024", "01"))
+    assert r.status == "OK"
