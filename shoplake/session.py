@@ -47,6 +47,31 @@ def build_session(master: str = "local[8]", app: str = "shoplake", shuffle_parti
     return spark
 
 
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings to pass to spark-submit for a run over ``input_bytes``.
+
+    The initial shuffle partition count is sized so that no partition
+    exceeds the target before AQE coalesces (AQE only merges, it never
+    splits a non-skewed partition), and is at least 2 x the task slots.
+    Broadcasts stay at 64 MB: only AQE's runtime-measured build sides or
+    inputs with a proven bound are broadcast.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        **LAKE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def apply_lake_conf(spark: SparkSession) -> None:
     """Set the lake's SQL settings on an existing session (idempotent)."""
     for k, v in LAKE_CONF.items():
@@ -114,6 +139,6 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 __all__ = [
-    "LAKE_CONF", "build_session", "apply_lake_conf", "checkpoint_root", "scratch_path",
+    "LAKE_CONF", "build_session", "cluster_settings", "apply_lake_conf", "checkpoint_root", "scratch_path",
     "path_exists", "delete_path", "touch", "local_path",
 ]
