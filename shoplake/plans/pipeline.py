@@ -9,9 +9,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import quality, reports
+from ..schemas import BRONZE
 from ..sinks.writers import write_results
 from ..sources.bronze import discover_schema, new_files
 from ..sources.zones import read_bronze
@@ -36,7 +36,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
                  threshold: float = quality.QUALITY_THRESHOLD, run_id: str = "run") -> RunResult:
     files = new_files(spark, landing, modified_after)
     if files.isEmpty():
-        verdict = quality.gate(quality.score(quality.validate(spark.createDataFrame([], read_bronze_schema()))),
+        verdict = quality.gate(quality.score(quality.validate(spark.createDataFrame([], BRONZE))),
                                threshold)
     else:
         # Only files that arrived since the last run are checked.
@@ -63,11 +63,6 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     return RunResult(row["status"], row["quality_score"], row["records"], schema, out)
 
 
-def read_bronze_schema():
-    from ..schemas import BRONZE
-    return BRONZE
-
-
 def serve(spark: SparkSession, lake: Lake) -> None:
     """In-memory serving copy of Gold (C4): cached temp views for dashboards."""
     lake.register()
@@ -75,4 +70,4 @@ def serve(spark: SparkSession, lake: Lake) -> None:
         spark.catalog.cacheTable(f"gold_{name}")
 
 
-__all__ = ["run_pipeline", "serve", "RunResult", "F"]
+__all__ = ["run_pipeline", "serve", "RunResult"]

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timeparse import date_partitions
 from ..operators import quality
 from ..session import apply_lake_conf, scratch_path
 from ..sources import tables
@@ -111,4 +110,4 @@ def win_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["landing_stream", "silver_incremental", "late_data_rebuild", "win_incoming_records", "win_hourly_sum",
-           "win_daily_avg", "win_quality_score", "late_batches", "date_partitions"]
+           "win_daily_avg", "win_quality_score", "late_batches"]

@@ -105,15 +105,6 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join(p.strip("/") if i else p for i, p in enumerate(pieces))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level checks in local runs."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works on any store."""
     jvm = spark.sparkContext._jvm
@@ -140,5 +131,5 @@ def touch(spark: SparkSession, path: str) -> None:
 
 __all__ = [
     "LAKE_CONF", "build_session", "cluster_settings", "apply_lake_conf", "checkpoint_root", "scratch_path",
-    "path_exists", "delete_path", "touch", "local_path",
+    "path_exists", "delete_path", "touch",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE, PARTITION_COLS
+from ..schemas import PARTITION_COLS
 from .zones import read_bronze
 
 
@@ -47,4 +47,4 @@ def discover_schema(spark: SparkSession, path: str, modified_after: str | None =
     return counts.select(stack.alias("s")).select("s.*")
 
 
-__all__ = ["new_files", "read_bronze_with_file", "discover_schema", "BRONZE"]
+__all__ = ["new_files", "read_bronze_with_file", "discover_schema"]
