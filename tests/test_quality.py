@@ -59,3 +59,20 @@ def test_metrics_two_points(spark):
     m = quality.metrics(quality.score(quality.validate(_rows(spark, [GOOD]))))
     assert sorted((r.metric_name, r.unit, r.zone) for r in m.collect()) == [
         ("QualityScore", "None", "Bronze"), ("SampledRecords", "Count", "Bronze")]
+
+
+def test_sample_at_most_five_files_twenty_each(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from shoplake.sinks.writers import write_landing
+    from shoplake.sources import tables
+    from shoplake.sources.bronze import new_files, read_bronze_with_file
+    from conftest import SF001
+    landing = f"{tmp_root}/landing"
+    write_landing(tables.bronze_dirty(spark, SF001), landing, mode="overwrite")
+    files = new_files(spark, landing, "2000-01-01T00:00:00")
+    assert files.count() >= 5
+    assert new_files(spark, landing, "2100-01-01T00:00:00").count() == 0
+    s = quality.sample(read_bronze_with_file(spark, landing), files)
+    per_file = s.groupBy("file_path").count().collect()
+    assert len(per_file) == 5 and all(r["count"] <= 20 for r in per_file)
+    assert s.count() == sum(r["count"] for r in per_file) > 0
