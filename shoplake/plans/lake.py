@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, kpis
 from ..schemas import GOLD, PARTITION_COLS, TX_FIELDS
-from ..session import apply_lake_conf, path_exists, scratch_path, touch
+from ..session import apply_lake_conf, path_exists, path_tag, scratch_path, touch
 from ..sinks.writers import overwrite_partitions, write_partitioned
 from ..sources.zones import read_gold, read_silver
 
@@ -103,7 +103,7 @@ def fixture_lake(spark: SparkSession, sf_dir: str, kind: str) -> Lake:
     if lake is not None and path_exists(spark, f"{lake.root}/_BUILT"):
         return lake
     name = "tx" if kind == "tx" else "events"
-    root = scratch_path(spark, "lake", name + "-" + sf_dir.rstrip("/").replace("/", "_").replace(".", "_"))
+    root = scratch_path(spark, "lake", name + "-" + path_tag(sf_dir))
     lake = Lake(spark, root)
     if not path_exists(spark, f"{root}/_BUILT"):
         typed = tables.tx_raw(spark, sf_dir) if kind == "tx" else tables.events_tx(spark, sf_dir)

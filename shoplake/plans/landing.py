@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ..session import apply_lake_conf, path_exists, scratch_path, touch
+from ..session import apply_lake_conf, path_exists, path_tag, scratch_path, touch
 from ..sinks.writers import write_landing
 from ..sources import tables
 from ..sources.zones import read_bronze
@@ -15,7 +15,7 @@ _BUILT: dict[tuple[str, str], str] = {}
 
 
 def _tag(sf_dir: str) -> str:
-    return sf_dir.rstrip("/").replace("/", "_").replace(".", "_")
+    return path_tag(sf_dir)
 
 
 def landing_path(spark: SparkSession, sf_dir: str) -> str:

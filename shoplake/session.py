@@ -7,6 +7,7 @@ as it is, and only settings that are unset are filled in.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -96,6 +97,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_tag(path: str) -> str:
+    """A folder-name-safe tag for an input location (any URI)."""
+    return re.sub(r"[^A-Za-z0-9]+", "_", path.rstrip("/")).strip("_")
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the checkpoint root, scoped to this application."""
     app = spark.sparkContext.applicationId
@@ -131,5 +137,5 @@ def touch(spark: SparkSession, path: str) -> None:
 
 __all__ = [
     "LAKE_CONF", "build_session", "cluster_settings", "apply_lake_conf", "checkpoint_root", "scratch_path",
-    "path_exists", "delete_path", "touch",
+    "path_exists", "delete_path", "touch", "path_tag",
 ]
