@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 REQUIRED_FIELDS = ["transaction_id", "timestamp", "store_id", "product_id", "total_amount", "quantity", "category"]
 QUALITY_THRESHOLD = 0.95
 STATUS_NO_DATA, STATUS_FAIL, STATUS_OK = "NO_DATA", "QUALITY_FAIL", "OK"
+MSG_MISSING = "Missing field: "
+MSG_AMOUNT = "Invalid total_amount: "
+MSG_QUANTITY = "Invalid quantity: "
+MSG_DISCOUNT = "Discount out of range: "
+ABSENT_TEXT = "None"
+METRIC_SCORE, METRIC_RECORDS = "QualityScore", "SampledRecords"
+UNIT_SCORE, UNIT_RECORDS = "None", "Count"
+METRIC_ZONE = "Bronze"
 # ----------------------------------------------------------------------------
 
 
@@ -35,17 +43,17 @@ def _num(c: str, absent: float) -> Column:
 
 
 def _shown(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit("None"))
+    return F.coalesce(F.col(c), F.lit(ABSENT_TEXT))
 
 
 def rules() -> list[Rule]:
-    out = [Rule(f"missing_{f}", F.col(f).isNull(), F.lit(f"Missing field: {f}")) for f in REQUIRED_FIELDS]
+    out = [Rule(f"missing_{f}", F.col(f).isNull(), F.lit(MSG_MISSING + f)) for f in REQUIRED_FIELDS]
     amount, qty, disc = _num("total_amount", -1.0), _num("quantity", -1.0), _num("discount_pct", -1.0)
-    out.append(Rule("invalid_total_amount", amount <= 0, F.concat(F.lit("Invalid total_amount: "), _shown("total_amount"))))
-    out.append(Rule("invalid_quantity", qty <= 0, F.concat(F.lit("Invalid quantity: "), _shown("quantity"))))
+    out.append(Rule("invalid_total_amount", amount <= 0, F.concat(F.lit(MSG_AMOUNT), _shown("total_amount"))))
+    out.append(Rule("invalid_quantity", qty <= 0, F.concat(F.lit(MSG_QUANTITY), _shown("quantity"))))
     # NaN is the largest double in Spark; a NaN discount is not "> 1".
     out.append(Rule("discount_out_of_range", (disc < 0) | ((disc > 1) & ~F.isnan(disc)),
-                    F.concat(F.lit("Discount out of range: "), _shown("discount_pct"))))
+                    F.concat(F.lit(MSG_DISCOUNT), _shown("discount_pct"))))
     return out
 
 
@@ -76,7 +84,7 @@ def error_counts(validated: DataFrame) -> DataFrame:
     rule whatever the input size.
     """
     e = validated.filter(~F.col("is_valid")).select(F.explode("errors").alias("error"))
-    rule = F.when(F.col("error").startswith("Missing field"), F.col("error")).otherwise(
+    rule = F.when(F.col("error").startswith(MSG_MISSING), F.col("error")).otherwise(
         F.substring_index(F.col("error"), ":", 1))
     return e.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("records"))
 
@@ -93,13 +101,13 @@ def gate(scored: DataFrame, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
     )
 
 
-def metrics(scored: DataFrame, zone: str = "Bronze") -> DataFrame:
+def metrics(scored: DataFrame, zone: str = METRIC_ZONE) -> DataFrame:
     """Two metric points per check: QualityScore and SampledRecords (K6)."""
     pts = F.array(
-        F.struct(F.lit("QualityScore").alias("metric_name"), F.col("quality_score").alias("metric_value"),
-                 F.lit("None").alias("unit")),
-        F.struct(F.lit("SampledRecords").alias("metric_name"), F.col("records").cast("double").alias("metric_value"),
-                 F.lit("Count").alias("unit")),
+        F.struct(F.lit(METRIC_SCORE).alias("metric_name"), F.col("quality_score").alias("metric_value"),
+                 F.lit(UNIT_SCORE).alias("unit")),
+        F.struct(F.lit(METRIC_RECORDS).alias("metric_name"), F.col("records").cast("double").alias("metric_value"),
+                 F.lit(UNIT_RECORDS).alias("unit")),
     )
     return scored.select(F.explode(pts).alias("m")).select("m.*", F.lit(zone).alias("zone"))
 
