@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, kpis
 from ..schemas import GOLD, PARTITION_COLS, TX_FIELDS
-from ..session import apply_lake_conf, path_exists, path_tag, scratch_path, touch
+from ..session import apply_lake_conf, delete_path, path_exists, path_tag, scratch_path, touch
 from ..sinks.writers import overwrite_partitions, write_partitioned
 from ..sources.zones import read_gold, read_silver
 
@@ -58,15 +58,20 @@ class Lake:
         silver = self.silver()
         if days is not None:
             silver = silver.join(F.broadcast(days.select(*PARTITION_COLS).distinct()), PARTITION_COLS, "left_semi")
-        tables = kpis.gold_tables(silver)
+        # One Silver scan: the shared pre-aggregate is written once (a cut in
+        # the lineage that survives executor loss), then rolled up four ways.
+        base_path = scratch_path(self.spark, "staging", unique=True)
+        kpis.kpi_base(silver).write.mode("overwrite").parquet(base_path)
+        tables = kpis.gold_from_base(self.spark.read.parquet(base_path))
 
         def write(name: str) -> None:
             overwrite_partitions(tables[name].select(*[f.name for f in GOLD[name].fields]), f"{self.gold_root}/{name}")
 
-        # The four KPI jobs are independent: submit them together so their
+        # The four roll-ups are independent: submit them together so their
         # stages share the executors instead of running one after another.
         with ThreadPoolExecutor(max_workers=len(tables)) as pool:
             list(pool.map(write, tables))
+        delete_path(self.spark, base_path)
 
     def register(self, prefix: str = "") -> None:
         """Temp views silver_transactions, gold_<name>."""

@@ -117,3 +117,12 @@ def test_gold_job_counts_unique_ids_without_id_shuffle(spark, gold_folder):
     a = g["revenue_by_product"].select("year", "month", "day", "category", "transaction_count")
     b = kpis.revenue_by_product(kpis.sales(gold_folder.silver())).select(*a.columns)
     assert a.exceptAll(b).count() == 0
+
+
+def test_gold_rollups_equal_direct_kpis(spark, gold_folder):
+    silver = gold_folder.silver()
+    rolled = kpis.gold_tables(silver)
+    direct = {name: fn(kpis.sales(silver)) for name, fn in kpis.KPIS.items()}
+    for name in kpis.KPIS:
+        a, b = rolled[name], direct[name].select(*rolled[name].columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
