@@ -9,7 +9,6 @@ return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shoplake.llm import bpe, mixing, neardup, quality, secret_scan
 from shoplake.llm.common import staged, table
@@ -19,7 +18,7 @@ from shoplake.llm.queries import tokenizer
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the classifier rejects."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.learnable())
-    return quality.score(docs, model).filter(F.col("predicted") == 1).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ are then joined with their directory.
 Defined results: a null text is read as empty; a null path has no directory and
 inherits nothing; of several licence files in a directory the best score counts, then
 the first name; equal rows give equal rows; an empty table gives an empty table;
-other columns are kept.
+other columns are kept but for those named like a result or a working column.
 """
 
 from __future__ import annotations
@@ -135,7 +135,7 @@ def detect(files: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pd.DataFrame([model.scan(t) for t in texts], columns=["licence", "score"])
 
     found = own(text_or_empty(text))
-    return shipped(files).withColumn("found", found).select(*files.columns, "found.licence", "found.score")
+    return shipped(files).select("*", found.alias("found")).select(*files.columns, "found.licence", "found.score")
 
 
 def _directory(path: Column) -> Column:
@@ -168,5 +168,6 @@ def inherit(files: DataFrame) -> DataFrame:
 
 def scan(files: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """Licences of all files (path, text, ...): own ones, then inherited ones. The text itself isn't returned."""
+    files = files.drop("licence", "score", "method", "origin", "directory", "is_file", "given", "found")
     own = detect(files, fit(files, templates, text), text).drop(text)
     return inherit(staged(own, "licences"))

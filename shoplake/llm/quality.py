@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import shipped, staged, text_or_empty
+from shoplake.llm.common import fresh_name, shipped, staged, text_or_empty
 
 SAMPLE = 2048  # labelled rows of each class, at most
 DIMS = 48
@@ -186,10 +186,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", s
     return Model(vectors, found["quality"].to_numpy(np.int64), found["doc_id"].to_numpy(np.int64))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
-    """All columns of ``docs`` plus score and predicted; the model is broadcast."""
+def score(docs: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM,
+          score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
+    """All columns of ``docs`` plus score and predicted (which replace columns of those names); the model is broadcast."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
+    names = [c for c in docs.columns if c.lower() not in (score_col.lower(), predicted_col.lower())]
 
     @F.pandas_udf("double")
     def vote(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -202,8 +203,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_from: float =
                 out[at:at + BLOCK] = m.scores(block, keys[at:at + BLOCK])
             yield pd.Series(out)
 
-    scored = shipped(docs).select(*names, vote(text_or_empty(text), F.col("doc_id").cast("long")).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= keep_from).cast("int"))
+    scored = shipped(docs).select(*names, vote(text_or_empty(text), F.col("doc_id").cast("long")).alias(score_col))
+    return scored.withColumn(predicted_col, (F.col(score_col) >= keep_from).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+    """The documents with label 1 predicted, with their own columns only."""
+    names = fresh_name(docs, "quality_score"), fresh_name(docs, "quality_predicted")
+    return score(docs, model, text, keep_from, *names).filter(F.col(names[1]) == 1).select(*docs.columns)
 
 
 def learnable() -> Column:
