@@ -15,11 +15,13 @@ of their shingle sets. With 25 bands of 5, a pair at 0.8 is missed with probabil
 5e-5, at 0.85 with 1e-6.
 
 Work on groups stays linear: texts that are equal word for word are collapsed first.
-In a bucket, leaders are verified against all members of other classes, one leader
-at first and then more each round; a leader that has been compared is done, and a
-bucket is done when its members are of one class. A large group of near copies is
-joined up in the first rounds, and no link between different classes is left
-untested, so there is no cap and nothing is lost.
+In every bucket one leader is compared with the other members, the text that shares
+buckets with the most others: it lies in the middle of its group, so a large group of
+near copies is joined up at once. Texts that are left in a bucket with another class
+are compared exactly by prefix filtering: similar sets share one of their rarest
+shingles. Shingles that no other text has can't be in an overlap; where too many are,
+a pair is ruled out before it is formed. So there is no cap on buckets or partners,
+and no link between texts of different classes that share a band is lost.
 
 Defined results: a null text is read as empty; texts without words are copies of
 each other; a null doc_id is ordered last; rows that are equal in all are copies;
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import shipped, staged, text_or_empty
+from shoplake.llm.common import fresh_name, shipped, staged, text_or_empty
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -46,7 +48,6 @@ LAST_ID = (1 << 63) - 1  # stands for a null doc_id: ordered last
 BATCH_SHINGLES = 200_000
 THROWS = 200_000
 CACHE_WORDS = 1_000_000
-LEADER_GROWTH = 4
 
 _RNG = np.random.default_rng(20240607)
 _ORDER = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -224,6 +225,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
+def _prefix_pairs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of texts of different classes that can be similar enough, by their rarest shingles.
+
+    Two sets of similarity t share one of the ``n - ceil(t n) + 1`` shingles of each that
+    come first in any common order; with the rarest first, few others have them.
+    """
+    rows = live.join(sets, "node").select("node", "n", "label", F.explode("set").alias("shingle"))
+    texts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    order = Window.partitionBy("node").orderBy("texts", "shingle")
+    first = (rows.join(texts, "shingle").withColumn("at", F.row_number().over(order))
+             .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).filter("texts > 1"))
+    first = staged(first.select("shingle", "node", "n", "at", "label"), "dart_prefixes")
+    other = first.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "at", "label")])
+    # before a pair's first common shingle nothing is shared, so enough must be left after it on both sides
+    least = similarity / (1 + similarity) * (F.col("n") + F.col("n_b")) - 1e-6
+    left = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")) + 1
+    pairs = first.join(other, "shingle").filter(
+        (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & (left >= least))
+    return pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component, by label spreading and pointer jumping."""
     both = staged(links.union(links.select("b", "a")).toDF("a", "b").distinct(), "links")
@@ -259,40 +281,42 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY,
                        F.md5(text_or_empty(text).cast("binary")).alias("raw"), text_or_empty(text).alias("text"))
     # rows with the same doc_id and text are one text here
     chosen = own.groupBy("doc_id", "raw").agg(F.min("row").alias("row"))
-    sets = staged(shingle_sets(body.join(chosen, ["doc_id", "raw"]).select(node.alias("node"), "text")), "dart_sets").dropDuplicates(["node"])
-    labels, links, tested, leaders = None, None, None, 1
-    while True:
-        now = members if labels is None else members.join(labels, "node", "left")
-        now = now.withColumn("label", F.col("node") if labels is None else F.coalesce("label", "node"))
-        mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
-        now = staged(now.join(mixed, "key"), "dart_buckets")
-        if now.isEmpty():
-            break
-        order = Window.partitionBy("key").orderBy(F.xxhash64("node"), "node")
-        first = now.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= leaders)
-        first = staged(first.select("key", F.col("node").alias("leader"), F.col("label").alias("of"), F.col("n").alias("m")), "dart_leaders")
-        pairs = now.join(first, "key").filter("node != leader and label != of").filter(
-            F.least("n", "m") >= similarity * F.greatest("n", "m"))
-        pairs = pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "dart_pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = staged(_verified(pairs, sets, similarity), "dart_links")
-        links = found if links is None else links.union(found)
-        members = staged(now.select("node", "n", "key").join(
-            first.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti"), "dart_members")
-        if not found.isEmpty():
-            labels = components(links)
-        leaders *= LEADER_GROWTH
+    sets = staged(shingle_sets(body.join(chosen, ["doc_id", "raw"]).select(node.alias("node"), "text"))
+                  .dropDuplicates(["node"]), "dart_sets")
+    # a shingle that no other text has is in no overlap: what a text can share bounds its links exactly
+    alone = (sets.select(F.col("node.row").alias("row"), F.explode("set").alias("shingle")).groupBy("shingle")
+             .agg(F.count(F.lit(1)).alias("texts"), F.min("row").alias("row")).filter("texts = 1")
+             .groupBy("row").agg(F.count(F.lit(1)).alias("alone")))
+    members = members.join(alone.withColumnRenamed("row", "lone"), F.col("node.row") == F.col("lone"), "left")
+    members = members.select("key", "node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("may"))
+    members = members.filter(F.col("may") >= similarity * F.col("n"))
+    # a text that many share a bucket with is likely the middle of its group: such texts lead first
+    members = staged(members, "dart_members")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    reach = members.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("reach"))
+    members = staged(members.join(reach, "node"), "dart_members")
+    # each bucket's most central text against its other members
+    lead = members.groupBy("key").agg(F.max(F.struct("reach", "node", "n", "may")).alias("first"))
+    ranked = staged(members.join(lead, "key"), "dart_buckets")
+    pairs = ranked.filter(F.col("node") != F.col("first.node")).filter(
+        F.least("may", "first.may") >= similarity / (1 + similarity) * (F.col("n") + F.col("first.n")) - 1e-6)
+    pairs = pairs.select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b")).distinct()
+    links = staged(_verified(pairs, sets, similarity), "dart_links")
+    labels = components(links)
+    # the rest: texts in buckets whose other members aren't of one class yet
+    rest = ranked.filter(F.col("node") != F.col("first.node")).join(labels, "node", "left").select(
+        "key", "node", "n", F.coalesce("label", "node").alias("label"))
+    mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
+    live = staged(rest.join(mixed, "key").select("node", "n", "label").distinct(), "dart_live")
+    more = staged(_verified(_prefix_pairs(live, sets, similarity), sets, similarity), "dart_links")
+    links = links.union(more)
+    if not more.isEmpty():
+        labels = components(links)
     out = sig.select("doc_id", "row", "raw", "digest").join(texts.select("digest", "node", "copies"), "digest")
-    none = F.lit(0).cast("long")
-    if labels is None:
-        out = out.withColumn("label", F.col("node")).withColumn("links", none)
-    else:
-        degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("links"))
-        out = out.join(labels, "node", "left").join(degree, "node", "left")
-        out = out.withColumn("label", F.coalesce("label", "node")).withColumn("links", F.coalesce("links", none))
+    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("links"))
+    out = out.join(labels, "node", "left").join(degree, "node", "left")
+    out = out.withColumn("label", F.coalesce("label", "node")).withColumn(
+        "links", F.coalesce("links", F.lit(0).cast("long")))
     real = lambda c: F.when(c != LAST_ID, c)
     return out.select(real(F.col("doc_id")).alias("doc_id"), "raw", real(F.col("label.doc_id")).alias("class_id"),
                       (node == F.col("label")).alias("keep"), "copies", "links")
@@ -300,6 +324,7 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY,
 
 def deduplicated(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """One document of each class, with all its columns."""
-    kept = classes(docs, text, **how).filter("keep").select(F.struct("doc_id", "raw").alias("dart_key"))
+    own = fresh_name(docs, "dart_key")
+    kept = classes(docs, text, **how).filter("keep").select(F.struct("doc_id", "raw").alias(own))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text_or_empty(text).cast("binary")).alias("raw"))
-    return (docs.withColumn("dart_key", key).join(kept, "dart_key").dropDuplicates(["dart_key"]).select(*docs.columns))
+    return docs.withColumn(own, key).join(kept, own).dropDuplicates([own]).select(*docs.columns)
