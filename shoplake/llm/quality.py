@@ -119,7 +119,7 @@ class Model:
     """Labelled unit vectors and the projection that makes them; a few MB at most."""
 
     def __init__(self, vectors: np.ndarray, labels: np.ndarray, keys: np.ndarray):
-        seen = (vectors > 0).mean(axis=0)
+        seen = (vectors > 0).sum(axis=0) / max(1, len(vectors))
         self.weight = np.log(1 + 1 / np.maximum(seen, 1 / max(1, len(vectors)))).astype(np.float32)
         self.labels, self.keys = labels.astype(np.float64), keys
         self.prior = float(labels.mean()) if len(labels) else 1.0

@@ -13,7 +13,7 @@ best k of every data block are merged per query.
 Defined results: vectors that are null or hold null or non-finite components take
 no part; vectors meet only others of their length; a row is no candidate of itself,
 but an equal row is; ties go to the smaller vec_id; scores beyond a 64-bit integer
-stop at its ends; a null vec_id is no query and takes no part; an empty table gives
+stop at its ends and are ties there; a null vec_id is no query and takes no part; an empty table gives
 an empty table; other columns are ignored.
 """
 
@@ -34,6 +34,7 @@ BLOCK = 4096
 LEAF = 64
 BASE = 1.3
 EXACT = 2.0**53
+LARGEST = (1 << 63) - 1
 FOUND = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -107,7 +108,8 @@ class Best:
                 both.sort()
                 self.found[q] = both[:self.k]
                 if len(self.found[q]) == self.k:
-                    self.kth[q] = -self.found[q][-1][0]
+                    worst = -float(self.found[q][-1][0])  # a little lower where a double can't hold it
+                    self.kth[q] = worst if abs(worst) < EXACT else worst - abs(worst) * 1e-15
 
 
 def dual_search(data: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray,
@@ -120,7 +122,7 @@ def dual_search(data: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np
     centres, qcentres = data[tree.centre], queries[qtree.centre]
     largest = max(1.0, float(np.abs(data).max()), float(np.abs(queries).max()))
     exact = largest * largest * data.shape[1] < EXACT
-    big = None if exact else (data.astype(object), queries.astype(object))
+    big = None if exact else [np.array([[int(x) for x in v] for v in m], dtype=object).reshape(m.shape) for m in (data, queries)]
 
     def bounds(q: int, nodes: np.ndarray) -> np.ndarray:
         r, n = qtree.radius[q], qtree.norm[q]
@@ -158,7 +160,8 @@ def dual_search(data: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np
             nodes = np.concatenate([nodes, *inner]) if inner else nodes
             if leaves:
                 at = np.concatenate(leaves)
-                scores = queries[group] @ data[at].T if exact else big[1][group] @ big[0][at].T
+                scores = (queries[group] @ data[at].T if exact else
+                          np.clip(big[1][group] @ big[0][at].T, -LARGEST, LARGEST).astype(np.int64))
                 products += scores.size
                 top.offer(group, scores, ids[at], query_rows[group][:, None] == rows[at][None, :])
     return top.found, products
@@ -169,8 +172,7 @@ def _group(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     if len(data) and len(queries):
         ints = [np.floor(SCALE * np.stack(p["vector"].to_numpy()).astype(np.float64)) for p in (data, queries)]
         found, _ = dual_search(ints[0], data["vec_id"].to_numpy(), data["row"].to_numpy(), ints[1], queries["row"].to_numpy())
-        low, high = -(1 << 63), (1 << 63) - 1
-        out = [(r, q, i, min(high, max(low, int(-s)))) for r, q, best in zip(queries["row"], queries["vec_id"], found, strict=True)
+            out = [(r, q, i, int(-s)) for r, q, best in zip(queries["row"], queries["vec_id"], found, strict=True)
                for s, i in best]
     return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"]).astype("int64")
 
