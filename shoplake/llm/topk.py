@@ -154,7 +154,7 @@ def dual_search(data: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np
             order = np.argsort(-up)
             nodes, up = nodes[order], up[order]
             nodes = nodes[up >= worst(q)]
-            head, nodes = nodes[:16], nodes[16:]
+            head, nodes = nodes[:4], nodes[4:]
             leaves = [tree.members[n] for n in head if tree.members[n] is not None]
             inner = [np.array(tree.children[n]) for n in head if tree.members[n] is None]
             nodes = np.concatenate([nodes, *inner]) if inner else nodes
@@ -172,7 +172,7 @@ def _group(data: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
     if len(data) and len(queries):
         ints = [np.floor(SCALE * np.stack(p["vector"].to_numpy()).astype(np.float64)) for p in (data, queries)]
         found, _ = dual_search(ints[0], data["vec_id"].to_numpy(), data["row"].to_numpy(), ints[1], queries["row"].to_numpy())
-            out = [(r, q, i, int(-s)) for r, q, best in zip(queries["row"], queries["vec_id"], found, strict=True)
+        out = [(r, q, i, int(-s)) for r, q, best in zip(queries["row"], queries["vec_id"], found, strict=True)
                for s, i in best]
     return pd.DataFrame(out, columns=["query_row", "query_id", "vec_id", "score"]).astype("int64")
 
