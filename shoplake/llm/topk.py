@@ -32,6 +32,7 @@ SCALE = 256
 K = 5
 BLOCK = 4096
 LEAF = 64
+QUERY_LEAF = 8
 BASE = 1.3
 EXACT = 2.0**53
 LARGEST = (1 << 63) - 1
@@ -118,7 +119,7 @@ def dual_search(data: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np
     top, products = Best(len(queries), k), 0
     if not len(data) or not len(queries):
         return top.found, 0
-    tree, qtree = CoverTree(data), CoverTree(queries)
+    tree, qtree = CoverTree(data), CoverTree(queries, QUERY_LEAF)
     centres, qcentres = data[tree.centre], queries[qtree.centre]
     largest = max(1.0, float(np.abs(data).max()), float(np.abs(queries).max()))
     exact = largest * largest * data.shape[1] < EXACT
