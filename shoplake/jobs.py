@@ -79,6 +79,10 @@ def main(argv: list[str] | None = None) -> int:
     rp.add_argument("--out", help="write results here (run id = --run-id)")
     rp.add_argument("--run-id", default="run")
     args = ap.parse_args(argv)
+    if args.job == "report":
+        lacking = [f"--{p.replace('_', '-')}" for p in REPORTS[args.name][2] if getattr(args, p) is None]
+        if lacking:
+            ap.error(f"report {args.name} needs {', '.join(lacking)}")
 
     spark = SparkSession.builder.appName(f"shoplake-{args.job}").getOrCreate()
     apply_lake_conf(spark)
@@ -112,10 +116,8 @@ def main(argv: list[str] | None = None) -> int:
         lake = Lake(spark, args.lake)
         df = lake.silver() if zone == "silver" else lake.gold(zone.split(":", 1)[1])
         out = fn(df, *[getattr(args, p) for p in params])
-        if args.out:
-            print(write_results(out, args.out, args.name, args.run_id))
-        else:
-            out.show(50, truncate=False)
+        path = write_results(out, args.out or f"{args.lake.rstrip('/')}/report_results", args.name, args.run_id)
+        print(json.dumps({"path": path, "rows": spark.read.parquet(path).count()}))
     return 0
 
 

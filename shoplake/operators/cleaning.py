@@ -31,6 +31,10 @@ def type_transactions(df: DataFrame) -> DataFrame:
             dtype = df.schema[f].dataType.typeName()
             col = parse_event_time(f) if dtype == "string" else F.col(f).cast("timestamp_ntz")
             typed.append(col.alias(f))
+        elif SILVER_TYPES[f].typeName() in ("integer", "long") and df.schema[f].dataType.typeName() == "string":
+            # '2.0' is the integer 2; a fraction is no integer
+            number = F.col(f).try_cast("decimal(38,6)")
+            typed.append(F.when(number == F.floor(number), number.try_cast(SILVER_TYPES[f])).alias(f))
         else:
             typed.append(F.col(f).try_cast(SILVER_TYPES[f]).alias(f))
     extra = [c for c in df.columns if c not in TX_FIELDS and c != CORRUPT_COL]
@@ -48,8 +52,13 @@ def drop_critical_nulls(df: DataFrame, critical: list[str] = CRITICAL) -> DataFr
 
 
 def valid_amounts(df: DataFrame, col: str = "total_amount") -> DataFrame:
-    """total_amount strictly positive; NaN rejected (NaN > 0 is true in Spark)."""
-    return df.filter((F.col(col) > 0) & ~F.isnan(F.col(col)))
+    """total_amount positive and within money's range; NaN and infinity rejected."""
+    return df.filter(valid_amount(F.col(col)))
+
+
+def valid_amount(amount: F.Column) -> F.Column:
+    """Above zero and below what DECIMAL(18,2) holds (NaN > 0 is true in Spark)."""
+    return (amount > 0) & ~F.isnan(amount) & (amount < F.lit(1e16))
 
 
 def sales_only(df: DataFrame) -> DataFrame:
@@ -62,17 +71,19 @@ def clean_rule(df: DataFrame) -> F.Column:
     ok = F.lit(True)
     for c in CRITICAL:
         ok = ok & F.col(c).isNotNull()
-    return ok & (F.col("total_amount") > 0) & ~F.isnan(F.col("total_amount"))
+    return ok & valid_amount(F.col("total_amount"))
 
 
 def dedup_latest(df: DataFrame, key: str = "transaction_id", order: list[str] = LATEST_ORDER) -> DataFrame:
     """One row per key: the latest by event time, ties broken by ``order``.
 
     Written as an aggregate of max(struct(order..., rest...)), not a
-    row_number window: the hash aggregate combines map-side, so a key holding
-    a third of all rows is reduced in every task before the shuffle instead
-    of being sorted in one task.
+    row_number window: the (sort) aggregate combines map-side, so a key
+    holding a third of all rows is reduced in every task before the shuffle
+    instead of being sorted in one task. Order columns that ``df`` lacks
+    are left out.
     """
+    order = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in order]
     packed = F.struct(*[F.col(c) for c in order + rest]).alias("_w")
     win = df.groupBy(key).agg(F.max(packed).alias("_w"))

@@ -120,7 +120,7 @@ def kpi_base(silver: DataFrame) -> DataFrame:
     )
 
 
-def gold_from_base(base: DataFrame) -> dict[str, DataFrame]:
+def gold_from_base(base: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     """The four Gold tables as roll-ups of ``kpi_base``."""
     def roll(keys, *aggs):
         return base.groupBy(*DAY, *keys).agg(*aggs)
@@ -133,7 +133,7 @@ def gold_from_base(base: DataFrame) -> dict[str, DataFrame]:
     pay = roll(["payment_method"], rev, F.sum("_tx").alias("transaction_count"))
     top = roll(["product_id", "product_name", "category"], rev, F.sum("_units").alias("units_sold"))
     w = Window.partitionBy(*DAY).orderBy(F.col("_rev").desc())
-    top = top.withColumn("revenue_rank", F.rank().over(w)).filter(F.col("revenue_rank") <= 10)
+    top = top.withColumn("revenue_rank", F.rank().over(w)).filter(F.col("revenue_rank") <= k)
     out = {}
     for name, df, keys, measures in [
         ("revenue_by_product", prod, ["category"], ["total_revenue", "units_sold", "transaction_count", "avg_order_value"]),

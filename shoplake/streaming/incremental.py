@@ -22,22 +22,28 @@ from ..sources.zones import read_silver
 from ..sinks.writers import replace_partitions, write_partitioned
 
 
-def _partition_filter(days: list[dict[str, str]]) -> F.Column:
-    cond = F.lit(False)
-    for d in days:
-        cond = cond | ((F.col("year") == d["year"]) & (F.col("month") == d["month"]) & (F.col("day") == d["day"]))
-    return cond
+def _days_frame(spark: SparkSession, days: list[dict[str, str]]) -> DataFrame:
+    return spark.createDataFrame([tuple(d[c] for c in PARTITION_COLS) for d in days],
+                                 ", ".join(f"{c} string" for c in PARTITION_COLS))
 
 
-def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_days: int | None = None) -> list[dict]:
+def _in_days(df: DataFrame, days: list[dict[str, str]], how: str = "left_semi") -> DataFrame:
+    """The rows of (or, with ``left_anti``, outside) a list of days.
+
+    A join on the partition columns: the plan stays small for any number of
+    days, and dynamic partition pruning keeps the scan to their folders.
+    """
+    return df.join(_days_frame(df.sparkSession, days), PARTITION_COLS, how).select(*df.columns)
+
+
+def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dict]:
     """Merge typed rows into Silver; returns the partitions that changed.
 
     Only days that hold an earlier version of one of the batch's ids are
     rewritten (R). Every other winning row is appended to its day: in the
     usual case (fresh ids) a micro-batch is a pure append and never rewrites
     existing data. Finding earlier versions is a semi-join that reads only
-    ``transaction_id`` and the partition columns of Silver; ``lookback_days``
-    (optional) limits it to recent days, by default every day is searched.
+    ``transaction_id`` and the partition columns of Silver, of every day.
 
     Failure safety: both outputs are staged first; the rewrite of R happens
     before the append. A batch retried after a partial run finds its own
@@ -51,12 +57,6 @@ def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_da
         rewrite: list[dict] = []
         if existing is not None:
             ids = existing.select("transaction_id", *PARTITION_COLS)
-            if lookback_days is not None:
-                lo = batch.agg(F.min("timestamp")).first()[0]
-                if lo is not None:
-                    lo_day = F.date_sub(F.to_date(F.lit(lo)), lookback_days)
-                    ids = ids.filter(F.make_date(F.col("year").cast("int"), F.col("month").cast("int"),
-                                                 F.col("day").cast("int")) >= lo_day)
             earlier = ids.join(batch.select("transaction_id"), "transaction_id", "left_semi")
             # Days holding earlier versions: metadata-sized (days, not rows).
             rewrite = [r.asDict() for r in earlier.select(*PARTITION_COLS).distinct().collect()]
@@ -64,18 +64,17 @@ def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_da
         if rewrite:
             # The winners read the days being replaced: stage them before any
             # file of Silver changes (never overwrite what the plan reads).
-            old = existing.filter(_partition_filter(rewrite)).select(*TX_FIELDS)
+            old = _in_days(existing, rewrite).select(*TX_FIELDS)
             winners = cleaning.add_date_partitions(cleaning.dedup_latest(old.unionByName(batch.select(*TX_FIELDS))))
             staging = scratch_path(spark, "staging", unique=True)
             write_partitioned(winners, staging, mode="overwrite")
             winners = read_silver(spark, staging)
         else:
             winners = batch
-        in_r = _partition_filter(rewrite)
         if rewrite:
-            affected = spark.createDataFrame(rewrite, "year string, month string, day string")
-            replace_partitions(spark, winners.filter(in_r), lake.silver_path, affected, schema=SILVER, staged=True)
-        fresh = winners.filter(~in_r)
+            affected = _days_frame(spark, rewrite)
+            replace_partitions(spark, _in_days(winners, rewrite), lake.silver_path, affected, schema=SILVER, staged=True)
+        fresh = _in_days(winners, rewrite, "left_anti")
         fresh_days = [r.asDict() for r in fresh.select(*PARTITION_COLS).distinct().collect()]
         if fresh_days:
             write_partitioned(fresh, lake.silver_path, mode="append")
@@ -91,15 +90,15 @@ def rebuild_gold(spark: SparkSession, lake: Lake, days: list[dict]) -> None:
     """Recompute the Gold days in ``days`` from Silver (late data, T7)."""
     if not days:
         return
-    silver = lake.silver().filter(_partition_filter(days))
-    affected = spark.createDataFrame(days, "year string, month string, day string")
+    silver = _in_days(lake.silver(), days)
+    affected = _days_frame(spark, days)
     for name, table in kpis.gold_tables(silver).items():
         cols = [f.name for f in GOLD[name].fields]
         replace_partitions(spark, table.select(*cols), f"{lake.gold_root}/{name}", affected, schema=GOLD[name])
 
 
-def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame, lookback_days: int | None = None) -> list[dict]:
-    days = upsert_silver(spark, lake, typed, lookback_days)
+def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dict]:
+    days = upsert_silver(spark, lake, typed)
     rebuild_gold(spark, lake, days)
     return days
 

@@ -101,3 +101,19 @@ def test_dedup_with_one_id_holding_a_third_of_rows(spark):
     out = cleaning.dedup_latest(df)
     assert out.count() == 6001
     assert out.filter("transaction_id = 'hot'").first().total_amount == 2999.0
+
+
+def test_amounts_beyond_money_and_whole_number_text(spark):
+    raw = spark.createDataFrame(
+        [("a", "2.0", "10.5"), ("b", "2.5", "Infinity"), ("c", "3", "1e300"), ("d", "x", "NaN"), ("e", "4", "1e16")],
+        "transaction_id string, quantity string, total_amount string")
+    typed = cleaning.type_transactions(raw)
+    assert {r.transaction_id: r.quantity for r in typed.collect()} == {"a": 2, "b": None, "c": 3, "d": None, "e": 4}
+    assert [r.transaction_id for r in cleaning.valid_amounts(typed).collect()] == ["a"]
+
+
+def test_dedup_latest_with_fewer_columns(spark):
+    df = spark.createDataFrame([("x", "s1", 1.0), ("x", "s1", 2.0), ("y", "s2", 3.0)],
+                               "transaction_id string, store_id string, total_amount double")
+    got = cleaning.dedup_latest(df).collect()
+    assert sorted((r.transaction_id, r.total_amount) for r in got) == [("x", 2.0), ("y", 3.0)]
