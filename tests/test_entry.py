@@ -13,7 +13,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     import __spark_entry__ as E
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(E.lake_queries()) - set(E.oracle_sql())
     assert missing == {"new_files", "dq_sample"}
 
 
