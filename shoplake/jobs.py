@@ -16,10 +16,12 @@ if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from shoplake.operators import cleaning, quality, reports  # noqa: E402
 from shoplake.plans.lake import Lake  # noqa: E402
 from shoplake.plans.pipeline import run_pipeline  # noqa: E402
+from shoplake.schemas import CORRUPT_COL  # noqa: E402
 from shoplake.session import apply_lake_conf  # noqa: E402
 from shoplake.sinks.writers import write_results  # noqa: E402
 from shoplake.sources.zones import read_bronze  # noqa: E402
@@ -92,7 +94,9 @@ def main(argv: list[str] | None = None) -> int:
         if args.checkpoint:
             incremental.run_incremental(spark, args.bronze, lake, args.checkpoint, args.files_per_batch)
         else:
-            lake.build_silver(cleaning.type_transactions(read_bronze(spark, args.bronze)))
+            bronze = read_bronze(spark, args.bronze, keep_corrupt=True)
+            lake.write_errors(bronze, "source=full/batch=0")
+            lake.build_silver(cleaning.type_transactions(bronze.filter(F.col(CORRUPT_COL).isNull())))
     elif args.job == "silver-to-gold":
         lake = Lake(spark, args.lake)
         days = _days(args.days)
@@ -101,7 +105,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             lake.build_gold()
     elif args.job == "quality-check":
-        v = quality.gate(quality.score(quality.validate(read_bronze(spark, args.bronze))), args.threshold).first()
+        checked = quality.validate(read_bronze(spark, args.bronze, keep_corrupt=True))  # a broken line is an invalid record
+        v = quality.gate(quality.score(checked), args.threshold).first()
         print(json.dumps(v.asDict()))
         return 0 if v.status == quality.STATUS_OK else 2
     elif args.job == "pipeline":

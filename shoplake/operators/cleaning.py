@@ -166,13 +166,28 @@ def reject_reasons(bronze: DataFrame) -> DataFrame:
     """
     typed = type_transactions(bronze.withColumnRenamed("timestamp", "_raw_time").withColumn(
         "timestamp", F.col("_raw_time")))
-    missing = F.lit(False)
+    return typed.withColumn("error_type", _reason(F.col("_raw_time"))).filter(F.col("error_type").isNotNull())
+
+
+def _reason(raw_time: F.Column) -> F.Column:
+    """The first failing rule of a typed row (null: it passes); exactly the rows that ``to_silver`` drops have one."""
+    missing = raw_time.isNull()
     for c in CRITICAL:
         if c != "timestamp":
             missing = missing | F.col(c).isNull()
-    missing = missing | F.col("_raw_time").isNull()
-    amount = F.col("total_amount")
-    reason = (F.when(missing, F.lit("missing_field"))
-              .when(F.col("timestamp").isNull(), F.lit("bad_timestamp"))
-              .when(~(amount > 0) | F.isnan(amount), F.lit("invalid_amount")))
-    return typed.withColumn("error_type", reason).filter(F.col("error_type").isNotNull())
+    return (F.when(missing, F.lit("missing_field"))
+            .when(F.col("timestamp").isNull(), F.lit("bad_timestamp"))
+            .when(~valid_amount(F.col("total_amount")), F.lit("invalid_amount")))
+
+
+def dead_letters(bronze: DataFrame) -> DataFrame:
+    """Rejected Bronze rows as they arrived (all text), with ``error_type``.
+
+    Besides the reasons of ``reject_reasons`` a line that isn't JSON is a
+    ``corrupt_record``: its text is in the corrupt column.
+    """
+    raw = F.struct(*[F.col(c) for c in bronze.columns]).alias("_raw")
+    typed = type_transactions(bronze.select("*", raw))
+    reason = F.when(F.col(f"_raw.{CORRUPT_COL}").isNotNull(), F.lit("corrupt_record")).otherwise(
+        _reason(F.col("_raw.timestamp")))
+    return typed.select("_raw", reason.alias("error_type")).filter(F.col("error_type").isNotNull()).select("_raw.*", "error_type")

@@ -12,11 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import cleaning, kpis
-from ..schemas import GOLD, PARTITION_COLS, TX_FIELDS
+from ..schemas import BRONZE_WITH_CORRUPT, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
 from ..session import apply_lake_conf, delete_path, path_exists, path_tag, scratch_path, touch
-from ..sinks.writers import overwrite_partitions, write_partitioned
+from ..sinks.writers import overwrite_partitions, replace_partitions, write_partitioned
 from ..sources.zones import read_gold, read_silver
 
 
@@ -45,15 +46,32 @@ class Lake:
     def build_silver(self, typed: DataFrame, mode: str = "overwrite") -> None:
         """Typed transactions -> Silver (one pass: rules, dedup, partitions)."""
         silver = cleaning.to_silver(typed.select(*TX_FIELDS))
-        write_partitioned(silver, self.silver_path, mode=mode)
+        if mode == "overwrite" and path_exists(self.spark, self.silver_path):
+            # a full rebuild also clears the days that no longer have rows
+            replace_partitions(self.spark, silver, self.silver_path, self._days(self.silver()), schema=SILVER)
+        else:
+            write_partitioned(silver, self.silver_path, mode=mode)
+
+    def _days(self, zone: DataFrame) -> DataFrame:
+        """The days of a written zone, listed now: calendar-sized."""
+        days = [tuple(r) for r in zone.select(*PARTITION_COLS).distinct().collect()]
+        return self.spark.createDataFrame(days, ", ".join(f"{c} string" for c in PARTITION_COLS))
+
+    def write_errors(self, bronze: DataFrame, batch: str) -> None:
+        """Dead-letter sink: the rejected rows of one load under errors/<batch>/error_type=; a repeated load replaces its own."""
+        write_partitioned(cleaning.dead_letters(bronze), f"{self.root}/errors/{batch}", ["error_type"], mode="overwrite")
+
+    def errors(self) -> DataFrame:
+        """Every dead letter: the text columns, the corrupt line, error_type."""
+        schema = T.StructType([*BRONZE_WITH_CORRUPT.fields, T.StructField("error_type", T.StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/errors")
 
     def build_gold(self, days: DataFrame | None = None) -> None:
         """Silver -> the four Gold tables, replacing only the days present.
 
         ``days`` (year, month, day rows) limits the rebuild to touched days
-        (late data); by default every Silver day is rebuilt. The sales frame
-        is read once per KPI from columnar Silver with only the KPI columns,
-        which is cheaper than caching it at scale.
+        (late data); by default every Silver day is rebuilt and days that
+        Silver no longer has are cleared.
         """
         silver = self.silver()
         if days is not None:
@@ -65,7 +83,11 @@ class Lake:
         tables = kpis.gold_from_base(self.spark.read.parquet(base_path))
 
         def write(name: str) -> None:
-            overwrite_partitions(tables[name].select(*[f.name for f in GOLD[name].fields]), f"{self.gold_root}/{name}")
+            table, path = tables[name].select(*[f.name for f in GOLD[name].fields]), f"{self.gold_root}/{name}"
+            if days is None and path_exists(self.spark, path):
+                replace_partitions(self.spark, table, path, self._days(self.gold(name)), schema=GOLD[name], staged=True)
+            else:
+                overwrite_partitions(table, path)
 
         # The four roll-ups are independent: submit them together so their
         # stages share the executors instead of running one after another.

@@ -1,20 +1,21 @@
 """The gated daily pipeline (C3): gate -> discovery -> Silver -> Gold -> reports.
 
-The gate's verdict really stops the run: on NO_DATA or QUALITY_FAIL no zone
-is touched. The verdict row is the only value the driver collects.
+The gate runs inside the ingesting stream, over the batch that is ingested: a
+batch that fails is quarantined whole and no zone is touched. One verdict row
+per batch is what the driver collects.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..operators import quality, reports
 from ..schemas import BRONZE
+from ..session import path_tag
 from ..sinks.writers import write_results
 from ..sources.bronze import discover_schema, new_files
-from ..sources.zones import read_bronze
 from ..streaming import incremental
 from .lake import Lake
 
@@ -28,30 +29,26 @@ class RunResult:
     results: dict[str, str] = field(default_factory=dict)
 
 
-def _append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after: str, report_month: tuple[str, str],
                  threshold: float = quality.QUALITY_THRESHOLD, run_id: str = "run") -> RunResult:
-    files = new_files(spark, landing, modified_after)
-    if files.isEmpty():
-        verdict = quality.gate(quality.score(quality.validate(spark.createDataFrame([], BRONZE))),
-                               threshold)
-    else:
-        # Only files that arrived since the last run are checked.
-        validated = quality.validate(read_bronze(spark, landing, modified_after=modified_after))
-        scored = quality.score(validated).persist()
-        _append(quality.metrics(scored), f"{lake.root}/ops/metrics")
-        verdict = quality.gate(scored, threshold)
-    verdict = verdict.persist()
-    _append(quality.alerts(verdict), f"{lake.root}/ops/alerts")
-    row = verdict.first()
-    if row["status"] != quality.STATUS_OK:
-        return RunResult(row["status"], row["quality_score"], row["records"])
+    """Gate and ingest the files since ``modified_after`` that no run has taken; reports only when all passed."""
+    checkpoint = f"{lake.root}/_checkpoints/silver"
+    verdicts = []
+    if not new_files(spark, landing, modified_after).isEmpty():
+        verdicts = incremental.run_incremental(spark, landing, lake, checkpoint, threshold=threshold,
+                                               modified_after=modified_after)
+    records = sum(v.records for v in verdicts)
+    if not records:
+        nothing = quality.gate(quality.score(quality.validate(spark.createDataFrame([], BRONZE))), threshold)
+        (quality.alerts(nothing).write.mode("overwrite")
+         .parquet(f"{lake.root}/ops/alerts/source={path_tag(checkpoint)}/batch=none_{run_id}"))
+        return RunResult(quality.STATUS_NO_DATA, 0.0, 0)
+    score = 1 - sum(v.invalid_records for v in verdicts) / records
+    # a batch left over from a run that broke off has its own verdict
+    if any(v.status == quality.STATUS_FAIL for v in verdicts):
+        return RunResult(quality.STATUS_FAIL, score, records)
 
     schema = [tuple(r) for r in discover_schema(spark, landing, modified_after).collect()]  # one row per column
-    incremental.run_incremental(spark, landing, lake, f"{lake.root}/_checkpoints/silver")
     year, month = report_month
     out = {}
     for name, df in {
@@ -60,7 +57,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
         "transaction_trend": reports.transaction_trend(lake.silver()),
     }.items():
         out[name] = write_results(df, f"{lake.root}/results", name, run_id)
-    return RunResult(row["status"], row["quality_score"], row["records"], schema, out)
+    return RunResult(quality.STATUS_OK, score, records, schema, out)
 
 
 def serve(spark: SparkSession, lake: Lake) -> None:

@@ -11,16 +11,18 @@ committed file. Gold is then rebuilt for the touched days only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, kpis
+from ..operators import cleaning, kpis, quality
 from ..plans.lake import Lake
-from ..schemas import BRONZE, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
-from ..session import delete_path, path_exists, scratch_path
+from ..schemas import BRONZE_WITH_CORRUPT, CORRUPT_COL, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
+from ..session import delete_path, path_exists, path_tag, scratch_path
 from ..sources.zones import read_silver
 from ..sinks.writers import replace_partitions, write_partitioned
 
+ARRIVED = "_arrived"  # the landing file's modification time
+
 
 def _days_frame(spark: SparkSession, days: list[dict[str, str]]) -> DataFrame:
     return spark.createDataFrame([tuple(d[c] for c in PARTITION_COLS) for d in days],
@@ -36,7 +38,7 @@ def _in_days(df: DataFrame, days: list[dict[str, str]], how: str = "left_semi")
     return df.join(_days_frame(df.sparkSession, days), PARTITION_COLS, how).select(*df.columns)
 
 
-def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dict]:
+def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[dict]:
     """Merge typed rows into Silver; returns the partitions that changed.
 
     Only days that hold an earlier version of one of the batch's ids are
@@ -48,6 +50,9 @@ def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dic
     Failure safety: both outputs are staged first; the rewrite of R happens
     before the append. A batch retried after a partial run finds its own
     appended rows as earlier versions and rewrites them to the same result.
+    With ``journal`` (a folder of this batch) the days are noted before Silver
+    changes, and a retry returns those of every attempt: a day that an id left
+    in the first attempt no longer shows in the second one.
     """
     batch = cleaning.add_date_partitions(cleaning.dedup_latest(
         cleaning.valid_amounts(cleaning.drop_critical_nulls(typed.select(*TX_FIELDS)))))
@@ -71,17 +76,21 @@ def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dic
             winners = read_silver(spark, staging)
         else:
             winners = batch
+        fresh = _in_days(winners, rewrite, "left_anti")
+        fresh_days = [r.asDict() for r in fresh.select(*PARTITION_COLS).distinct().collect()]
+        days = rewrite + fresh_days
+        if journal and days:
+            _days_frame(spark, days).coalesce(1).write.mode("append").parquet(journal)
         if rewrite:
             affected = _days_frame(spark, rewrite)
             replace_partitions(spark, _in_days(winners, rewrite), lake.silver_path, affected, schema=SILVER, staged=True)
-        fresh = _in_days(winners, rewrite, "left_anti")
-        fresh_days = [r.asDict() for r in fresh.select(*PARTITION_COLS).distinct().collect()]
         if fresh_days:
             write_partitioned(fresh, lake.silver_path, mode="append")
         if staging:
             delete_path(spark, staging)
-        seen = {tuple(d.values()) for d in rewrite}
-        return rewrite + [d for d in fresh_days if tuple(d.values()) not in seen]
+        if journal and days:
+            days = [r.asDict() for r in spark.read.schema(_days_frame(spark, []).schema).parquet(journal).distinct().collect()]
+        return days
     finally:
         batch.unpersist()
 
@@ -97,28 +106,73 @@ def rebuild_gold(spark: SparkSession, lake: Lake, days: list[dict]) -> None:
         replace_partitions(spark, table.select(*cols), f"{lake.gold_root}/{name}", affected, schema=GOLD[name])
 
 
-def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame) -> list[dict]:
-    days = upsert_silver(spark, lake, typed)
+def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[dict]:
+    days = upsert_silver(spark, lake, typed, journal)
     rebuild_gold(spark, lake, days)
     return days
 
 
+def _cutoff(spark: SparkSession, path: str, modified_after: str) -> str:
+    """The batch's cut-off, noted at its first attempt so that a retry splits the batch alike."""
+    spark.createDataFrame([(modified_after,)], "cut string").write.mode("ignore").parquet(path)
+    noted = spark.read.schema("cut string").parquet(path).first()
+    return noted.cut if noted else modified_after
+
+
 def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoint: str,
-                    max_files_per_trigger: int | None = None, with_gold: bool = True) -> None:
-    """Process every landing file not yet committed, then stop (availableNow)."""
-    reader = spark.readStream.schema(BRONZE).option("multiLine", "false").option("mode", "DROPMALFORMED")
+                    max_files_per_trigger: int | None = None, with_gold: bool = True,
+                    threshold: float | None = None, modified_after: str | None = None) -> list[Row]:
+    """Process every landing file not yet committed, then stop (availableNow).
+
+    Every landing record ends in one place. Rows that cleaning rejects and
+    lines that aren't JSON go to ``errors/``. With ``threshold`` each
+    micro-batch passes the quality gate first, over exactly the rows that
+    would be ingested; a batch that fails goes to ``quarantine/`` whole and
+    Silver stays as it is. With ``modified_after`` the rows of older files
+    that no run has taken yet are set aside in ``quarantine/`` too, unchecked.
+    All are written per batch, so a retried batch replaces its own. Returns
+    the verdict row of every gated batch.
+    """
+    reader = (spark.readStream.schema(BRONZE_WITH_CORRUPT).option("multiLine", "false").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(bronze_path)
-    stream = stream.drop(*[c for c in PARTITION_COLS if c in stream.columns])
+    stream = stream.select(*[c for c in stream.columns if c not in PARTITION_COLS],
+                           F.col("_metadata.file_modification_time").alias(ARRIVED))
+    source = f"source={path_tag(checkpoint)}"
+    verdicts: list[Row] = []
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        typed = cleaning.type_transactions(batch)
+        name = f"{source}/batch={epoch_id}"
+        notes = f"{lake.root}/ops/batches/{name}"
+        if modified_after:
+            cut = F.lit(_cutoff(spark, f"{notes}/cut", modified_after) + "Z").cast("timestamp")
+            old = batch.filter(F.col(ARRIVED) <= cut).drop(ARRIVED)
+            if not old.isEmpty():
+                old.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=before_cutoff")
+            batch = batch.filter(F.col(ARRIVED) > cut)
+        batch = batch.drop(ARRIVED)
+        if threshold is not None:
+            scored = quality.score(quality.validate(batch))
+            totals = spark.createDataFrame([scored.first()], scored.schema)  # one row
+            verdict = quality.gate(totals, threshold)
+            quality.metrics(totals).write.mode("overwrite").parquet(f"{lake.root}/ops/metrics/{name}")
+            quality.alerts(verdict).write.mode("overwrite").parquet(f"{lake.root}/ops/alerts/{name}")
+            row = verdict.first()
+            verdicts.append(row)
+            if row.status != quality.STATUS_OK:
+                if row.records:
+                    batch.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
+                return
+        lake.write_errors(batch, name)
+        typed = cleaning.type_transactions(batch.filter(F.col(CORRUPT_COL).isNull()))
         if with_gold:
-            apply_batch(spark, lake, typed)
+            apply_batch(spark, lake, typed, f"{notes}/days")
         else:
-            upsert_silver(spark, lake, typed)
+            upsert_silver(spark, lake, typed, f"{notes}/days")
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    return verdicts
