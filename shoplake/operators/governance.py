@@ -36,7 +36,7 @@ def _age_days(as_of: str) -> F.Column:
 def retention_expired(df: DataFrame, as_of: str, keep_days: int = 730) -> DataFrame:
     """Partitions older than ``keep_days`` before ``as_of`` (to be deleted).
 
-    Only partition columns are read, so this lists folders, not rows.
+    Only partition columns are read: no data pages, but every file's footer.
     """
     parts = df.select(*PARTITION_COLS).distinct()
     return parts.filter(_age_days(as_of) > F.lit(keep_days)).withColumn("age_days", _age_days(as_of))

@@ -31,7 +31,12 @@ class RunResult:
 
 def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after: str, report_month: tuple[str, str],
                  threshold: float = quality.QUALITY_THRESHOLD, run_id: str = "run") -> RunResult:
-    """Gate and ingest the files since ``modified_after`` that no run has taken; reports only when all passed."""
+    """Gate and ingest the files since ``modified_after`` that no run has taken; reports only when all passed.
+
+    Files that a run has taken (or quarantined) are not read again: a second
+    run without new files is NO_DATA. A batch that broke off is retried by the
+    next run that finds a new file.
+    """
     checkpoint = f"{lake.root}/_checkpoints/silver"
     verdicts = []
     if not new_files(spark, landing, modified_after).isEmpty():
