@@ -384,6 +384,9 @@ SELECT transaction_id, len(errors) = 0 AS is_valid, CAST(len(errors) AS INTEGER)
     q["dq_error_log"] = with_bronze("""
 SELECT COALESCE(transaction_id, 'unknown') AS record_id, array_to_string(errors, '; ') AS errors_text
 FROM validated WHERE len(errors) > 0""")
+    q["dq_first_errors"] = with_bronze("""
+SELECT COALESCE(transaction_id, 'unknown') AS record_id, array_to_string(errors, '; ') AS errors_text
+FROM validated WHERE len(errors) > 0 ORDER BY record_id, errors_text LIMIT 5""")
     q["dq_error_counts"] = with_bronze("""
 , e AS (SELECT unnest(errors) AS error FROM validated WHERE len(errors) > 0)
 SELECT CASE WHEN starts_with(error, 'Missing field') THEN error ELSE split_part(error, ':', 1) END AS rule,
@@ -414,6 +417,9 @@ resent AS (
 all_rows AS (SELECT * FROM ev_raw UNION ALL SELECT * FROM resent),
 {silver_cte('ls', 'all_rows')},{gold_ctes('gl', 'ls')}
 SELECT * FROM gl_product"""
+    # the same rows, whether a batch was retried or the lake rebuilt
+    q["late_data_retry"] = q["rebuild_moved_day"] = q["late_data_rebuild"]
+    q["dead_letter_written"] = b["dead_letter"]
     amt = dec("value")
     q["win_incoming_records"] = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,

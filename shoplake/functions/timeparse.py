@@ -17,7 +17,18 @@ def parse_event_time(c: Column | str) -> Column:
     """
     col = F.col(c) if isinstance(c, str) else c
     instant = F.try_to_timestamp(col, F.lit(EVENT_TIME_PATTERN))
-    return F.convert_timezone(None, F.lit("UTC"), instant)
+    return utc_wall(instant)
+
+
+def utc_wall(c: Column) -> Column:
+    """TIMESTAMP -> UTC wall-clock TIMESTAMP_NTZ, from its microseconds: no local time (and no repeated hour) in between."""
+    seconds = (F.unix_micros(c).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def utc_instant(c: Column) -> Column:
+    """UTC wall-clock TIMESTAMP_NTZ -> TIMESTAMP; the text names its zone, so the session's plays no part."""
+    return F.concat(c.cast("string"), F.lit("Z")).cast("timestamp")
 
 
 def as_utc_ntz(c: Column | str) -> Column:

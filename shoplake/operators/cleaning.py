@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money as M
-from ..functions.timeparse import date_partitions, parse_event_time
+from ..functions.timeparse import date_partitions, parse_event_time, utc_wall
 from ..schemas import CORRUPT_COL, PARTITION_COLS, SILVER_TYPES, TX_FIELDS
 
 # Columns whose absence makes a row unusable in Silver.
@@ -29,7 +29,8 @@ def type_transactions(df: DataFrame) -> DataFrame:
             typed.append(F.lit(None).cast(SILVER_TYPES[f]).alias(f))
         elif f == "timestamp":
             dtype = df.schema[f].dataType.typeName()
-            col = parse_event_time(f) if dtype == "string" else F.col(f).cast("timestamp_ntz")
+            col = (parse_event_time(f) if dtype == "string" else utc_wall(F.col(f)) if dtype == "timestamp"
+                   else F.col(f).cast("timestamp_ntz"))
             typed.append(col.alias(f))
         elif SILVER_TYPES[f].typeName() in ("integer", "long") and df.schema[f].dataType.typeName() == "string":
             # '2.0' is the integer 2; a fraction is no integer

@@ -77,6 +77,11 @@ def error_log(validated: DataFrame) -> DataFrame:
             .select(F.coalesce(F.col("transaction_id"), F.lit("unknown")).alias("record_id"), "errors"))
 
 
+def first_errors(validated: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` first records of the error log by record id, for verdicts and alerts (O6): every task keeps n rows."""
+    return error_log(validated).orderBy("record_id", F.array_join("errors", "; ")).limit(n)
+
+
 def error_counts(validated: DataFrame) -> DataFrame:
     """Invalid records per rule: a histogram instead of a 5-row sample (Q7).
 
@@ -139,6 +144,8 @@ def sample(bronze_with_file: DataFrame, candidates: DataFrame, files: int = 5, p
     from pyspark.sql import Window
 
     chosen = candidates.select("file_path").distinct().orderBy(F.rand(seed)).limit(files)
-    rows = bronze_with_file.withColumn("_pos", F.monotonically_increasing_id()).join(chosen, "file_path", "left_semi")
+    # ``files`` paths at most; as a filter on the file's own path they keep the other files from being opened
+    paths = [r.file_path for r in chosen.collect()]
+    rows = bronze_with_file.filter(F.col("file_path").isin(paths)).withColumn("_pos", F.monotonically_increasing_id())
     w = Window.partitionBy("file_path").orderBy("_pos")
     return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_file).drop("_n", "_pos")

@@ -70,6 +70,41 @@ def late_data_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.gold("revenue_by_product")
 
 
+def dead_letter_written(spark: SparkSession, sf_dir: str, files_per_batch: int = 8) -> DataFrame:
+    """Landing files through the stream; what it wrote under errors/ is read back."""
+    apply_lake_conf(spark)
+    run = scratch_path(spark, "streams", "errors", unique=True)
+    lake = Lake(spark, f"{run}/lake")
+    incremental.run_incremental(spark, landing_path(spark, sf_dir), lake, f"{run}/_checkpoint",
+                                max_files_per_trigger=files_per_batch, with_gold=False)
+    return lake.errors().select("transaction_id", F.col("timestamp").alias("raw_timestamp"), "error_type")
+
+
+def late_data_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``late_data_rebuild``, but the second batch breaks off between Silver and Gold and is run again."""
+    apply_lake_conf(spark)
+    run = scratch_path(spark, "streams", "retry", unique=True)
+    lake = Lake(spark, f"{run}/lake")
+    first, second = late_batches(spark, sf_dir)
+    incremental.apply_batch(spark, lake, first)
+    incremental.upsert_silver(spark, lake, second, f"{run}/days")
+    incremental.apply_batch(spark, lake, second, f"{run}/days")
+    return lake.gold("revenue_by_product")
+
+
+def rebuild_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake built 40 days late, then rebuilt in full: days that no longer have rows must be gone."""
+    apply_lake_conf(spark)
+    run = scratch_path(spark, "streams", "moved", unique=True)
+    lake = Lake(spark, f"{run}/lake")
+    first, second = late_batches(spark, sf_dir)
+    rows = first.unionByName(second)
+    for typed in (rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS")), rows):
+        lake.build_silver(typed)
+        lake.build_gold()
+    return lake.gold("revenue_by_product")
+
+
 def _four_files(spark: SparkSession, sf_dir: str, run: str) -> str:
     """The events table split into four time-ordered files (the stream's input)."""
     path = f"{run}/events"
@@ -110,4 +145,5 @@ def win_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["landing_stream", "silver_incremental", "late_data_rebuild", "win_incoming_records", "win_hourly_sum",
-           "win_daily_avg", "win_quality_score", "late_batches"]
+           "win_daily_avg", "win_quality_score", "late_batches", "dead_letter_written", "late_data_retry",
+           "rebuild_moved_day"]

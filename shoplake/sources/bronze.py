@@ -29,8 +29,10 @@ def discover_schema(spark: SparkSession, path: str, modified_after: str | None =
     """Schema discovery over a landing folder with drifting batches.
 
     The JSON schema is inferred over all files (Spark merges columns and
-    widens types); each column is then counted per landing partition: a
-    column that appears only in newer batches shows a smaller count. Output:
+    widens types); whether a column occurs is reduced per landing partition
+    first, map-side, and then summed (no distinct counts, so no copy of each
+    row per column): a column that appears only in newer batches shows a
+    smaller count. Output:
     (column_name, data_type, partitions), one row per column.
     """
     reader = spark.read.option("multiLine", "false")
@@ -40,7 +42,8 @@ def discover_schema(spark: SparkSession, path: str, modified_after: str | None =
     cols = [f for f in inferred.schema.fields if f.name not in PARTITION_COLS and f.name != "_corrupt_record"]
     day = F.concat_ws("-", *[F.col(c).cast("string") for c in PARTITION_COLS])
     present = inferred.select(day.alias("_part"), *[F.col(f.name).isNotNull().alias(f.name) for f in cols])
-    counts = present.agg(*[F.count_distinct(F.when(F.col(f.name), F.col("_part"))).alias(f.name) for f in cols])
+    daily = present.groupBy("_part").agg(*[F.bool_or(F.col(f.name)).alias(f.name) for f in cols])
+    counts = daily.agg(*[F.count_if(F.col(f.name)).alias(f.name) for f in cols])
     types = {f.name: f.dataType.simpleString() for f in cols}
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
                                          F.col(c).alias("partitions")) for c in types]))

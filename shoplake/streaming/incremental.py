@@ -154,7 +154,8 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
             batch = batch.filter(F.col(ARRIVED) > cut)
         batch = batch.drop(ARRIVED)
         if threshold is not None:
-            scored = quality.score(quality.validate(batch))
+            validated = quality.validate(batch)
+            scored = quality.score(validated)
             totals = spark.createDataFrame([scored.first()], scored.schema)  # one row
             verdict = quality.gate(totals, threshold)
             quality.metrics(totals).write.mode("overwrite").parquet(f"{lake.root}/ops/metrics/{name}")
@@ -163,6 +164,7 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
             verdicts.append(row)
             if row.status != quality.STATUS_OK:
                 if row.records:
+                    quality.first_errors(validated).write.mode("overwrite").parquet(f"{lake.root}/ops/first_errors/{name}")
                     batch.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
                 return
         lake.write_errors(batch, name)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money as M
+from ..functions.timeparse import utc_instant, utc_wall
 
 
 # Set by ``with_watermark``: the event-time column is then a TIMESTAMP
@@ -27,9 +28,7 @@ def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
     Silver time is UTC wall-clock TIMESTAMP_NTZ; watermarks need TIMESTAMP, so
     the value is read as UTC explicitly (independent of the session zone).
     """
-    tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    instant = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col(ts)).cast("timestamp")
-    return df.withColumn(_EVENT, instant).withWatermark(_EVENT, delay)
+    return df.withColumn(_EVENT, utc_instant(F.col(ts))).withWatermark(_EVENT, delay)
 
 
 def _windowed(df: DataFrame, ts: str, width: str, *aggs: Column) -> DataFrame:
@@ -37,15 +36,11 @@ def _windowed(df: DataFrame, ts: str, width: str, *aggs: Column) -> DataFrame:
     return df.groupBy(F.window(col, width).alias("w")).agg(*aggs)
 
 
-def _wall(c: Column) -> Column:
-    return F.convert_timezone(None, F.lit("UTC"), c)
-
-
 def _flat(df: DataFrame) -> DataFrame:
     cols = [c for c in df.columns if c != "w"]
     start, end = F.col("w.start"), F.col("w.end")
     if dict(df.select("w.start").dtypes)["start"] == "timestamp":
-        start, end = _wall(start), _wall(end)
+        start, end = utc_wall(start), utc_wall(end)
     return df.select(start.alias("window_start"), end.alias("window_end"), *cols)
 
 

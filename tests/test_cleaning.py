@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from shoplake.functions.timeparse import utc_instant
 from shoplake.operators import cleaning
 from shoplake.schemas import TX_FIELDS
 
@@ -45,6 +46,22 @@ def test_timestamp_parse_both_forms_and_offsets_independent_of_session_tz(spark)
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+def test_repeated_hour_of_a_dst_change(spark):
+    """Both readings of the hour that a zone runs twice keep their own UTC time, from text and from instants."""
+    df = spark.createDataFrame([("2026-11-01T05:30:00Z",), ("2026-11-01T06:30:00Z",), ("1969-12-31T23:59:59.999999Z",)],
+                               "timestamp string")
+    want = [dt.datetime(2026, 11, 1, 5, 30), dt.datetime(2026, 11, 1, 6, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        typed = cleaning.type_transactions(df).select("timestamp")
+        assert [r[0] for r in typed.collect()] == want
+        again = cleaning.type_transactions(typed.select(utc_instant(F.col("timestamp")).alias("timestamp")))
+        assert [r[0] for r in again.select("timestamp").collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_non_numeric_amount_text_does_not_abort(spark):
     df = _bronze(spark, [("a", "2026-05-16T10:00:00Z", "s", "p", "abc"), ("b", "2026-05-16T10:00:00Z", "s", "p", "5")])
     silver = cleaning.bronze_to_silver(df)

@@ -20,7 +20,8 @@ def test_every_query_has_oracle_or_is_rows_only():
 @pytest.mark.parametrize("key", [
     "kpi_revenue_by_product", "kpi_top_products", "monthly_category_revenue", "mom_growth", "region_vs_average",
     "amount_outliers", "store_volume_drop", "dq_gate", "dq_error_counts", "silver_roundtrip", "dead_letter",
-    "retention_expired", "customer_patterns", "late_data_rebuild", "win_daily_avg",
+    "retention_expired", "customer_patterns", "late_data_rebuild", "win_daily_avg", "late_data_retry", "rebuild_moved_day",
+    "dead_letter_written", "dq_first_errors", "schema_discovery",
 ])
 def test_oracle_match_small(spark, key):
     from oracle_check import compare
