@@ -114,7 +114,7 @@ def main(argv: list[str] | None = None) -> int:
         r = run_pipeline(spark, args.bronze, Lake(spark, args.lake), args.modified_after, (year, month),
                          run_id=args.run_id)
         print(json.dumps({"status": r.status, "quality_score": r.quality_score, "records": r.records,
-                          "results": r.results}))
+                          "results": r.results, "older": r.older}))
         return 0 if r.status == quality.STATUS_OK else 2
     elif args.job == "report":
         zone, fn, params = REPORTS[args.name]

@@ -27,21 +27,27 @@ class RunResult:
     records: int
     schema: list[tuple[str, str, int]] = field(default_factory=list)
     results: dict[str, str] = field(default_factory=dict)
+    older: list[tuple[str, float | None, int]] = field(default_factory=list)
 
 
 def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after: str, report_month: tuple[str, str],
                  threshold: float = quality.QUALITY_THRESHOLD, run_id: str = "run") -> RunResult:
-    """Gate and ingest the files since ``modified_after`` that no run has taken; reports only when all passed.
+    """Gate and ingest every file that no run has taken; reports only when the files since ``modified_after`` passed.
 
-    Files that a run has taken (or quarantined) are not read again: a second
-    run without new files is NO_DATA. A batch that broke off is retried by the
-    next run that finds a new file.
+    Older files, as of a missed day, pass a gate of their own: its verdicts are
+    in ``older`` and decide the run's status only where nothing newer came.
+    Files that a run has taken (or quarantined) are not read again: a run
+    without a file since ``modified_after`` is NO_DATA and takes nothing. A
+    batch that broke off is retried by the next run that finds a new file.
     """
     checkpoint = f"{lake.root}/_checkpoints/silver"
     verdicts = []
     if not new_files(spark, landing, modified_after).isEmpty():
         verdicts = incremental.run_incremental(spark, landing, lake, checkpoint, threshold=threshold,
                                                modified_after=modified_after)
+    older = [(v.status, v.quality_score, v.records) for v in verdicts if v.older]
+    newer = [v for v in verdicts if not v.older]
+    verdicts = newer if any(v.records for v in newer) else [v for v in verdicts if v.older]
     records = sum(v.records for v in verdicts)
     if not records:
         nothing = quality.gate(quality.score(quality.validate(spark.createDataFrame([], BRONZE))), threshold)
@@ -51,7 +57,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     score = 1 - sum(v.invalid_records for v in verdicts) / records
     # a batch left over from a run that broke off has its own verdict
     if any(v.status == quality.STATUS_FAIL for v in verdicts):
-        return RunResult(quality.STATUS_FAIL, score, records)
+        return RunResult(quality.STATUS_FAIL, score, records, older=older)
 
     schema = [tuple(r) for r in discover_schema(spark, landing, modified_after).collect()]  # one row per column
     year, month = report_month
@@ -62,7 +68,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
         "transaction_trend": reports.transaction_trend(lake.silver()),
     }.items():
         out[name] = write_results(df, f"{lake.root}/results", name, run_id)
-    return RunResult(quality.STATUS_OK, score, records, schema, out)
+    return RunResult(quality.STATUS_OK, score, records, schema, out, older)
 
 
 def serve(spark: SparkSession, lake: Lake) -> None:

@@ -11,7 +11,9 @@ committed file. Gold is then rebuilt for the touched days only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, kpis, quality
@@ -129,9 +131,10 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
     micro-batch passes the quality gate first, over exactly the rows that
     would be ingested; a batch that fails goes to ``quarantine/`` whole and
     Silver stays as it is. With ``modified_after`` the rows of older files
-    that no run has taken yet are set aside in ``quarantine/`` too, unchecked.
+    that no run has taken yet pass a gate of their own (``batch=N_older``):
+    either part is ingested or quarantined on its own verdict.
     All are written per batch, so a retried batch replaces its own. Returns
-    the verdict row of every gated batch.
+    the verdict row of every gated part, with ``older``.
     """
     reader = (spark.readStream.schema(BRONZE_WITH_CORRUPT).option("multiLine", "false").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COL))
@@ -143,30 +146,37 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
     source = f"source={path_tag(checkpoint)}"
     verdicts: list[Row] = []
 
+    def gated(part: DataFrame, name: str, older: bool) -> bool:
+        validated = quality.validate(part)
+        scored = quality.score(validated)
+        totals = spark.createDataFrame([scored.first()], scored.schema)  # one row
+        verdict = quality.gate(totals, threshold)
+        quality.metrics(totals).write.mode("overwrite").parquet(f"{lake.root}/ops/metrics/{name}")
+        quality.alerts(verdict).write.mode("overwrite").parquet(f"{lake.root}/ops/alerts/{name}")
+        row = verdict.withColumn("older", F.lit(older)).first()
+        verdicts.append(row)
+        if row.status == quality.STATUS_OK:
+            return True
+        if row.records:
+            quality.first_errors(validated).write.mode("overwrite").parquet(f"{lake.root}/ops/first_errors/{name}")
+            part.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
+        return False
+
     def each(batch: DataFrame, epoch_id: int) -> None:
         name = f"{source}/batch={epoch_id}"
         notes = f"{lake.root}/ops/batches/{name}"
-        if modified_after:
-            cut = F.lit(_cutoff(spark, f"{notes}/cut", modified_after) + "Z").cast("timestamp")
-            old = batch.filter(F.col(ARRIVED) <= cut).drop(ARRIVED)
-            if not old.isEmpty():
-                old.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=before_cutoff")
-            batch = batch.filter(F.col(ARRIVED) > cut)
-        batch = batch.drop(ARRIVED)
         if threshold is not None:
-            validated = quality.validate(batch)
-            scored = quality.score(validated)
-            totals = spark.createDataFrame([scored.first()], scored.schema)  # one row
-            verdict = quality.gate(totals, threshold)
-            quality.metrics(totals).write.mode("overwrite").parquet(f"{lake.root}/ops/metrics/{name}")
-            quality.alerts(verdict).write.mode("overwrite").parquet(f"{lake.root}/ops/alerts/{name}")
-            row = verdict.first()
-            verdicts.append(row)
-            if row.status != quality.STATUS_OK:
-                if row.records:
-                    quality.first_errors(validated).write.mode("overwrite").parquet(f"{lake.root}/ops/first_errors/{name}")
-                    batch.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
+            parts = [(False, name, F.lit(True))]
+            if modified_after:
+                cut = F.lit(_cutoff(spark, f"{notes}/cut", modified_after) + "Z").cast("timestamp")
+                parts = [(False, name, F.col(ARRIVED) > cut)]
+                if not batch.filter(F.col(ARRIVED) <= cut).isEmpty():
+                    parts.append((True, f"{name}_older", F.col(ARRIVED) <= cut))
+            passed = [rows for older, part, rows in parts if gated(batch.filter(rows).drop(ARRIVED), part, older)]
+            if not passed:
                 return
+            batch = batch.filter(reduce(Column.__or__, passed))
+        batch = batch.drop(ARRIVED)
         lake.write_errors(batch, name)
         typed = cleaning.type_transactions(batch.filter(F.col(CORRUPT_COL).isNull()))
         if with_gold:

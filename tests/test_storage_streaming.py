@@ -243,6 +243,25 @@ def test_retry_after_silver_rebuilds_the_day_an_id_left(spark, tmp_root, monkeyp
     assert _ids_by_day(lake) == [("a", "05", 1.0), ("x", "06", 2.0)] and gold == {"05": 1, "06": 1}
 
 
+def test_run_after_a_missed_day_takes_that_day(spark, tmp_root):
+    import time
+    from datetime import datetime, timezone
+    landing, lake = f"{tmp_root}/landing", Lake(spark, f"{tmp_root}/lake")
+    for day, cut_here in ((5, False), (6, True)):
+        if cut_here:
+            time.sleep(2)
+            cut = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
+            time.sleep(2)
+        _land(spark, f"{landing}/year=2026/month=05/day=0{day}", [_line(f"d{day}-{i}", day=day) for i in range(3)])
+        _rename_to_json(spark, f"{landing}/year=2026/month=05/day=0{day}")
+    r = run_pipeline(spark, landing, lake, cut, ("2026", "05"))
+    assert (r.status, r.records, r.older) == ("OK", 3, [("OK", 1.0, 3)])
+    assert sorted(x.transaction_id for x in lake.silver().collect()) == [f"d{d}-{i}" for d in (5, 6) for i in range(3)]
+    assert {x.day: x.transaction_count for x in lake.gold("revenue_by_region").collect()} == {"05": 3, "06": 3}
+    from shoplake.session import path_exists
+    assert not path_exists(spark, f"{lake.root}/quarantine")
+
+
 def test_full_rebuild_clears_dead_days(spark, tmp_root):
     lake = Lake(spark, tmp_root)
     for day in (15, 16):
