@@ -4,10 +4,11 @@ Three base kinds are found in every whole text: ``assign`` (a keyword, a sign an
 a value), ``access`` and ``hex``. Two more kinds of candidate are read besides:
 ``jwt`` (three base64url parts) and ``mixed`` (long runs that mix cases and
 digits). The secret of every hit is hashed and counted over the corpus by distinct
-repositories and owners: one that ``COMMON_OWNERS`` owners or more share is a
-widely copied example, any other is live-looking. The extra kinds are reported
-only where they are live-looking; base hits are always reported and carry the
-class.
+repositories and owners: one that ``COMMON_OWNERS`` owners or ``COMMON_REPOS``
+repositories or more share, be they of one owner, is a widely copied example, any
+other is live-looking. The extra kinds are reported only where they are
+live-looking; base hits are always reported and carry the class. Every reported
+hit comes with its secret's two counts.
 
 Only DataFrame functions. Texts are never shuffled by ``scan``: each document gives
 its hits in a narrow step, and only the hits move. Distinct owners and repositories
@@ -39,6 +40,7 @@ JWT = r"\bey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
 MIXED = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])"
          r"[A-Za-z0-9+/_-]{32,}")
 COMMON_OWNERS = 3
+COMMON_REPOS = 4
 HIT = "struct<start:long,order:int,kind:string,end:long,secret:string>"
 
 
@@ -87,8 +89,13 @@ def _spans(hits: Column) -> Column:
 
 
 def hits_by_document(docs: DataFrame, text: str = "text", repo: Column | None = None, owner: Column | None = None,
-                     common_owners: int = COMMON_OWNERS, extra: list[Column] | None = None) -> DataFrame:
-    """One row per document with ``base`` and ``added`` hits, and ``common``: the starts and kinds of copied examples."""
+                     common_owners: int = COMMON_OWNERS, common_repos: int = COMMON_REPOS,
+                     extra: list[Column] | None = None) -> DataFrame:
+    """One row per document with ``base`` and ``added`` hits, ``common`` and ``shared``.
+
+    ``common`` has the starts and kinds of copied examples, ``shared`` the owners and
+    repositories of each hit whose secret has more than one of either.
+    """
     repo = F.concat_ws("/", "source", "lang") if repo is None else repo
     owner = F.col("source") if owner is None else owner
     base, more = find(text_or_empty(text))
@@ -100,23 +107,37 @@ def hits_by_document(docs: DataFrame, text: str = "text", repo: Column | None =
              .select("row", "repo", "owner", F.explode(F.concat("base", "more")).alias("hit"))
              .withColumn("hash", F.sha2("hit.secret", 256)))
     freq = every.groupBy("hash").agg(F.countDistinct("owner").alias("owners"), F.countDistinct("repo").alias("repos"))
-    freq = freq.filter(F.col("owners") >= common_owners).select("hash", F.lit(True).alias("copied"))
-    judged = every.join(freq, "hash", "left").filter(F.col("copied"))
-    judged = judged.groupBy("row").agg(F.collect_list(F.struct("hit.start", "hit.kind")).alias("copied"))
+    freq = freq.filter((F.col("owners") > 1) | (F.col("repos") > 1)
+                       | (F.col("owners") >= common_owners) | (F.col("repos") >= common_repos))
+    judged = every.drop("owner", "repo").join(freq, "hash").groupBy("row").agg(
+        F.collect_list(F.struct("hit.start", "hit.kind", "owners", "repos")).alias("shared"))
     out = rows.join(judged, "row", "left").drop("repo", "owner")
-    none = F.array().cast("array<struct<start:long,kind:string>>")
-    out = out.withColumn("common", F.coalesce("copied", none)).drop("copied")
+    none = F.array().cast("array<struct<start:long,kind:string,owners:long,repos:long>>")
+    out = out.withColumn("shared", F.coalesce("shared", none))
+    copied = F.filter("shared", lambda h: (h["owners"] >= common_owners) | (h["repos"] >= common_repos))
+    out = out.withColumn("common", F.transform(copied, lambda h: F.struct(h["start"].alias("start"), h["kind"].alias("kind"))))
     fresh = F.filter("more", lambda h: ~F.array_contains(F.col("common"), F.struct(h["start"], h["kind"])))
     return out.withColumn("added", fresh)
 
 
+def _spread(hits: Column) -> Column:
+    """Owners/repositories of every hit's secret, in the order of the spans."""
+    def counts(h: Column) -> Column:
+        held = F.get(F.filter("shared", lambda s: (s["start"] == h["start"]) & (s["kind"] == h["kind"])), F.lit(0))
+        return F.concat_ws("/", F.coalesce(held["owners"], F.lit(1)).cast("string"),
+                           F.coalesce(held["repos"], F.lit(1)).cast("string"))
+
+    return F.array_join(F.transform(F.array_sort(hits), counts), ",")
+
+
 def scan(docs: DataFrame, text: str = "text", **how) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, spread, n_live, n_example of every document."""
     rows = hits_by_document(docs, text, **how)
     of = lambda k: F.size(F.filter("base", lambda h: h["kind"] == k)).cast("long")
     every = F.concat("base", "added")
     return rows.select("doc_id", *[of(k).alias(f"n_{k}") for k in KINDS],
                        F.sha2(_spans(F.col("base")), 256).alias("base_sha256"), _spans(every).alias("spans"),
+                       _spread(every).alias("spread"),
                        (F.size(every) - _copied(every)).cast("long").alias("n_live"),
                        _copied(every).cast("long").alias("n_example"))
 

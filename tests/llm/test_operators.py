@@ -263,6 +263,19 @@ def test_secrets_that_many_owners_share_are_examples(spark):
     assert clean[8]["text"].startswith("y [SECRET] z ") and clean[8]["n_chars"] == len(clean[8]["text"])
 
 
+def test_secrets_of_one_owner_in_many_repositories_are_examples(spark):
+    rows = [(i, "x password=example123", f"l{i % 4}", "hot", 21, "r", "l", "s") for i in range(40)]
+    rows += [(100 + i, "x password=shared4567", f"l{i % 3}", "hot", 21, "r", "l", "s") for i in range(40)]
+    rows += [(200 + i, "x password=example123 secret=onlymine9", "l0", "cold", 38, "r", "l", "s") for i in range(2)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r["doc_id"]: (r["n_live"], r["n_example"], r["spread"]) for r in secret_scan.scan(df).collect()}
+    assert got[0] == (0, 1, "2/5") and got[100] == (1, 0, "1/3") and got[200] == (1, 1, "2/5,1/1")
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(df).collect()}
+    assert clean[0] == rows[0][1] and clean[100] == "x [SECRET]" and clean[200] == "x password=example123 [SECRET]"
+    got = {r["doc_id"]: r["n_example"] for r in secret_scan.scan(df.filter("source = 'hot'")).collect()}
+    assert got[0] == 1 and got[100] == 0
+
+
 # 6 ----------------------------------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
