@@ -1,7 +1,10 @@
 """Quality classifier by nearest-neighbour voting over latent-semantic vectors.
 
 A text's terms are hashed: its words, the shapes of its words (runs of lower case,
-upper case, digits and marks), pairs of shapes, and how its words repeat. A bounded,
+upper case, digits and marks), pairs of shapes, and how its words repeat. A run of
+more than ``LONG`` characters without white space (Chinese, Japanese or Thai text,
+base64, minified code, long URLs) counts as all its overlapping pieces of ``PIECE``
+characters, each of them a word. A bounded,
 seeded sample of labelled documents (``SAMPLE`` rows at most of each class) gives
 term weights and, by a truncated singular value decomposition, ``DIMS`` latent
 directions. The sample's unit vectors are broadcast (``2 * SAMPLE * DIMS`` floats,
@@ -40,6 +43,7 @@ WORD_DIMS, SHAPE_DIMS, PAIR_DIMS, REPEAT_DIMS = 1024, 512, 1024, 64
 TERM_DIMS = WORD_DIMS + SHAPE_DIMS + PAIR_DIMS + REPEAT_DIMS
 BLOCK = 512
 CACHE_WORDS = 500_000
+LONG, PIECE = 32, 3
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
@@ -59,7 +63,7 @@ class _Shapes(dict):
     """Hash of a string of kinds, with runs of one kind drawn together."""
 
     def __missing__(self, kinds: str) -> int:
-        h = _hash(_RUNS.sub(r"\1", kinds)[:32])
+        h = _hash(_RUNS.sub(r"\1", kinds))
         if len(self) < CACHE_WORDS:
             self[kinds] = h
         return h
@@ -69,6 +73,16 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) >> 1
 
 
+def _cut(words: list[str]) -> Iterator[str]:
+    """The words, with overlapping pieces in place of long runs; never held as a list."""
+    for word in words:
+        if len(word) <= LONG:
+            yield word
+        else:
+            for i in range(len(word) - PIECE + 1):
+                yield word[i:i + PIECE]
+
+
 class Terms(dict):
     """Term counts of texts; what is known of a word is kept by its number, up to a bound."""
 
@@ -94,7 +108,8 @@ class Terms(dict):
             return out
         if len(self) > CACHE_WORDS:
             self.clear()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        every = words if max(map(len, words)) <= LONG else _cut(words)
+        at = np.fromiter(map(self.__getitem__, every), np.int64)
         shapes = self.shape[at]
         pairs = (shapes[:-1] * 31 + shapes[1:]) % PAIR_DIMS if len(at) > 1 else np.zeros(0, np.int64)
         begin = 0

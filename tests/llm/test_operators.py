@@ -162,6 +162,21 @@ def test_quality_votes_match_brute_force_and_hold_out(spark):
         assert r["score"] == pytest.approx(sum(a * y for a, (_, y) in zip(votes, near, strict=True)) / sum(votes), abs=1e-3)
 
 
+def test_quality_judges_long_unspaced_texts_beyond_their_first_characters(spark):
+    rng = np.random.default_rng(6)
+    common = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨"
+    good, bad = "春夏秋冬山川草木风花雪月", "广告点击免费赢取大奖立即"
+    write = lambda letters: common + "".join(letters[i] for i in rng.integers(0, len(letters), 300))
+    texts = [write(good if i % 2 else bad) for i in range(400)]
+    terms = quality.Terms()
+    a, near, far = (terms.vector(t) for t in (texts[1], texts[1][:-1] + good[0], texts[0]))
+    assert a @ near > a @ far + 0.5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, F.col("doc_id") < 200)
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in quality.score(docs, model).filter("doc_id >= 200").collect())
+
+
 def test_quality_on_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0), (7, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
     model = quality.fit(awkward, labels, F.lit(True))
