@@ -2,7 +2,9 @@
 
 Every line and sentence of a whole text, and the text as a whole, is a sparse vector
 of words weighed by TF-IDF, with document frequencies of the templates' words counted
-over all documents (a word that no template has weighs as one that no document has).
+over all documents. A word that no template has weighs ``OUTSIDE``, as one that a tenth
+of all documents has, so that ordinary words beside a notice cost it the same in a
+corpus of any size.
 The nearest template from a cosine of ``LEAST`` names the file's licence. Parts
 without a distinctive word are skipped exactly: the words left out of the distinctive
 set can't lift any template's cosine to ``LEAST``.
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import shipped, staged, text_or_empty
 
 LEAST = 0.6
+OUTSIDE = 1 + math.log(10)
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-].*)?$"
 # Notices and openings of licences, as their owners word them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -74,7 +77,7 @@ class Model:
     def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], documents: int, least: float = LEAST):
         self.least, self.documents = least, documents
         self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1 for _, t in templates for w in words(t)}
-        self.unknown = math.log(1 + documents) + 1
+        self.unknown = OUTSIDE
         self.templates = [(name, self._unit(Counter(words(t)))) for name, t in templates]
         self.distinctive: set[str] = set()
         for _, vector in self.templates:

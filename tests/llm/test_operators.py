@@ -422,6 +422,17 @@ def test_licences_are_found_and_inherited_from_the_nearest_directory(spark, noth
     assert licences.scan(document_paths(nothing)).count() == 0
 
 
+def test_licence_scores_do_not_fall_with_the_number_of_documents():
+    share = {"the": 0.9, "is": 0.8, "this": 0.5, "under": 0.3, "work": 0.2, "general": 0.1, "public": 0.1, "version": 0.05, "3": 0.3}
+    texts = {"This work, like all our others, is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+             "All files here are released under the MIT License.": "MIT"}
+    for text, name in texts.items():
+        found = [licences.Model(licences.TEMPLATES, {w: int(x * n) for w, x in share.items()}, n).best(
+            Counter(licences.words(text))) for n in (10**3, 10**4, 10**7, 10**10)]
+        assert all(f[1] == name and f[0] >= licences.LEAST for f in found)
+        assert [f[0] for f in found] == sorted(f[0] for f in found)
+
+
 def test_licence_parts_without_a_distinctive_word_cannot_match():
     frequency = {w: n for _, t in licences.TEMPLATES for w, n in ((w, 900 if len(w) < 4 else 20) for w in licences.words(t))}
     model = licences.Model(licences.TEMPLATES, frequency, 1000)
