@@ -1,13 +1,16 @@
 """Licence scans: sparse TF-IDF cosine to templates, then nearest-ancestor inheritance.
 
-Every line and sentence of a whole text, and the text as a whole, is a sparse vector
+Every line and sentence of a whole text, every run of a template's number of words
+that may match it, over line ends, and the text as a whole, is a sparse vector
 of words weighed by TF-IDF, with document frequencies of the templates' words counted
 over all documents. A word that no template has weighs ``OUTSIDE``, as one that a tenth
 of all documents has, so that ordinary words beside a notice cost it the same in a
-corpus of any size.
-The nearest template from a cosine of ``LEAST`` names the file's licence. Parts
-without a distinctive word are skipped exactly: the words left out of the distinctive
-set can't lift any template's cosine to ``LEAST``.
+corpus of any size. Templates are notices and headers by version (``TEMPLATES``) and
+the licences' whole texts (``bodies``). The nearest template from a cosine of ``LEAST``
+names the file's licence; a whole text from ``BODY`` comes before any notice, since
+licences quote notices. An SPDX tag names the licence itself, with score 1: without
+-only, -or-later or +, and an expression of several as it is written. Templates whose
+words in common with a text can't lift any cosine to ``LEAST`` are skipped exactly.
 
 A file without a licence of its own inherits from the nearest directory on its path,
 its own first, that holds a licence file with a licence. Directories are resolved
@@ -23,9 +26,11 @@ other columns are kept but for those named like a result or a working column.
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -34,9 +39,16 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import shipped, staged, text_or_empty
 
 LEAST = 0.6
+BODY = 0.85
 OUTSIDE = 1 + math.log(10)
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-].*)?$"
-# Notices and openings of licences, as their owners word them.
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+-]+)*)"
+TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_texts")
+_FREE = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License "
+         "as published by the Free Software Foundation; either version {} of the License")
+_ONLY = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License "
+         "version {} as published by the Free Software Foundation")
+# Notices, headers and openings of licences, as their owners word them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License"),
@@ -46,18 +58,32 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                "General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    *((name, _FREE.format(what, kind, version)) for what in ("program", "library") for name, kind, version in (
+        ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.0", "Library General", "2"),
+        ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"))),
+    *((name, _ONLY.format(what, kind, version)) for what in ("program", "library") for name, kind, version in (
+        ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.1", "Lesser General", "2.1"),
+        ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"))),
+    *((name, f"Licensed under the GNU {kind} Public License {version}") for name, kind, versions in (
+        ("GPL-2.0", "General", ("version 2", "v2")), ("GPL-3.0", "General", ("version 3", "v3")),
+        ("LGPL-2.1", "Lesser General", ("v2.1",)), ("LGPL-3.0", "Lesser General", ("v3",)),
+        ("AGPL-3.0", "Affero General", ("v3",))) for version in versions),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1"),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3"),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("ISC", "Licensed under the ISC License"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0"),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright to the public domain, CC0 1.0"),
@@ -71,14 +97,43 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+@cache
+def bodies() -> tuple[tuple[str, str], ...]:
+    """The licences' whole texts; those without a file here are told from their next relative by the words that differ."""
+    held = {}
+    for file in sorted(os.listdir(TEXTS)):
+        with open(os.path.join(TEXTS, file), encoding="utf-8") as f:
+            held[file.removesuffix(".txt")] = f.read()
+    alike = held["CC-BY-SA-4.0"]
+    held["AGPL-3.0"] = re.sub(r"(?i)\bGNU(\s+)General(\s+)Public", r"GNU\1Affero General\2Public", held["GPL-3.0"])
+    held["CC-BY-4.0"] = alike.replace("-ShareAlike", "").replace("ShareAlike", "")
+    held["CC-BY-NC-4.0"] = alike.replace("ShareAlike", "NonCommercial")
+    return tuple(held.items())
+
+
+def tagged(text: str) -> str | None:
+    """The licence of the first SPDX tag."""
+    found = re.search(SPDX, text)
+    return found and re.sub(r"(?i)(-only|-or-later|\+)(?=\s|$)", "", found[1])
+
+
 class Model:
     """Word weights and the templates' unit vectors: a few kB, whatever the input."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], documents: int, least: float = LEAST):
+    def __init__(self, templates: tuple[tuple[str, str], ...], frequency: dict[str, int], documents: int, least: float = LEAST,
+                 whole: tuple[tuple[str, str], ...] = ()):
         self.least, self.documents = least, documents
-        self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1 for _, t in templates for w in words(t)}
+        self.idf = {w: math.log((1 + documents) / (1 + frequency.get(w, 0))) + 1
+                    for _, t in (*templates, *whole) for w in words(t)}
         self.unknown = OUTSIDE
-        self.templates = [(name, self._unit(Counter(words(t)))) for name, t in templates]
+        every = [*templates, *whole]
+        self.templates = [(name, self._unit(Counter(words(t)))) for name, t in every]
+        self.lengths = [len(words(t)) for _, t in every]
+        self.notices = len(templates)
+        self.held: dict[str, list[tuple[int, float]]] = {}
+        for i, (_, vector) in enumerate(self.templates):
+            for w, x in vector.items():
+                self.held.setdefault(w, []).append((i, x))
         self.distinctive: set[str] = set()
         for _, vector in self.templates:
             rest = 1.0
@@ -94,27 +149,79 @@ class Model:
         return {w: x / length for w, x in vector.items()}
 
     def best(self, counts: Counter) -> tuple[float, str]:
-        """The best cosine and its licence; of equal ones the first name."""
-        vector = self._unit(counts)
-        found = [(round(sum(x * vector.get(w, 0.0) for w, x in t.items()), 12), name) for name, t in self.templates]
-        return min(found, key=lambda f: (-f[0], f[1]))
+        """The best cosine and its licence; of equal ones the first name, and a whole text from ``BODY`` before notices."""
+        cos = [0.0] * len(self.templates)
+        for w, x in self._unit(counts).items():
+            for i, y in self.held.get(w, ()):
+                cos[i] += x * y
+        return self._first([(round(c, 12), i) for i, c in enumerate(cos)])[:2]
+
+    def _first(self, found: list[tuple[float, int]]) -> tuple[float, str, bool]:
+        ranked = [(c, self.templates[i][0], i >= self.notices and c >= BODY) for c, i in found]
+        return min(ranked, key=lambda f: (not f[2], -f[0], f[1]))
+
+    def possible(self, every: list[str]) -> list[int]:
+        """Templates that a vector of some of these words can reach: a cosine is at most their part of the length."""
+        mass = [0.0] * len(self.templates)
+        for w in set(every):
+            for i, x in self.held.get(w, ()):
+                mass[i] += x * x
+        return [i for i, m in enumerate(mass) if m >= self.least * self.least - 1e-9]
+
+    def _cosine(self, own: list[str], i: int) -> float:
+        template = self.templates[i][1]
+        return round(sum(x * template.get(w, 0.0) for w, x in self._unit(Counter(own)).items()), 12)
+
+    def _window(self, every: list[str], i: int) -> float:
+        """The best cosine of a template with as many words in a row as it has."""
+        n, template = self.lengths[i], self.templates[i][1]
+        if len(every) <= n:
+            return self._cosine(every, i)
+        idf, unknown = self.idf, self.unknown
+        weight = [idf.get(w, unknown) for w in every]
+        gain = [x * template.get(w, 0.0) for w, x in zip(every, weight, strict=True)]
+        counts: dict[str, int] = {}
+        dot = square = 0.0
+        top, at = -1.0, 0
+        for end, w in enumerate(every):
+            k = counts.get(w, 0)
+            counts[w] = k + 1
+            square += weight[end] * weight[end] * (2 * k + 1)
+            dot += gain[end]
+            begin = end - n
+            if begin >= 0:
+                old = every[begin]
+                k = counts[old]
+                counts[old] = k - 1
+                square -= weight[begin] * weight[begin] * (2 * k - 1)
+                dot -= gain[begin]
+            if begin >= -1 and dot * dot > top * square:
+                top, at = dot * dot / square, begin + 1
+        return self._cosine(every[at:at + n], i)
 
     def scan(self, text: str) -> tuple[str | None, float]:
+        tag = tagged(text)
+        if tag:
+            return tag, 1.0
         every = words(text)
         if self.distinctive.isdisjoint(every):
             return None, 0.0
-        top = [self.best(Counter(every))]
+        near = self.possible(every)
+        if not near:
+            return None, 0.0
+        found = [(max(self._cosine(every, i), self._window(every, i)), i) for i in near]
         for part in set(_PART.split(text)):
             own = words(part)
             if not self.distinctive.isdisjoint(own):
-                top.append(self.best(Counter(own)))
-        score, name = min(top, key=lambda f: (-f[0], f[1]))
+                found.extend((self._cosine(own, i), i) for i in self.possible(own))
+        score, name, _ = self._first(found)
         return (name, min(1.0, score)) if score >= self.least else (None, 0.0)
 
 
-def fit(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, text: str = "text", least: float = LEAST) -> Model:
+def fit(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, text: str = "text", least: float = LEAST,
+        whole: tuple[tuple[str, str], ...] = ()) -> Model:
     """Counts, over all documents, in how many each template word occurs."""
-    vocabulary = {w for _, t in templates for w in words(t)}
+    vocabulary = {w for _, t in (*templates, *whole) for w in words(t)}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, seen = 0, Counter()
@@ -126,7 +233,7 @@ def fit(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, te
 
     rows = shipped(files.select(text_or_empty(text).alias("text"))).mapInPandas(count, "word string, n long")
     found = {r["word"]: r["n"] for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    return Model(templates, found, found.get("", 0), least)
+    return Model(templates, found, found.get("", 0), least, whole)
 
 
 def detect(files: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -172,5 +279,5 @@ def inherit(files: DataFrame) -> DataFrame:
 def scan(files: DataFrame, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
     """Licences of all files (path, text, ...): own ones, then inherited ones. The text itself isn't returned."""
     files = files.drop("licence", "score", "method", "origin", "directory", "is_file", "given", "found")
-    own = detect(files, fit(files, templates, text), text).drop(text)
+    own = detect(files, fit(files, templates, text, whole=bodies()), text).drop(text)
     return inherit(staged(own, "licences"))

@@ -422,6 +422,68 @@ def test_licences_are_found_and_inherited_from_the_nearest_directory(spark, noth
     assert licences.scan(document_paths(nothing)).count() == 0
 
 
+HEADER = """/*
+ * This file is part of Foo.
+ * This {what} is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU {kind} Public License
+ * as published by the Free Software Foundation; either version {version}
+ * of the License, or (at your option) any later version.
+ *
+ * This {what} is distributed in the hope that it will be useful,
+ */
+int main() {{ return 0; }}"""
+ISC = """Copyright (c) 2004-2019, Jane Doe <jane@example.org>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY"""
+BSD2 = """Copyright 2011 The Foo Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+  * Redistributions of source code must retain the above copyright notice,
+    this list of conditions and the following disclaimer.
+  * Redistributions in binary form must reproduce the above copyright notice,
+    this list of conditions and the following disclaimer in the documentation.
+
+THIS SOFTWARE IS PROVIDED BY THE FOO AUTHORS ``AS IS'' AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL THE FOO AUTHORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def test_real_headers_tags_and_licence_files_are_named(spark):
+    head = lambda what, kind, version: HEADER.format(what=what, kind=kind, version=version)
+    clause = "  * Neither the name of Foo nor the names of its contributors may be used to endorse or promote products derived from\n" \
+             "    this software without specific prior written permission.\n\nTHIS SOFTWARE IS"
+    files = {"a.c": (head("program", "General", "2"), "GPL-2.0"), "b.c": (head("program", "General", "3"), "GPL-3.0"),
+             "c.c": (head("library", "Lesser General", "2.1"), "LGPL-2.1"), "d.c": (head("program", "Affero General", "3"), "AGPL-3.0"),
+             "e.c": ("// SPDX-License-Identifier: MIT\n" + prose(5, 40), "MIT"),
+             "f.c": ("# SPDX-License-Identifier: GPL-2.0-or-later\n" + prose(6, 40), "GPL-2.0"),
+             "g.c": ("/* SPDX-License-Identifier: Apache-2.0 OR MIT */", "Apache-2.0 OR MIT"),
+             "h/LICENSE": (ISC, "ISC"), "i/LICENSE": (BSD2, "BSD-2-Clause"),
+             "j/LICENSE": (BSD2.replace("THIS SOFTWARE IS", clause, 1), "BSD-3-Clause"),
+             "k.c": (prose(7, 200) + " this file is\nreleased under\nthe MIT\nLicense " + prose(8, 200), "MIT"),
+             "l.c": ("This work, like all our others, is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+             "m.c": (prose(9, 200), None)}
+    for name, text in licences.bodies():
+        files[f"{name}/LICENSE"] = ("Copyright (c) 2020 Foo\n" + text.replace("\n", "\r\n") + "\n" + prose(10, 30), name)
+    files |= {f"bulk/{i}.txt": (prose(950 + i, 80), None) for i in range(30)}
+    df = spark.createDataFrame([(p, t) for p, (t, _) in files.items()], "path string, text string")
+    got = {r["path"]: r["licence"] for r in licences.scan(df).collect()}
+    assert got == {p: name for p, (_, name) in files.items()}
+
+
 def test_licence_scores_do_not_fall_with_the_number_of_documents():
     share = {"the": 0.9, "is": 0.8, "this": 0.5, "under": 0.3, "work": 0.2, "general": 0.1, "public": 0.1, "version": 0.05, "3": 0.3}
     texts = {"This work, like all our others, is licensed under the GNU General Public License, version 3.": "GPL-3.0",
