@@ -1,4 +1,4 @@
-"""The ten operators as queries over the test tables, and their SQL where SQL can express them."""
+"""The operators as queries over the test tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import ann, bpe, chat, licences, mixing, neardup, quality, secret_scan, topk, urlfilter
+from shoplake.llm import (
+    ann, bpe, chat, filter_audit, licences, mixing, neardup, quality, resampling, secret_scan, topk, urlfilter)
 from shoplake.llm.common import table
 
 QUERY_STEP = 50  # rows whose vec_id is divisible by it are queries
@@ -80,10 +81,19 @@ def op10_cross_polytope(spark: SparkSession, d: str) -> DataFrame:
     return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
 
 
+def op11_filter_diagrams(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_prefix_targets, op2_dart_minhash, op3_neighbour_quality, op4_bloom_cascade, op5_secret_ownership,
-        op6_sainte_lague, op7_bpe_merge_replay, op8_licence_inheritance, op9_cover_tree_topk, op10_cross_polytope)}
+        op6_sainte_lague, op7_bpe_merge_replay, op8_licence_inheritance, op9_cover_tree_topk, op10_cross_polytope,
+        op11_filter_diagrams, op12_importance_resampling)}
 
 
 _OP1 = r"""
@@ -138,6 +148,49 @@ select query_id, cast(rank as integer) rank, vec_id, score from (
   select *, row_number() over (partition by r order by score desc, vec_id) rank from s) where rank <= 5
 """
 
+_OP11 = r"""
+with d as (
+  select doc_id, coalesce(source, '') part, coalesce("text", '') x from documents),
+w as (
+  select *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') words, min(doc_id) over (partition by x) first from d),
+l as (
+  select doc_id, bool_or(coalesce(quality = 1, false)) good, bool_or(coalesce(toxic = 1, false)) toxic
+  from labels where doc_id is not null group by doc_id),
+f as (
+  select part, coalesce(good, false) good, coalesce(toxic, false) toxic,
+    len(words) < 50 a, 100 * len(list_distinct(words)) < 65 * len(words) b,
+    100 * length(regexp_replace(x, '[^A-Z]+', '', 'g')) > 5 * length(x) c,
+    regexp_matches(x, '[#$%&*|]') d, coalesce(w.doc_id > first, first is not null) e
+  from w left join l on w.doc_id = l.doc_id),
+m as (
+  select part, a, b, c, d, e, count(*) n, count(*) filter (good) n_good, count(*) filter (toxic) n_toxic
+  from f group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) x),
+orders as (
+  select p.x || q.x || r.x || s.x || t.x filter_order
+  from letters p, letters q, letters r, letters s, letters t
+  where len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps as (select filter_order, unnest(range(1, 6)) step from orders),
+fails as (
+  select *, list_filter(['A', 'B', 'C', 'D', 'E'], lambda z, i: [a, b, c, d, e][i]) failed from m),
+passed as (
+  select part, filter_order, step, n, n_good, n_toxic, failed,
+    len(list_filter(failed, lambda z: instr(filter_order, z) < step)) = 0 came,
+    list_contains(failed, filter_order[step]) fails
+  from fails cross join steps),
+total as (
+  select part, filter_order, cast(step as integer) step,
+    cast(coalesce(sum(n) filter (came and not fails), 0) as bigint) kept,
+    cast(coalesce(sum(n) filter (came and fails), 0) as bigint) removed,
+    cast(coalesce(sum(n) filter (fails and not came), 0) as bigint) redundant,
+    cast(coalesce(sum(n) filter (fails and len(failed) = 1), 0) as bigint) unique_fails,
+    cast(coalesce(sum(n_good) filter (came and fails), 0) as bigint) good_lost,
+    cast(coalesce(sum(n_toxic) filter (came and fails), 0) as bigint) toxic_lost
+  from passed group by all)
+select *, cast(sum(removed) over (partition by part, filter_order[step]) as bigint) shapley from total
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_prefix_targets": _OP1, "op4_bloom_cascade": _OP4, "op9_cover_tree_topk": _OP9}
+    return {"op1_chat_prefix_targets": _OP1, "op4_bloom_cascade": _OP4, "op9_cover_tree_topk": _OP9,
+            "op11_filter_diagrams": _OP11}
