@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.llm import (
-    ann, bpe, chat, filter_audit, licences, mixing, neardup, quality, resampling, secret_scan, topk, urlfilter)
+    ann, bpe, chat, filter_audit, licences, mixing, neardup, ngram_join, quality, resampling, secret_scan, topk, urlfilter)
 from shoplake.llm.common import table
 
 QUERY_STEP = 50  # rows whose vec_id is divisible by it are queries
@@ -89,11 +89,15 @@ def op12_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
     return resampling.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op13_metric_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.join(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_prefix_targets, op2_dart_minhash, op3_neighbour_quality, op4_bloom_cascade, op5_secret_ownership,
         op6_sainte_lague, op7_bpe_merge_replay, op8_licence_inheritance, op9_cover_tree_topk, op10_cross_polytope,
-        op11_filter_diagrams, op12_importance_resampling)}
+        op11_filter_diagrams, op12_importance_resampling, op13_metric_ngram_join)}
 
 
 _OP1 = r"""

@@ -181,3 +181,139 @@ def test_ranks_over_many_ranges(spark):
     got = resampling.ranked(rows.repartition(13), [F.col("score").desc(), F.col("id")]).orderBy("rank").collect()
     assert [r.rank for r in got] == list(range(1, 5001))
     assert [(r.score, r.id) for r in got] == sorted(((r.score, r.id) for r in got), key=lambda x: (-x[0], x[1]))
+
+
+# --- metric n-gram join -------------------------------------------------------
+
+
+def _shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2)))
+
+
+def brute_join(docs, percent=90):
+    """docs: (doc_id, text); rows (doc_id, size, component)."""
+    sets = [_shingles(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            common = len(a & b)
+            if a and b and 100 * common >= percent * (len(a) + len(b) - common):
+                parent[top(i)] = top(j)
+    least = {}
+    for i, (doc, _) in enumerate(docs):
+        if doc is not None:
+            least[top(i)] = min(doc, least.get(top(i), doc))
+    return sorted([(doc, len(s), least.get(top(i))) for i, ((doc, _), s) in enumerate(zip(docs, sets, strict=True))], key=str)
+
+
+def _near_texts(rng, groups, copies, length=60, edits=3, vocabulary=40):
+    out = []
+    for _ in range(groups):
+        base = [f"w{rng.randrange(vocabulary)}" for _ in range(length)]
+        for _ in range(copies):
+            words = list(base)
+            for _ in range(rng.randrange(edits + 1)):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(500)}"
+            out.append(" ".join(words))
+    return out
+
+
+def _joined(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_join_of_a_table_equals_brute_force(spark):
+    from shoplake.llm.queries import op13_metric_ngram_join
+
+    docs = [(r.doc_id, r.text) for r in _table(spark, "documents").collect()]
+    got = op13_metric_ngram_join(spark, SF001)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert _joined(got) == brute_join(docs)
+
+
+def test_join_of_awkward_rows(spark):
+    from shoplake.llm import ngram_join
+
+    rng = random.Random(2)
+    texts = _near_texts(rng, 12, 14) + _near_texts(rng, 3, 40, length=200, edits=9)
+    docs = list(enumerate(texts, 10))
+    docs += [(None, texts[0]), (None, "only here and nowhere else at all"), (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "ONE"),
+             (6, "one two"), (7, "one two"), (7, "one two"), (8, "\x1cone two"), (9, "w1 " * 300_000), (0, "w1 w1 w1 "), (9000, "Ärger ÄRGER x")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr(
+        "*", "1 as row", "2 as n", "'k' as key", "0 as region", "'r' as raw", "3 as label")
+    assert _joined(ngram_join.join(df)) == brute_join(docs)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 95])
+def test_join_at_other_similarities(spark, percent):
+    from shoplake.llm import ngram_join
+
+    docs = list(enumerate(_near_texts(random.Random(percent), 10, 20, length=50, edits=6)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert _joined(ngram_join.join(df, percent=percent)) == brute_join(docs, percent)
+
+
+@pytest.mark.parametrize(("leaf", "crowd", "spread"), [(1000, 8, 100), (1000, 8, 1), (3000, 20, 3)])
+def test_join_recurses_to_cells_and_blocks(spark, monkeypatch, leaf, crowd, spread):
+    from shoplake.llm import ngram_join
+
+    for name, value in (("LEAF", leaf), ("CROWD", crowd), ("SPREAD", spread)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(leaf + spread)
+    # one template with slots: every region of single shingles holds many texts
+    words = [f"t{i}" for i in range(60)]
+    texts = []
+    for _ in range(90):
+        text = list(words)
+        for slot in range(0, 60, 8):
+            text[slot] = f"s{rng.randrange(3)}"
+        texts.append(" ".join(text))
+    docs = list(enumerate(texts + _near_texts(rng, 2, 40)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert _joined(ngram_join.join(df)) == brute_join(docs)
+
+
+def test_block_join_finds_every_component():
+    import numpy as np
+
+    from shoplake.llm import ngram_join
+
+    rng = random.Random(9)
+    for _ in range(30):
+        texts = _near_texts(rng, 3, 40, length=40, edits=5)
+        sets = [ngram_join.shingle_set(t.encode()) for t in texts]
+        side = np.array([rng.randrange(2) for _ in texts])
+        for given in (None, side):
+            links = ngram_join.join_block(sets, np.arange(len(sets)), 90, given)
+            joined, true = ngram_join._Joined(np.arange(len(sets))), ngram_join._Joined(np.arange(len(sets)))
+            for i, j in links:
+                assert _jaccard_linked(sets[i], sets[j]) and (given is None or given[i] != given[j])
+                joined.add(i, np.array([j]))
+            for i, j in itertools.combinations(range(len(sets)), 2):
+                if (given is None or given[i] != given[j]) and _jaccard_linked(sets[i], sets[j]):
+                    true.add(i, np.array([j]))
+            pairs = set(zip(joined.of.tolist(), true.of.tolist(), strict=True))
+            assert len(pairs) == len(set(joined.of.tolist())) == len(set(true.of.tolist()))
+
+
+def _jaccard_linked(a, b, percent=90):
+    common = len(set(a.tolist()) & set(b.tolist()))
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def test_join_of_nothing(spark):
+    from shoplake.llm import ngram_join
+
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert ngram_join.join(none).collect() == []
+    assert _joined(ngram_join.join(spark.createDataFrame([(3, None)], none.schema))) == [(3, 0, 3)]
