@@ -7,8 +7,10 @@ inverted index from the rank of a token pair to the positions where it stands is
 replayed in rank order. Merging a position touches its two neighbours only: their
 pairs get new ranks and join the index. Words never interact, and the lowest rank
 present anywhere is the lowest of every word that holds it, so the replay gives
-each word the merges it would get alone; where a merge makes a pair of lower rank,
-that one is replayed next.
+each word the merges it would get alone. All places of a rank are merged at once, of
+places that overlap every other one from the left. Where that would bring up a pair of
+lower rank between two of them, the word is taken out and merged alone, from a heap of
+(rank, place). Either way a word of n bytes takes about n log n steps.
 
 The index covers the distinct words of a block (bounded by ``BLOCK_CHARS``), not of
 the whole input, so memory is bounded, nothing is shuffled or broadcast, and a lost
@@ -84,6 +86,7 @@ class Vocabulary:
         basic = "".join(re.escape(chr(c)) for c in self.swap if c < 0x10000)
         self.odd = re.compile(f"[{basic}]" if basic else r"(?!)")
         self.beyond = re.compile("[\U00010000-\U0010ffff]")
+        self.pairs = pairs
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
 
@@ -153,9 +156,27 @@ def replay(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarra
         if not len(at):
             continue
         at = np.unique(at)
-        # the leftmost place of each word now; further ones after what this merge may bring up
-        first = np.r_[True, word[at[1:]] != word[at[:-1]]]
-        later, at = at[~first], at[first]
+        # of places that overlap, every other one from the left
+        begins = np.r_[True, after[at[:-1]] != at[1:]]
+        place = np.arange(len(at))
+        at = at[(place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0]
+        # what the merges bring up when they are made from left to right
+        left, right = before[at], after[after[at]]
+        merged = np.zeros(len(at), bool)
+        merged[1:] = after[after[at[:-1]]] == at[1:]
+        lower = np.zeros(len(at), bool)
+        some = left >= 0
+        lower[some] = vocab.pair_ranks(np.where(merged, r, token[left])[some], np.full(int(some.sum()), r)) < r
+        some = right >= 0
+        lower[some] |= vocab.pair_ranks(np.full(int(some.sum()), r), token[right[some]]) < r
+        if lower.any():
+            odd = np.unique(word[at[lower]])
+            for w in odd.tolist():
+                _merge_alone(starts[w], ends[w], vocab, token, alive, after)
+                rank[starts[w]:ends[w]] = NONE
+            at = at[~np.isin(word[at], odd)]
+            if not len(at):
+                continue
         gone = after[at]
         token[at] = r
         alive[gone] = False
@@ -168,12 +189,46 @@ def replay(words: list[bytes], vocab: Vocabulary) -> tuple[np.ndarray, np.ndarra
         left = before[at]
         left = left[left >= 0]
         rank[left] = vocab.pair_ranks(token[left], token[after[left]])
-        enter(np.concatenate([at[tail], left, later]))
+        enter(np.unique(np.concatenate([at[tail], left])))
     kept = np.flatnonzero(alive)
     bounds = np.searchsorted(kept, np.r_[starts, n])
     return token[kept], bounds
 
 
+def _merge_alone(start: int, end: int, vocab: Vocabulary, token: np.ndarray, alive: np.ndarray, after: np.ndarray) -> None:
+    """All merges that are left in one word, the lowest rank first and then the leftmost."""
+    places = (start + np.flatnonzero(alive[start:end])).tolist()
+    tokens = token[places].tolist()
+    n = len(places)
+    nxt, prev, live = [*range(1, n), -1], list(range(-1, n - 1)), [True] * n
+    pairs, heap, held = vocab.pairs, [], [-1] * n
+
+    def look(i: int) -> None:
+        found = pairs.get((tokens[i] << 32) | tokens[nxt[i]], -1) if nxt[i] >= 0 else -1
+        held[i] = found
+        if found >= 0:
+            heapq.heappush(heap, (found, i))
+
+    for i in range(n):
+        look(i)
+    while heap:
+        r, i = heapq.heappop(heap)
+        if not live[i] or held[i] != r:
+            continue
+        gone = nxt[i]
+        tokens[i], live[gone], nxt[i] = r, False, nxt[gone]
+        if nxt[i] >= 0:
+            prev[nxt[i]] = i
+        look(i)
+        if prev[i] >= 0:
+            look(prev[i])
+    at = np.array([p for p, on in zip(places, live, strict=True) if on])
+    alive[start:end] = False
+    alive[at] = True
+    token[at] = [t for t, on in zip(tokens, live, strict=True) if on]
+    after[at] = np.r_[at[1:], -1]
+
+
 class Encoder:
     """Encodes blocks of texts; keeps the ids of words seen before, up to a bound."""
 
@@ -245,6 +300,19 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
     return shipped(rows).mapInPandas(run, schema)
 
 
+def decode_table(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "text") -> DataFrame:
+    """The rows with the text that their ids stand for; null ids give a null text, bytes that aren't UTF-8 the replacement character."""
+    names = [c for c in rows.columns if c.lower() != text.lower()]
+
+    @F.pandas_udf("string")
+    def read(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vocab = vocabulary(path, pattern)
+        for part in parts:
+            yield pd.Series([None if x is None else decode(np.asarray(x), vocab).decode("utf-8", "replace") for x in part], dtype=object)
+
+    return shipped(rows).select(*names, read(F.col(ids)).alias(text))
+
+
 def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
     out["doc_id"] = out["doc_id"].astype("Int64")
