@@ -37,7 +37,8 @@ HEX_LEAST = 24
 KINDS = ("assign", "access", "hex")
 # The method's own candidates.
 JWT = r"\bey[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
-MIXED = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])"
+# looks ahead within the run only, so that a text without white space is read in one pass
+MIXED = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])"
          r"[A-Za-z0-9+/_-]{32,}")
 COMMON_OWNERS = 3
 COMMON_REPOS = 4
