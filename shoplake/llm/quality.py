@@ -1,7 +1,9 @@
 """Quality classifier by nearest-neighbour voting over latent-semantic vectors.
 
 A text's terms are hashed: its words, the shapes of its words (runs of lower case,
-upper case, digits and marks), pairs of shapes, and how its words repeat. A run of
+upper case, digits and marks), pairs of shapes, and how its words repeat (the shares
+of words that equal the one before, of words that also stand among the ``NEAR`` words
+before them, and of the commonest word, each measured alike at every length). A run of
 more than ``LONG`` characters without white space (Chinese, Japanese or Thai text,
 base64, minified code, long URLs) counts as all its overlapping pieces of ``PIECE``
 characters, each of them a word. A bounded,
@@ -12,8 +14,9 @@ whatever the input); every document's vector is multiplied with all of them in
 blocks, exactly, and its ``NEIGHBOURS`` nearest vote with their labels, weighted by
 a power of their cosine. The score is the share of votes for label 1.
 
-A document's labels never enter its own score's inputs: labelled rows are used for
-learning only where ``learn`` holds, and a sample row is left out of its own vote.
+A score is a function of the text and the model only: equal texts have equal scores
+whatever their ids, and a text of the sample may be its own nearest neighbour. Labelled
+rows are used for learning only where ``learn`` holds.
 
 Defined results: a null text is read as empty; a text without terms gets the
 sample's weighted mean label; null labels are left out, of several labels of one
@@ -44,6 +47,7 @@ TERM_DIMS = WORD_DIMS + SHAPE_DIMS + PAIR_DIMS + REPEAT_DIMS
 BLOCK = 512
 CACHE_WORDS = 500_000
 LONG, PIECE = 32, 3
+NEAR = 50
 _RUNS = re.compile(r"(.)\1+", re.S)
 
 
@@ -118,12 +122,13 @@ class Terms(dict):
             out[begin:begin + dims] = counts / max(1e-9, float(np.sqrt((counts * counts).sum())))
             begin += dims
         same = float((at[1:] == at[:-1]).mean()) if len(at) > 1 else 0.0
-        ordered = np.sort(at)
-        runs = np.diff(np.r_[np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]), len(at)])
-        fresh = len(runs) / len(at)
-        common = float(runs.max()) / len(at) if len(at) > 20 else 0.0
+        order = np.argsort(at, kind="stable")
+        again = at[order[1:]] == at[order[:-1]]
+        near = float((again & (np.diff(order) <= NEAR)).sum()) / len(at)
+        runs = np.diff(np.r_[np.flatnonzero(np.r_[True, ~again]), len(at)])
+        common = (float(runs.max()) - 1) / (len(at) + NEAR)
         grid = np.arange(20) / 19
-        for i, value in enumerate((same, 1 - fresh if len(at) > 200 else same, common)):
+        for i, value in enumerate((same, near, common)):
             out[begin + 20 * i:begin + 20 * i + 20] = np.exp(-((grid - value) / 0.08) ** 2)
         part = out[begin:]
         part /= np.sqrt((part * part).sum())
@@ -133,10 +138,10 @@ class Terms(dict):
 class Model:
     """Labelled unit vectors and the projection that makes them; a few MB at most."""
 
-    def __init__(self, vectors: np.ndarray, labels: np.ndarray, keys: np.ndarray):
+    def __init__(self, vectors: np.ndarray, labels: np.ndarray):
         seen = (vectors > 0).sum(axis=0) / max(1, len(vectors))
         self.weight = np.log(1 + 1 / np.maximum(seen, 1 / max(1, len(vectors)))).astype(np.float32)
-        self.labels, self.keys = labels.astype(np.float64), keys
+        self.labels = labels.astype(np.float64)
         self.prior = float(labels.mean()) if len(labels) else 1.0
         x = vectors * self.weight
         rng = np.random.default_rng(5)
@@ -155,13 +160,12 @@ class Model:
         low = vectors @ self.project
         return low / np.maximum(np.sqrt((low * low).sum(axis=1, keepdims=True)), 1e-12)
 
-    def scores(self, vectors: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def scores(self, vectors: np.ndarray) -> np.ndarray:
         """Votes of the nearest labelled vectors, for a block of documents."""
         out = np.full(len(vectors), self.prior)
         if not len(self.known):
             return out
         cos = self.unit(vectors) @ self.known.T
-        cos[keys[:, None] == self.keys[None, :]] = -1.0
         k = min(NEIGHBOURS, cos.shape[1])
         near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
         votes = np.maximum(np.take_along_axis(cos, near, axis=1), 0.0).astype(np.float64) ** POWER
@@ -182,23 +186,26 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", s
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     best = [known.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(sample) for q in (0, 1)]
     chosen = staged(best[0].union(best[1]), "quality_sample")
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(text).alias("text"),
+                        F.md5(text_or_empty(text).cast("binary")).alias("digest"))
             .join(F.broadcast(chosen), "doc_id"))
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
         for pdf in batches:
             vectors = [terms.vector(t) for t in pdf["text"]]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"],
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "quality": pdf["quality"], "digest": pdf["digest"],
                                 "at": [np.flatnonzero(v).astype(np.int32) for v in vectors],
                                 "weight": [v[v != 0] for v in vectors]})
 
-    found = shipped(rows).mapInPandas(counts, "doc_id long, quality int, at array<int>, weight array<float>")
-    found = found.dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    found = shipped(rows).mapInPandas(counts, "doc_id long, quality int, digest string, at array<int>, weight array<float>")
+    # of several texts of one doc_id the least, whatever the partitioning
+    found = found.groupBy("doc_id").agg(F.min(F.struct("digest", "quality", "at", "weight")).alias("m")).select("doc_id", "m.*")
+    found = found.orderBy("doc_id").toPandas()
     vectors = np.zeros((len(found), TERM_DIMS), np.float32)
     for i, (at, weight) in enumerate(zip(found["at"], found["weight"], strict=True)):
         vectors[i, at] = weight
-    return Model(vectors, found["quality"].to_numpy(np.int64), found["doc_id"].to_numpy(np.int64))
+    return Model(vectors, found["quality"].to_numpy(np.int64))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep_from: float = KEEP_FROM,
@@ -208,17 +215,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_from: float =
     names = [c for c in docs.columns if c.lower() not in (score_col.lower(), predicted_col.lower())]
 
     @F.pandas_udf("double")
-    def vote(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def vote(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         terms, m = Terms(), held.value
-        for texts, keys in parts:
+        for texts in parts:
             out = np.empty(len(texts))
-            keys = keys.fillna(np.iinfo(np.int64).min).to_numpy(np.int64)
             for at in range(0, len(texts), BLOCK):
                 block = np.stack([terms.vector(t) for t in texts.iloc[at:at + BLOCK]])
-                out[at:at + BLOCK] = m.scores(block, keys[at:at + BLOCK])
+                out[at:at + BLOCK] = m.scores(block)
             yield pd.Series(out)
 
-    scored = shipped(docs).select(*names, vote(text_or_empty(text), F.col("doc_id").cast("long")).alias(score_col))
+    scored = shipped(docs).select(*names, vote(text_or_empty(text)).alias(score_col))
     return scored.withColumn(predicted_col, (F.col(score_col) >= keep_from).cast("int"))
 
 
