@@ -151,17 +151,39 @@ def test_quality_votes_match_brute_force_and_hold_out(spark):
     rows = quality.score(docs, model).withColumn("held", quality.held_out()).collect()
     held = [r for r in rows if r["held"]]
     assert held and all(r["predicted"] == int(r["doc_id"] < 120) for r in held)
-    learnt = set(model.keys.tolist())
-    assert learnt.isdisjoint(r["doc_id"] for r in held)
+    assert len(model.known) == sum(not r["held"] for r in rows)
     terms = quality.Terms()
     for r in rows[::9]:
         v = model.unit(terms.vector(r["text"])[None, :])[0]
-        cos = [(float(v @ k), float(y)) for k, y, i in zip(model.known, model.labels, model.keys, strict=True) if i != r["doc_id"]]
+        cos = [(float(v @ k), float(y)) for k, y in zip(model.known, model.labels, strict=True)]
         near = sorted(cos, reverse=True)[:quality.NEIGHBOURS]
         votes = [max(0.0, c) ** quality.POWER for c, _ in near]
         assert r["score"] == pytest.approx(sum(a * y for a, (_, y) in zip(votes, near, strict=True)) / sum(votes), abs=1e-3)
 
 
+def test_quality_scores_depend_on_the_text_alone(spark):
+    rng = np.random.default_rng(8)
+    texts = [prose(i, int(rng.integers(1, 400))) if i % 2 else "buy now " * int(rng.integers(1, 90)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, quality.learnable())
+    own = {r["text"]: r["score"] for r in quality.score(docs, model).collect()}
+    moved = docs.selectExpr("cast(null as bigint) as doc_id", "text").union(docs.selectExpr("doc_id + 1", "text"))
+    # blocks of another size add the same numbers in another order
+    assert all(r["score"] == pytest.approx(own[r["text"]], abs=1e-4) for r in quality.score(moved, model).collect())
+    again = quality.fit(docs.repartition(7), labels.repartition(3), quality.learnable())
+    assert np.array_equal(model.known, again.known)
+
+
+@pytest.mark.parametrize("n", [20, 200])
+def test_quality_terms_do_not_switch_at_a_length(n):
+    line = [f"v{i}" for i in range(9)]
+    words = [line[i % 9] for i in range(n + 1)]
+    terms = quality.Terms()
+    a, b = (terms.vector(" ".join(words[:k]))[-quality.REPEAT_DIMS:] for k in (n, n + 1))
+    assert a @ b > 0.95
+
+
 def test_quality_judges_long_unspaced_texts_beyond_their_first_characters(spark):
     rng = np.random.default_rng(6)
     common = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳云腾致雨"
@@ -267,6 +289,29 @@ def test_secret_base_spans_match_brute_force(spark, awkward, nothing):
     assert secret_scan.scan(nothing).count() == 0 and secret_scan.redact(nothing).count() == 0
 
 
+def test_secret_scan_of_unspaced_text_takes_time_in_proportion(spark):
+    import time
+
+    rng = np.random.default_rng(5)
+    took = {}
+    for n in (2_000, 100_000, 1_000_000):
+        lower = "".join("abcdefghij,"[i] for i in rng.integers(0, 11, n))
+        df = spark.createDataFrame([(1, lower + ",Ab3" + "xY9z" * 9, "a", "en")], "doc_id long, text string, source string, lang string")
+        begin = time.time()
+        row = secret_scan.scan(df).first()
+        took[n] = time.time() - begin
+        assert row["spans"].split(",")[-1] == f"mixed:{n + 1}:{n + 40}"
+    assert took[1_000_000] < 10 * max(took[100_000], 1.5)
+
+
+def test_a_mixed_secret_needs_its_classes_within_the_run(spark):
+    inside, outside = "aB3" * 12, "g" * 36 + ".B3"
+    df = spark.createDataFrame([(1, inside, "a", "en"), (2, outside, "a", "en"), (3, "A3" * 18 + ",b", "a", "en")],
+                               "doc_id long, text string, source string, lang string")
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(df).collect()}
+    assert spans == {1: "mixed:0:36", 2: "", 3: ""}
+
+
 def test_secrets_that_many_owners_share_are_examples(spark):
     jwt = "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJSMeKKF2QT4"
     rows = rows_of([f"x password=example123 {jwt}"] * 8 + ["y password=onlymine9 z " + jwt.upper().replace("EY", "ey"), None])
@@ -389,6 +434,59 @@ def test_bpe_matches_the_tokenizer_library(spark, awkward, nothing):
     assert bpe.encode(nothing, path, pattern).count() == 0
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "ACGT", "-", "天地玄黄宇宙洪荒日月盈昃"])
+def test_bpe_of_a_run_of_a_million_characters(letters):
+    import time
+
+    import tiktoken
+
+    path, pattern = tokenizer()
+    vocab = bpe.vocabulary(path, pattern)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocab.ranks, special_tokens={})
+    rng = np.random.default_rng(len(letters))
+    for n, bound in ((20_000, 10), (1_000_000, 60)):
+        text = "".join(letters[i] for i in rng.integers(0, len(letters), n))
+        encoder, begin = bpe.Encoder(vocab), time.time()
+        ids = next(encoder.encode([encoder.rows(text)]))
+        assert time.time() - begin < bound
+        assert bpe.decode(ids, vocab) == text.encode()
+        if n == 20_000:  # the library itself takes the square of a run's length
+            assert ids.tolist() == library.encode_ordinary(text)
+
+
+def test_bpe_of_long_runs_that_bring_up_lower_ranks(tmp_path):
+    import tiktoken
+
+    rng = np.random.default_rng(4)
+    for trial in range(25):
+        tokens = {"".join("abc"[i] for i in rng.integers(0, 3, rng.integers(2, 5))).encode() for _ in range(20)}
+        order = rng.permutation(len(tokens)).tolist()
+        ranks = {bytes([i]): i + 100 for i in range(256)} | {t: order[k] for k, t in enumerate(sorted(tokens))}
+        file = tmp_path / f"ranks{trial}"
+        file.write_bytes(b"\n".join(base64.b64encode(k) + b" " + str(v).encode() for k, v in ranks.items()))
+        vocab = bpe.Vocabulary(str(file), r"\S+|\s+")
+        library = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+        words = ["".join("abc"[i] for i in rng.integers(0, 3, n)) for n in (1, 2, 7, 40, 300)] + ["abc" * 50, "a" * 33, "aab" * 40]
+        ids, bounds = bpe.replay([w.encode() for w in words], vocab)
+        for k, w in enumerate(words):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == library.encode_ordinary(w)
+
+
+def test_bpe_table_decodes_to_its_texts(spark, awkward, nothing):
+    path, pattern = tokenizer()
+    ids = bpe.encode(awkward, path, pattern).withColumn("TEXT", F.lit("clash"))
+    read = bpe.decode_table(ids, path, pattern)
+    assert read.columns == ["doc_id", "n_tokens", "ids", "text"]
+    assert Counter((r["doc_id"], r["text"]) for r in read.collect()) == Counter((r["doc_id"], r["text"] or "") for r in awkward.collect())
+    assert bpe.decode_table(bpe.encode(nothing, path, pattern), path, pattern).count() == 0
+    cut = spark.createDataFrame([(1, [vocab_byte(path, 0xE4)]), (2, None)], "doc_id long, ids array<int>")
+    assert [r["text"] for r in bpe.decode_table(cut, path, pattern).orderBy("doc_id").collect()] == ["\ufffd", None]
+
+
+def vocab_byte(path, byte):
+    return int(bpe.vocabulary(path, tokenizer()[1]).single[byte])
+
+
 def test_bpe_replays_a_lower_rank_that_a_merge_brings_up(tmp_path):
     ranks = {bytes([i]): i + 10 for i in range(256)} | {b"abc": 0, b"ab": 1, b"bc": 300, b"aa": 301, b"cab": 302}
     file = tmp_path / "ranks"

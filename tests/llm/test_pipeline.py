@@ -87,6 +87,28 @@ def test_mixture_and_tokens_follow_their_input(spark, stages):
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     want = sorted((r["doc_id"], library.encode_ordinary(r["text"])) for r in mixed.collect())
     assert sorted((r["doc_id"], list(r["ids"])) for r in tokens.collect()) == want
+    texts = sorted((r["doc_id"], r["text"]) for r in mixed.collect())
+    assert sorted((r["doc_id"], r["text"]) for r in tokens.collect()) == texts
+
+
+def test_awkward_rows_go_through_every_stage(spark):
+    """Null ids, texts and sources, repeated rows, a long text, and columns that bear the stages' own names."""
+    docs = table(spark, SF, "documents")
+    clean = docs.filter(F.length("text") > 400).limit(3)
+    rows = docs.limit(0)
+    for change in ({"text": F.lit(None).cast("string")}, {"doc_id": F.lit(None).cast(docs.schema["doc_id"].dataType)},
+                   {"source": F.lit(None).cast("string"), "lang": F.lit(None).cast("string")}, {"text": F.lit("")},
+                   {"text": F.concat_ws(" ", F.array_repeat("text", 40))}, {"n_chars": F.lit(None).cast(docs.schema["n_chars"].dataType)}):
+        rows = rows.union(clean.withColumns(change).select(*docs.columns))
+    rows = rows.union(clean).union(clean).union(docs)
+    rows = staged(rows.selectExpr("*", "'s' as score", "1 as size", "2 as row", "true as keep", "'k' as key", "0 as taken"), "test_awkward")
+    columns, before = rows.columns, rows
+    for name, stage in corpus_pipeline.STAGES:
+        after = staged(stage(spark, before, SF), "test_awkward")
+        assert name == "tokens" or after.columns == columns
+        assert 0 < after.count() <= 4 * before.count()
+        before = after
+    assert before.columns == ["doc_id", "n_tokens", "ids", "text"]
 
 
 def test_an_empty_table_goes_through_every_stage(spark):
