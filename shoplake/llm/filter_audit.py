@@ -68,7 +68,9 @@ def masked(docs: DataFrame, labels: DataFrame, text: str = "text", part: str = "
                                      F.count_if(F.col("doc_id").isNull()).alias("unnamed"))
     first = first.filter((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & (F.col("unnamed") > 0)))
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.col("first").isNotNull())
-    rows = rows.join(first.select("hash", "first"), "hash", "left").select(
+    # written, so that the copies of one text can be split in the join
+    first = staged(first.select("hash", "first"), "audit_first")
+    rows = rows.join(first, "hash", "left").select(
         "doc_id", "part", (F.col("mask") + _bits([copy], first=4)).alias("mask"))
     marks = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
