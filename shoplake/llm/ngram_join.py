@@ -10,14 +10,16 @@ point is equally near to all of its own shingles and at distance 1 from any othe
 point is on the boundary of all its shingles' regions, and the window is a count: two
 points within the radius share one of the ``n - ceil(0.9 n) + 1`` shingles of each that
 come first in one order, wherefore a point is replicated to the regions of these only.
-The order takes a fixed fifth of all shingles first, the rarest of them before others;
+The order takes a fixed sixth of all shingles first, the rarest of them before others;
 a point whose window holds a shingle that no other point has links with nothing there,
 so most texts leave here. (Texts that share nothing are all at distance 1 from each
 other: no triangle of points tells them apart, so text pivots can't be the first level.)
 
 Within a region the pivots are points. First one of each region, the point that shares
 most, is compared with the others; regions whose points are then all of one component
-are done. What is left is joined recursively: a region of more than ``LEAF`` shingles or ``CROWD``
+are done. Of what is left, regions that share points are drawn together as long as one
+task can hold them, so that a point's set is sent once and not for each of its shingles.
+The regions are then joined recursively: one of more than ``LEAF`` shingles or ``CROWD``
 points gets pivots, each point goes to its nearest one (its Voronoi cell) and, by the triangle
 inequality, to each cell whose pivot is at most two radii farther, so any linked pair
 meets in a cell. A pivot has been compared with its whole region and leaves it. Cells
@@ -57,7 +59,7 @@ FEW = 4  # points of a region that one task joins whatever their size
 PIVOTS = 48
 SPREAD = 4
 DEPTH = 4
-FIRST = 5  # one in so many shingles comes first in the order
+FIRST = 6  # one in so many shingles comes first in the order
 BATCH_SHINGLES = 500_000
 CACHE_WORDS = 1_000_000
 
@@ -129,19 +131,23 @@ def points(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataF
     return shipped(rows).mapInPandas(run, POINTS)
 
 
-def first_regions(reps: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(region, row, n): the regions of single shingles that two points or more are replicated to."""
-    size, need = F.size("first"), F.expr(f"n - cast(ceil({percent} * n / 100.0) as int) + 1")
-    rows = reps.select("row", "n", size.alias("early"), F.explode("first").alias("region"))
-    shared = rows.groupBy("region").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    own = rows.join(shared, "region").groupBy("row").agg(
-        F.first("n").alias("n"), F.first("early").alias("early"),
-        F.array_sort(F.collect_list(F.struct("held", "region"))).alias("own"))
-    # shingles that no other point has come before the shared ones
+def first_regions(rows: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(region, row, n): the regions of single shingles that two points or more are replicated to.
+
+    Shingles are counted over all documents, copies too: any count makes an order. Only
+    ids and hashes are shuffled with them; ``reps`` has the row of each point.
+    """
+    need = F.expr(f"n - cast(ceil({percent} * n / 100.0) as int) + 1")
+    held = rows.select("row", F.explode("first").alias("region"))
+    shared = held.groupBy("region").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    own = held.join(shared, "region").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("held", "region"))).alias("own"))
+    meta = rows.select("row", "n", F.size("first").alias("early")).join(reps, "row")
+    own = own.join(meta, "row")
+    # shingles that no other document has come before the shared ones
     left = (need - (F.col("early") - F.size("own"))).cast("int")
     near = own.filter(left > 0).select("row", "n", F.explode(F.slice("own", F.lit(1), left)).alias("own")).select(
         F.col("own.region").alias("region"), "row", "n")
-    far = reps.filter(F.size("further") > 0).select(F.explode("further").alias("region"), "row", "n")
+    far = rows.filter(F.size("further") > 0).join(reps, "row").select(F.explode("further").alias("region"), "row", "n")
     every = staged(near.union(far), "ngram_windows")
     live = every.groupBy("region").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("region")
     return every.join(live, "region")
@@ -181,6 +187,20 @@ def mixed(regions: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(open_, "region")
 
 
+def islands(regions: DataFrame) -> DataFrame:
+    """The regions (region, row, n, label), those that share points as one where a task can hold it."""
+    hubs = regions.groupBy("region").agg(F.min("row").alias("hub"))
+    known = staged(regions.join(hubs, "region"), "ngram_hubs")
+    shores = components(known.filter(F.col("row") != F.col("hub")).select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct())
+    shores = shores.select(F.col("node").alias("row"), F.col("label").alias("island"))
+    points_of = known.select("row", "n", "label").distinct().join(shores, "row")
+    sizes = points_of.groupBy("island").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
+    fit = staged(sizes.filter((F.col("total") <= LEAF) & (F.col("held") <= CROWD)).select("island"), "ngram_islands")
+    whole = points_of.join(fit, "island").select(F.col("island").alias("region"), "row", "n", "label")
+    lone = known.select("region", "hub").distinct().join(shores.withColumnRenamed("row", "hub"), "hub").join(fit, "island", "left_anti")
+    return whole.union(known.join(lone.select("region"), "region").select("region", "row", "n", "label"))
+
+
 class _Joined:
     """Union-find over the labels of a block; remembers the links that joined two components."""
 
@@ -363,6 +383,21 @@ def region_links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
     return found
 
 
+BITS = 1 << 24
+
+
+def among(docs: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` has a value of ``chosen``, and few others: by ``BITS`` bits, broadcast as words of 64.
+
+    Keeps most rows out of a shuffle; what comes through is joined exactly.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(BITS))
+    words = chosen.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_mask"))
+    known = docs.withColumn("_bit", bit).withColumn("_word", F.expr("_bit div 64")).join(F.broadcast(words), "_word")
+    return known.filter("shiftright(_mask, cast(_bit % 64 as int)) & 1 = 1").select(*docs.columns)
+
+
 def _union(spark: SparkSession, tables: list[DataFrame]) -> DataFrame:
     out = spark.createDataFrame([], LINKS)
     for t in tables:
@@ -376,8 +411,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     rows = staged(points(docs, text, percent), "ngram_points")
     same = staged(rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min(F.col("key").cast("long")).alias("least")),
                   "ngram_same")
-    reps = rows.join(same.select("row"), "row", "left_semi")
-    regions = staged(first_regions(reps, percent), "ngram_regions")
+    regions = staged(first_regions(rows, same.select("row"), percent), "ngram_regions")
     live = rows.select("row", "key", "raw").join(regions.select("row").distinct(), "row").select(
         "row", "raw", F.coalesce("key", F.lit("")).alias("key"))
 
@@ -391,13 +425,15 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key"),
                         F.md5(body.cast("binary")).alias("raw"), body.cast("binary").alias("data"))
     wanted = live.groupBy("key", "raw").agg(F.min("row").alias("row"))
-    found = shipped(texts.join(wanted, ["key", "raw"]).select("row", "data")).mapInPandas(run, "row long, set array<long>")
+    wanted = staged(wanted, "ngram_wanted")
+    texts = among(texts, wanted, "raw").join(wanted, ["key", "raw"])
+    found = shipped(texts.select("row", "data")).mapInPandas(run, "row long, set array<long>")
     sets = staged(found.dropDuplicates(["row"]), "ngram_sets")
     links, stars = star_links(regions, sets, percent)
     links = staged(links, "ngram_links")
     labels = components(links)
     left = mixed(stars.filter(F.col("row") != F.col("pivot")).select("region", "row", "n"), labels)
-    more = region_links(left, sets, percent)
+    more = region_links(islands(left), sets, percent)
     every = _union(spark, [links, *more])
     if any(not t.isEmpty() for t in more):
         labels = components(every)
