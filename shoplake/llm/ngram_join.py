@@ -9,7 +9,9 @@ Regions are made by pivots. On the first level the pivots are sets of one shingl
 point is equally near to all of its own shingles and at distance 1 from any other, so a
 point is on the boundary of all its shingles' regions, and the window is a count: two
 points within the radius share one of the ``n - ceil(0.9 n) + 1`` shingles of each that
-come first in one order, wherefore a point is replicated to the regions of these only.
+come first in one order, wherefore a point is replicated to the regions of these only. One
+of the two, the smaller, even has it among its first ``n - ceil(2 * 0.9 / 1.9 n) + 1``:
+regions in which no point has its shingle that early are empty of links.
 The order takes a fixed sixth of all shingles first, the rarest of them before others;
 a point whose window holds a shingle that no other point has links with nothing there,
 so most texts leave here. (Texts that share nothing are all at distance 1 from each
@@ -17,9 +19,9 @@ other: no triangle of points tells them apart, so text pivots can't be the first
 
 Within a region the pivots are points. First one of each region, the point that shares
 most, is compared with the others; regions whose points are then all of one component
-are done. Of what is left, regions that share points are drawn together as long as one
-task can hold them, so that a point's set is sent once and not for each of its shingles.
-The regions are then joined recursively: one of more than ``LEAF`` shingles or ``CROWD``
+are done. Of what is left, regions that have one hub (the point that is in most regions)
+are gathered, so that a point's set is sent to few regions and not for each shingle. They
+are then joined recursively: one of more than ``LEAF`` shingles or ``CROWD``
 points gets pivots, each point goes to its nearest one (its Voronoi cell) and, by the triangle
 inequality, to each cell whose pivot is at most two radii farther, so any linked pair
 meets in a cell. A pivot has been compared with its whole region and leaves it. Cells
@@ -145,12 +147,15 @@ def first_regions(rows: DataFrame, reps: DataFrame, percent: int = PERCENT) -> D
     own = own.join(meta, "row")
     # shingles that no other document has come before the shared ones
     left = (need - (F.col("early") - F.size("own"))).cast("int")
-    near = own.filter(left > 0).select("row", "n", F.explode(F.slice("own", F.lit(1), left)).alias("own")).select(
-        F.col("own.region").alias("region"), "row", "n")
-    far = rows.filter(F.size("further") > 0).join(reps, "row").select(F.explode("further").alias("region"), "row", "n")
-    every = staged(near.union(far), "ngram_windows")
-    live = every.groupBy("region").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select("region")
-    return every.join(live, "region")
+    near = own.filter(left > 0).select("row", "n", (F.col("early") - F.size("own")).alias("before"), F.posexplode(
+        F.slice("own", F.lit(1), left)).alias("at", "own")).select(F.col("own.region").alias("region"), "row", "n", "before", "at")
+    far = rows.filter(F.size("further") > 0).join(reps, "row").select(
+        "row", "n", F.size("first").alias("before"), F.posexplode("further").alias("at", "region")).select(
+        "region", "row", "n", "before", "at")
+    core = F.expr(f"n - cast(ceil({2 * percent} * n / {100 + percent}.0) as int) + 1")
+    every = staged(near.union(far).select("region", "row", "n", (F.col("before") + F.col("at") < core).alias("core")), "ngram_windows")
+    live = every.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.max("core").alias("core")).filter("held > 1 and core")
+    return every.drop("core").join(live.select("region"), "region")
 
 
 def similar(a: Column, b: Column, common: Column, percent: int) -> Column:
@@ -187,18 +192,16 @@ def mixed(regions: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(open_, "region")
 
 
-def islands(regions: DataFrame) -> DataFrame:
-    """The regions (region, row, n, label), those that share points as one where a task can hold it."""
-    hubs = regions.groupBy("region").agg(F.min("row").alias("hub"))
-    known = staged(regions.join(hubs, "region"), "ngram_hubs")
-    shores = components(known.filter(F.col("row") != F.col("hub")).select(F.col("hub").alias("a"), F.col("row").alias("b")).distinct())
-    shores = shores.select(F.col("node").alias("row"), F.col("label").alias("island"))
-    points_of = known.select("row", "n", "label").distinct().join(shores, "row")
-    sizes = points_of.groupBy("island").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
-    fit = staged(sizes.filter((F.col("total") <= LEAF) & (F.col("held") <= CROWD)).select("island"), "ngram_islands")
-    whole = points_of.join(fit, "island").select(F.col("island").alias("region"), "row", "n", "label")
-    lone = known.select("region", "hub").distinct().join(shores.withColumnRenamed("row", "hub"), "hub").join(fit, "island", "left_anti")
-    return whole.union(known.join(lone.select("region"), "region").select("region", "row", "n", "label"))
+def gathered(regions: DataFrame) -> DataFrame:
+    """The regions (region, row, n, label), all that have one hub as one: the hub of a region is its point with most regions.
+
+    Near copies share many shingles and mostly one hub, so a point's set is sent to few
+    regions; the points of a gathered region all share a shingle with its hub.
+    """
+    known = staged(regions, "ngram_mixed")
+    reach = known.groupBy("row").agg(F.count(F.lit(1)).alias("reach"))
+    hubs = known.join(reach, "row").groupBy("region").agg(F.max(F.struct("reach", "row"))["row"].alias("hub"))
+    return known.join(hubs, "region").select(F.col("hub").alias("region"), "row", "n", "label").distinct()
 
 
 class _Joined:
@@ -433,7 +436,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     links = staged(links, "ngram_links")
     labels = components(links)
     left = mixed(stars.filter(F.col("row") != F.col("pivot")).select("region", "row", "n"), labels)
-    more = region_links(islands(left), sets, percent)
+    more = region_links(gathered(left), sets, percent)
     every = _union(spark, [links, *more])
     if any(not t.isEmpty() for t in more):
         labels = components(every)
