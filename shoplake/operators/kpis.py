@@ -24,20 +24,18 @@ def _finish(df: DataFrame, kpi: str, keys: list[str], measures: list[str]) -> Da
     return df.select(*keys, *measures, F.lit(kpi).alias("kpi_type"), *DAY)
 
 
-def _tx_count(ids_unique: bool) -> F.Column:
-    """Distinct transactions. When the input is Silver, ids are unique by
-    construction (keep-latest dedup), so a plain count gives the same number
-    without the distinct rewrite (an extra aggregation level and a shuffle
-    keyed by the id, plus an Expand when a second distinct is present)."""
-    return F.count("transaction_id") if ids_unique else F.count_distinct("transaction_id")
+def _tx_count() -> F.Column:
+    """Distinct transactions: ids are unique in Silver (keep-latest dedup), so a
+    plain count gives their number without a shuffle keyed by the id."""
+    return F.count("transaction_id")
 
 
-def revenue_by_product(sales_df: DataFrame, ids_unique: bool = False) -> DataFrame:
+def revenue_by_product(sales_df: DataFrame) -> DataFrame:
     """Daily revenue, units, distinct transactions and mean ticket per category."""
     g = sales_df.groupBy(*DAY, "category").agg(
         F.sum(M.money("total_amount")).alias("_rev"),
         F.sum("quantity").alias("units_sold"),
-        _tx_count(ids_unique).alias("transaction_count"),
+        _tx_count().alias("transaction_count"),
         F.count("total_amount").alias("_n"),
     )
     g = g.select("*", M.out("_rev").alias("total_revenue"), M.exact_mean2(F.col("_rev"), F.col("_n")).alias("avg_order_value"))
@@ -45,16 +43,15 @@ def revenue_by_product(sales_df: DataFrame, ids_unique: bool = False) -> DataFra
                    ["total_revenue", "units_sold", "transaction_count", "avg_order_value"])
 
 
-def revenue_by_region(sales_df: DataFrame, ids_unique: bool = False) -> DataFrame:
+def revenue_by_region(sales_df: DataFrame) -> DataFrame:
     """Daily revenue, distinct transactions, distinct stores, mean ticket per region.
 
-    Two distinct counts: Catalyst rewrites them with one Expand, so each
-    (day, region) group is still aggregated in two hash stages. With
-    ``ids_unique`` only the store count is distinct (no Expand, no id shuffle).
+    Only the store count is distinct: a first stage keyed by store as well, then
+    the (day, region) groups.
     """
     g = sales_df.groupBy(*DAY, "region").agg(
         F.sum(M.money("total_amount")).alias("_rev"),
-        _tx_count(ids_unique).alias("transaction_count"),
+        _tx_count().alias("transaction_count"),
         F.count_distinct("store_id").alias("active_stores"),
         F.count("total_amount").alias("_n"),
     )
@@ -98,53 +95,11 @@ KPIS = {
 }
 
 
-# Grain of the shared partial aggregate: every KPI key is a subset of it.
-BASE_GRAIN = [*DAY, "category", "region", "store_id", "payment_method", "product_id", "product_name"]
-
-
-def kpi_base(silver: DataFrame) -> DataFrame:
-    """One pre-aggregate that all four KPIs roll up from.
+def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
+    """The four KPIs of a Silver read, where ids are unique by construction.
 
-    Revenue and units are exact sums, ``_n``/``_tx`` are counts, and Silver
-    ids are unique, so every KPI measure is additive over this grain; the
-    distinct store count stays exact because store is part of the grain.
-    The Silver scan and its big shuffle happen once, map-side combined; with
-    a few stores x products x payment methods per day the base has
-    thousands of rows per day, not millions.
+    Each reads only its own columns of Silver and combines in the map tasks, so
+    what is shuffled is a row per group and task.
     """
-    return sales(silver).groupBy(*BASE_GRAIN).agg(
-        F.sum(M.money("total_amount")).alias("_rev"),
-        F.sum("quantity").alias("_units"),
-        F.count("total_amount").alias("_n"),
-        F.count("transaction_id").alias("_tx"),
-    )
-
-
-def gold_from_base(base: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """The four Gold tables as roll-ups of ``kpi_base``."""
-    def roll(keys, *aggs):
-        return base.groupBy(*DAY, *keys).agg(*aggs)
-
-    rev = F.sum("_rev").alias("_rev")
-    mean = M.exact_mean2(F.sum("_rev"), F.sum("_n")).alias("avg_order_value")
-    prod = roll(["category"], rev, F.sum("_units").alias("units_sold"), F.sum("_tx").alias("transaction_count"), mean)
-    reg = roll(["region"], rev, F.sum("_tx").alias("transaction_count"),
-               F.count_distinct("store_id").alias("active_stores"), mean)
-    pay = roll(["payment_method"], rev, F.sum("_tx").alias("transaction_count"))
-    top = roll(["product_id", "product_name", "category"], rev, F.sum("_units").alias("units_sold"))
-    w = Window.partitionBy(*DAY).orderBy(F.col("_rev").desc())
-    top = top.withColumn("revenue_rank", F.rank().over(w)).filter(F.col("revenue_rank") <= k)
-    out = {}
-    for name, df, keys, measures in [
-        ("revenue_by_product", prod, ["category"], ["total_revenue", "units_sold", "transaction_count", "avg_order_value"]),
-        ("revenue_by_region", reg, ["region"], ["total_revenue", "transaction_count", "active_stores", "avg_order_value"]),
-        ("payment_method_split", pay, ["payment_method"], ["total_revenue", "transaction_count"]),
-        ("top_products", top, ["product_id", "product_name", "category"], ["total_revenue", "units_sold", "revenue_rank"]),
-    ]:
-        out[name] = _finish(df.withColumn("total_revenue", M.out("_rev")), name, keys, measures)
-    return out
-
-
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    """The four KPIs of a Silver read (ids unique by construction)."""
-    return gold_from_base(kpi_base(silver))
+    sold = sales(silver)
+    return {name: kpi(sold) for name, kpi in KPIS.items()}

@@ -7,18 +7,21 @@ partitioned tables, so reports get partition pruning.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cleaning, kpis
+from ..operators import cleaning, governance, kpis
+from ..operators.ledger import Ledger
 from ..schemas import BRONZE_WITH_CORRUPT, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
 from ..session import apply_lake_conf, delete_path, path_exists, path_tag, scratch_path, touch
-from ..sinks.writers import overwrite_partitions, replace_partitions, write_partitioned
-from ..sources.zones import read_gold, read_silver
+from ..sinks.id_index import IdIndex
+from ..sinks.versions import Day, VersionedTables
+from ..sinks.writers import partition_path, replace_partitions, write_partitioned
+from ..sources import evolution
+from ..sources.zones import partition_days, read_silver
 
 
 @dataclass
@@ -35,27 +38,86 @@ class Lake:
         return f"{self.root}/gold"
 
     def silver(self, *periods: tuple[str, ...]) -> DataFrame:
-        """Silver, or only the given (year[, month[, day]]) periods' folders."""
-        return read_silver(self.spark, self.silver_path, list(periods) or None)
+        """Silver, or only the given (year[, month[, day]]) periods' folders; registered columns after the 14."""
+        columns = self.columns()
+        rows = read_silver(self.spark, self.silver_path, list(periods) or None, evolution.silver_schema(columns))
+        return evolution.typed_columns(rows, columns)
+
+    def columns(self) -> dict[str, str]:
+        """The registered columns beside the 14, and their types."""
+        return evolution.registered(self.spark, self.root)
+
+    def learn(self, discovered: DataFrame) -> dict[str, str]:
+        """Register the columns of a schema discovery; they are ingested and read from now on."""
+        return evolution.learn(self.spark, self.root, discovered)
+
+    @property
+    def gold_tables(self) -> VersionedTables:
+        return VersionedTables(self.spark, self.gold_root, GOLD)
+
+    @property
+    def ids(self) -> IdIndex:
+        return IdIndex(self.spark, f"{self.root}/ops/id_index")
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, f"{self.root}/ops")
 
     def gold(self, name: str, *periods: tuple[str, ...]) -> DataFrame:
-        return read_gold(self.spark, self.gold_root, name, list(periods) or None)
+        """A Gold table as published last, or only the given periods' folders."""
+        return self.gold_tables.read(name, list(periods) or None)
+
+    def silver_days(self, days: list[Day], as_stored: bool = False) -> DataFrame:
+        """Silver of a list of days: only their folders are listed and read. ``as_stored``: registered columns as text."""
+        there = [d for d in days if path_exists(self.spark, partition_path(self.silver_path, dict(zip(PARTITION_COLS, d))))]
+        stored = evolution.silver_schema(self.columns())
+        if not there:
+            return self.spark.createDataFrame([], stored)
+        return read_silver(self.spark, self.silver_path, there, stored) if as_stored else self.silver(*there)
 
     # --- jobs -----------------------------------------------------------------
 
-    def build_silver(self, typed: DataFrame, mode: str = "overwrite") -> None:
-        """Typed transactions -> Silver (one pass: rules, dedup, partitions)."""
-        silver = cleaning.to_silver(typed.select(*TX_FIELDS))
+    def build_silver(self, typed: DataFrame, mode: str = "overwrite") -> dict[str, int]:
+        """Typed transactions -> Silver (one pass: rules, dedup, partitions); the stage counters observed in that pass."""
+        more = [f"`{c}`" for c in self.columns() if c in typed.columns]
+        silver, counters = cleaning.observed_silver(typed.select(*TX_FIELDS, *more))
+        self.ids.drop()  # it is built anew when the next batch needs it
         if mode == "overwrite" and path_exists(self.spark, self.silver_path):
             # a full rebuild also clears the days that no longer have rows
-            replace_partitions(self.spark, silver, self.silver_path, self._days(self.silver()), schema=SILVER)
+            replace_partitions(self.spark, silver, self.silver_path, self._days(self.silver_path),
+                               schema=evolution.silver_schema(self.columns()))
         else:
             write_partitioned(silver, self.silver_path, mode=mode)
+        return counters()
 
-    def _days(self, zone: DataFrame) -> DataFrame:
-        """The days of a written zone, listed now: calendar-sized."""
-        days = [tuple(r) for r in zone.select(*PARTITION_COLS).distinct().collect()]
-        return self.spark.createDataFrame(days, ", ".join(f"{c} string" for c in PARTITION_COLS))
+    def days(self) -> DataFrame:
+        """year, month, day of every Silver folder."""
+        return self._days(self.silver_path)
+
+    def expire(self, as_of: str, keep_days: int = governance.KEEP_DAYS) -> list[Day]:
+        """Delete the days older than ``keep_days`` before ``as_of``, Gold first (P15); the days that went.
+
+        The days come from folder names, and whole folders are deleted: no data
+        file is opened. Gold is published without them, so a reader of Gold sees
+        all tables with or all without. Entries of the id index that point at
+        deleted days cost nothing.
+        """
+        old = [tuple(r[c] for c in PARTITION_COLS) for r in governance.retention_expired(self.days(), as_of, keep_days).collect()]
+        if not old:
+            return []
+        if self.gold_tables.current():
+            self.gold_tables.publish({name: self.spark.createDataFrame([], schema) for name, schema in GOLD.items()}, old)
+        for day in old:
+            delete_path(self.spark, partition_path(self.silver_path, dict(zip(PARTITION_COLS, day))))
+        return sorted(old)
+
+    def _days(self, path: str) -> DataFrame:
+        """The days of a written zone, from its folders: calendar-sized."""
+        return self.spark.createDataFrame(partition_days(self.spark, path), ", ".join(f"{c} string" for c in PARTITION_COLS))
+
+    def partitions(self) -> DataFrame:
+        """The partitions of Silver as folder names, from a listing: no data file is opened."""
+        return self._days(self.silver_path).select(_partition_name().alias("partition")).orderBy("partition")
 
     def write_errors(self, bronze: DataFrame, batch: str) -> None:
         """Dead-letter sink: the rejected rows of one load under errors/<batch>/error_type=; a repeated load replaces its own."""
@@ -66,34 +128,15 @@ class Lake:
         schema = T.StructType([*BRONZE_WITH_CORRUPT.fields, T.StructField("error_type", T.StringType())])
         return self.spark.read.schema(schema).parquet(f"{self.root}/errors")
 
-    def build_gold(self, days: DataFrame | None = None) -> None:
-        """Silver -> the four Gold tables, replacing only the days present.
+    def build_gold(self, days: list[Day] | None = None) -> None:
+        """Silver -> the four Gold tables, published together.
 
-        ``days`` (year, month, day rows) limits the rebuild to touched days
-        (late data); by default every Silver day is rebuilt and days that
-        Silver no longer has are cleared.
+        ``days`` limits the rebuild to touched days (late data), which are read
+        from their folders alone; by default every Silver day is rebuilt. Days
+        that Silver no longer has leave Gold.
         """
-        silver = self.silver()
-        if days is not None:
-            silver = silver.join(F.broadcast(days.select(*PARTITION_COLS).distinct()), PARTITION_COLS, "left_semi")
-        # One Silver scan: the shared pre-aggregate is written once (a cut in
-        # the lineage that survives executor loss), then rolled up four ways.
-        base_path = scratch_path(self.spark, "staging", unique=True)
-        kpis.kpi_base(silver).write.mode("overwrite").parquet(base_path)
-        tables = kpis.gold_from_base(self.spark.read.parquet(base_path))
-
-        def write(name: str) -> None:
-            table, path = tables[name].select(*[f.name for f in GOLD[name].fields]), f"{self.gold_root}/{name}"
-            if days is None and path_exists(self.spark, path):
-                replace_partitions(self.spark, table, path, self._days(self.gold(name)), schema=GOLD[name], staged=True)
-            else:
-                overwrite_partitions(table, path)
-
-        # The four roll-ups are independent: submit them together so their
-        # stages share the executors instead of running one after another.
-        with ThreadPoolExecutor(max_workers=len(tables)) as pool:
-            list(pool.map(write, tables))
-        delete_path(self.spark, base_path)
+        silver = self.silver() if days is None else self.silver_days(days)
+        self.gold_tables.publish(kpis.gold_tables(silver), days)
 
     def register(self, prefix: str = "") -> None:
         """Temp views silver_transactions, gold_<name>."""
@@ -102,15 +145,8 @@ class Lake:
             self.gold(name).createOrReplaceTempView(f"{prefix}gold_{name}")
 
 
-def list_partitions(df: DataFrame) -> DataFrame:
-    """SHOW PARTITIONS for a partitioned zone read.
-
-    Only the partition columns are selected, so the scan reads no data pages
-    (Parquet metadata plus folder names).
-    """
-    return (df.select(*PARTITION_COLS).distinct()
-              .select(F.concat(F.lit("year="), "year", F.lit("/month="), "month", F.lit("/day="), "day").alias("partition"))
-              .orderBy("partition"))
+def _partition_name() -> Column:
+    return F.concat(F.lit("year="), "year", F.lit("/month="), "month", F.lit("/day="), "day")
 
 
 _LAKES: dict[tuple[str, str, str], Lake] = {}

@@ -29,6 +29,9 @@ LAKE_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
 }
 
+# Zones would be written or read wrongly without these.
+NEEDED = ("spark.sql.sources.partitionOverwriteMode", "spark.sql.sources.partitionColumnTypeInference.enabled")
+
 
 def build_session(master: str = "local[8]", app: str = "shoplake", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
@@ -74,23 +77,27 @@ def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int,
 
 
 def apply_lake_conf(spark: SparkSession) -> None:
-    """Set the lake's SQL settings on an existing session (idempotent)."""
+    """The lake's SQL settings on an existing session: those its results need, and others that the session leaves open."""
+    held = spark._jsparkSession.sessionState().conf()
     for k, v in LAKE_CONF.items():
-        spark.conf.set(k, v)
+        if k in NEEDED or not held.contains(k):
+            spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be a shared file system; it is read from the
-    session. Only when it is unset (local tests) a private temp folder is
-    created and registered as the checkpoint dir.
+    session. Only in local mode, where driver and executors are one process,
+    a temp folder takes its place when it is unset.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="shoplake-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -135,7 +142,58 @@ def touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(conf).create(p, True).close()
 
 
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """A small file that appears whole or not at all; without ``replace`` it may not exist yet."""
+    fs, p = _file(spark, path)
+    part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if replace and fs.exists(p):
+        fs.delete(p, False)
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None where there is none."""
+    fs, p = _file(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, from the file system's own summary."""
+    fs, p = _file(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, from one listing of the file system; no file is opened."""
+    fs, p = _file(spark, pattern)
+    found = fs.globStatus(p)
+    if found is None:
+        return []
+    jvm, n = spark.sparkContext._jvm, len(found)
+    every = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, n)
+    jvm.java.lang.System.arraycopy(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found), 0, every, 0, n)
+    text = jvm.java.util.Arrays.toString(every)[1:-1]  # one call for all of them
+    return text.split(", ") if text else []
+
+
 __all__ = [
     "LAKE_CONF", "build_session", "cluster_settings", "apply_lake_conf", "checkpoint_root", "scratch_path",
-    "path_exists", "delete_path", "touch", "path_tag",
+    "path_exists", "delete_path", "touch", "path_tag", "write_text", "read_text", "glob_paths",
+    "folder_bytes",
 ]
