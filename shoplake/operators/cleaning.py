@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import money as M
 from ..functions.timeparse import date_partitions, parse_event_time, utc_wall
 from ..schemas import CORRUPT_COL, PARTITION_COLS, SILVER_TYPES, TX_FIELDS
 
+# --- fixed values -----------------------------------------------------------
 # Columns whose absence makes a row unusable in Silver.
 CRITICAL = ["transaction_id", "timestamp", "store_id", "product_id", "total_amount"]
+# Columns of the preview.
+PREVIEW_COLS = ["transaction_id", "timestamp", "store_id", "category", "total_amount", "year", "month", "day"]
+# ----------------------------------------------------------------------------
 
 # Keep-latest order: newest event time first, then these columns descending,
 # then the rest of the row, so the winner is the same on every run.
@@ -38,7 +44,7 @@ def type_transactions(df: DataFrame) -> DataFrame:
             typed.append(F.when(number == F.floor(number), number.try_cast(SILVER_TYPES[f])).alias(f))
         else:
             typed.append(F.col(f).try_cast(SILVER_TYPES[f]).alias(f))
-    extra = [c for c in df.columns if c not in TX_FIELDS and c != CORRUPT_COL]
+    extra = [F.col(f"`{c}`") for c in df.columns if c not in TX_FIELDS and c != CORRUPT_COL]
     return df.select(*typed, *extra)
 
 
@@ -86,9 +92,9 @@ def dedup_latest(df: DataFrame, key: str = "transaction_id", order: list[str] =
     """
     order = [c for c in order if c in df.columns]
     rest = [c for c in df.columns if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest]).alias("_w")
+    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest]).alias("_w")
     win = df.groupBy(key).agg(F.max(packed).alias("_w"))
-    return win.select(key, *[F.col(f"_w.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    return win.select(key, *[F.col(f"_w.`{c}`").alias(c) for c in order + rest]).select(*[f"`{c}`" for c in df.columns])
 
 
 def to_silver(typed: DataFrame) -> DataFrame:
@@ -97,6 +103,23 @@ def to_silver(typed: DataFrame) -> DataFrame:
     return add_date_partitions(dedup_latest(clean))
 
 
+def observed_silver(typed: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``to_silver``, and a function that gives the stage counters once its first action has run.
+
+    The counters ride on the job that writes Silver: nothing is read twice.
+    """
+    read, kept = Observation(), Observation()
+    watched = typed.observe(read, F.count(F.lit(1)).alias("raw_rows"), F.count_if(clean_rule(typed)).alias("clean_rows"))
+    silver = to_silver(watched).observe(kept, F.count(F.lit(1)).alias("silver_rows"))
+
+    def counters() -> dict[str, int]:
+        raw, clean, rows = read.get["raw_rows"], read.get["clean_rows"], kept.get["silver_rows"]
+        return {"raw_rows": raw, "clean_rows": clean, "dropped_quality": raw - clean,
+                "silver_rows": rows, "dropped_duplicates": clean - rows}
+
+    return silver, counters
+
+
 def bronze_to_silver(bronze: DataFrame) -> DataFrame:
     """Raw text rows -> Silver. Typing first, so rules see real values."""
     return to_silver(type_transactions(bronze).select(*TX_FIELDS))
@@ -120,9 +143,6 @@ def cleaning_report(typed: DataFrame) -> DataFrame:
     )
 
 
-PREVIEW_COLS = ["transaction_id", "timestamp", "store_id", "category", "total_amount", "year", "month", "day"]
-
-
 def silver_preview(silver: DataFrame, n: int = 5) -> DataFrame:
     """First n Silver rows by id, 8 columns (P10). A global top-n: each task
     keeps n rows, the driver merges n x tasks."""

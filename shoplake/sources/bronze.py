@@ -41,12 +41,12 @@ def discover_schema(spark: SparkSession, path: str, modified_after: str | None =
     inferred = reader.json(path)
     cols = [f for f in inferred.schema.fields if f.name not in PARTITION_COLS and f.name != "_corrupt_record"]
     day = F.concat_ws("-", *[F.col(c).cast("string") for c in PARTITION_COLS])
-    present = inferred.select(day.alias("_part"), *[F.col(f.name).isNotNull().alias(f.name) for f in cols])
-    daily = present.groupBy("_part").agg(*[F.bool_or(F.col(f.name)).alias(f.name) for f in cols])
-    counts = daily.agg(*[F.count_if(F.col(f.name)).alias(f.name) for f in cols])
+    present = inferred.select(day.alias("_part"), *[F.col(f"`{f.name}`").isNotNull().alias(f.name) for f in cols])
+    daily = present.groupBy("_part").agg(*[F.bool_or(F.col(f"`{f.name}`")).alias(f.name) for f in cols])
+    counts = daily.agg(*[F.count_if(F.col(f"`{f.name}`")).alias(f.name) for f in cols])
     types = {f.name: f.dataType.simpleString() for f in cols}
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-                                         F.col(c).alias("partitions")) for c in types]))
+                                         F.col(f"`{c}`").alias("partitions")) for c in types]))
     return counts.select(stack.alias("s")).select("s.*")
 
 

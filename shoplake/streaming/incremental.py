@@ -16,99 +16,104 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, kpis, quality
+from ..functions.timeparse import utc_wall
+from ..operators import cleaning, ledger, quality
 from ..plans.lake import Lake
-from ..schemas import BRONZE_WITH_CORRUPT, CORRUPT_COL, GOLD, PARTITION_COLS, SILVER, TX_FIELDS
+from ..schemas import CORRUPT_COL, PARTITION_COLS, SILVER, TX_FIELDS
 from ..session import delete_path, path_exists, path_tag, scratch_path
-from ..sources.zones import read_silver
+from ..sinks.versions import Day
 from ..sinks.writers import replace_partitions, write_partitioned
+from ..sources import evolution
+from ..sources.zones import partition_days, read_silver
 
 ARRIVED = "_arrived"  # the landing file's modification time
 
 
-def _days_frame(spark: SparkSession, days: list[dict[str, str]]) -> DataFrame:
-    return spark.createDataFrame([tuple(d[c] for c in PARTITION_COLS) for d in days],
-                                 ", ".join(f"{c} string" for c in PARTITION_COLS))
+def _days_frame(spark: SparkSession, days: list[Day]) -> DataFrame:
+    return spark.createDataFrame(days, ", ".join(f"{c} string" for c in PARTITION_COLS))
 
 
-def _in_days(df: DataFrame, days: list[dict[str, str]], how: str = "left_semi") -> DataFrame:
-    """The rows of (or, with ``left_anti``, outside) a list of days.
+def _in_days(df: DataFrame, days: list[Day]) -> DataFrame:
+    """The rows of a list of days.
 
     A join on the partition columns: the plan stays small for any number of
     days, and dynamic partition pruning keeps the scan to their folders.
     """
-    return df.join(_days_frame(df.sparkSession, days), PARTITION_COLS, how).select(*df.columns)
+    return df.join(_days_frame(df.sparkSession, days), PARTITION_COLS, "left_semi").select(*[f"`{c}`" for c in df.columns])
 
 
-def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[dict]:
-    """Merge typed rows into Silver; returns the partitions that changed.
+def upsert_silver(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[Day]:
+    """Merge typed rows into Silver; returns the days that changed.
 
     Only days that hold an earlier version of one of the batch's ids are
     rewritten (R). Every other winning row is appended to its day: in the
     usual case (fresh ids) a micro-batch is a pure append and never rewrites
-    existing data. Finding earlier versions is a semi-join that reads only
-    ``transaction_id`` and the partition columns of Silver, of every day.
-
-    Failure safety: both outputs are staged first; the rewrite of R happens
-    before the append. A batch retried after a partial run finds its own
-    appended rows as earlier versions and rewrites them to the same result.
-    With ``journal`` (a folder of this batch) the days are noted before Silver
-    changes, and a retry returns those of every attempt: a day that an id left
-    in the first attempt no longer shows in the second one.
+    existing data. Earlier versions are found in the id index, which is joined
+    without a shuffle of its own; of Silver only the days in R are read.
+
+    Failure safety: the batch's ids enter the index before Silver changes; both
+    outputs are staged first; the rewrite of R happens before the append. A
+    batch retried after a partial run finds its own appended rows as earlier
+    versions and rewrites them to the same result. With ``journal`` (a folder
+    of this batch) the days are noted before Silver changes, and a retry
+    returns those of every attempt: a day that an id left in the first attempt
+    no longer shows in the second one.
     """
+    more = [c for c in lake.columns() if c in typed.columns]
     batch = cleaning.add_date_partitions(cleaning.dedup_latest(
-        cleaning.valid_amounts(cleaning.drop_critical_nulls(typed.select(*TX_FIELDS)))))
+        cleaning.valid_amounts(cleaning.drop_critical_nulls(typed.select(*TX_FIELDS, *[f"`{c}`" for c in more])))))
     batch = batch.persist()
     try:
-        existing = lake.silver() if path_exists(spark, lake.silver_path) else None
-        rewrite: list[dict] = []
-        if existing is not None:
-            ids = existing.select("transaction_id", *PARTITION_COLS)
-            earlier = ids.join(batch.select("transaction_id"), "transaction_id", "left_semi")
-            # Days holding earlier versions: metadata-sized (days, not rows).
-            rewrite = [r.asDict() for r in earlier.select(*PARTITION_COLS).distinct().collect()]
+        rewrite: list[Day] = []
+        if path_exists(spark, lake.silver_path):
+            if not lake.ids.exists():  # a lake that was built in one load
+                lake.ids.rebuild(lake.silver())
+            rewrite = _collected(lake.ids.days_of(batch))
+        elif not lake.ids.exists():
+            lake.ids.rebuild(batch.limit(0))
+        own_days = _collected(batch)
+        if journal and (rewrite or own_days):
+            _days_frame(spark, sorted({*rewrite, *own_days})).coalesce(1).write.mode("append").parquet(journal)
+        lake.ids.add(batch)
         staging = None
         if rewrite:
             # The winners read the days being replaced: stage them before any
             # file of Silver changes (never overwrite what the plan reads).
-            old = _in_days(existing, rewrite).select(*TX_FIELDS)
-            winners = cleaning.add_date_partitions(cleaning.dedup_latest(old.unionByName(batch.select(*TX_FIELDS))))
+            both = lake.silver_days(rewrite, as_stored=True).unionByName(batch, allowMissingColumns=True)
+            winners = cleaning.add_date_partitions(cleaning.dedup_latest(both.drop(*PARTITION_COLS)))
             staging = scratch_path(spark, "staging", unique=True)
             write_partitioned(winners, staging, mode="overwrite")
-            winners = read_silver(spark, staging)
+            winners = read_silver(spark, staging, schema=evolution.silver_schema(lake.columns()))
         else:
             winners = batch
-        fresh = _in_days(winners, rewrite, "left_anti")
-        fresh_days = [r.asDict() for r in fresh.select(*PARTITION_COLS).distinct().collect()]
+        fresh_days = [d for d in (partition_days(spark, staging) if staging else own_days) if d not in set(rewrite)]
         days = rewrite + fresh_days
-        if journal and days:
-            _days_frame(spark, days).coalesce(1).write.mode("append").parquet(journal)
         if rewrite:
-            affected = _days_frame(spark, rewrite)
-            replace_partitions(spark, _in_days(winners, rewrite), lake.silver_path, affected, schema=SILVER, staged=True)
+            replace_partitions(spark, _in_days(winners, rewrite), lake.silver_path, _days_frame(spark, rewrite),
+                               schema=SILVER, staged=True)
         if fresh_days:
-            write_partitioned(fresh, lake.silver_path, mode="append")
+            write_partitioned(_in_days(winners, fresh_days) if rewrite else winners, lake.silver_path, mode="append")
         if staging:
             delete_path(spark, staging)
         if journal and days:
-            days = [r.asDict() for r in spark.read.schema(_days_frame(spark, []).schema).parquet(journal).distinct().collect()]
+            days = _collected(spark.read.schema(_days_frame(spark, []).schema).parquet(journal))
         return days
     finally:
         batch.unpersist()
 
 
-def rebuild_gold(spark: SparkSession, lake: Lake, days: list[dict]) -> None:
-    """Recompute the Gold days in ``days`` from Silver (late data, T7)."""
-    if not days:
-        return
-    silver = _in_days(lake.silver(), days)
-    affected = _days_frame(spark, days)
-    for name, table in kpis.gold_tables(silver).items():
-        cols = [f.name for f in GOLD[name].fields]
-        replace_partitions(spark, table.select(*cols), f"{lake.gold_root}/{name}", affected, schema=GOLD[name])
+def _collected(rows: DataFrame) -> list[Day]:
+    """The days of some rows: calendar-sized."""
+    return sorted(tuple(r) for r in rows.select(*PARTITION_COLS).distinct().collect())
+
 
+def rebuild_gold(spark: SparkSession, lake: Lake, days: list[Day]) -> None:
+    """Recompute the Gold days in ``days`` from Silver and publish them together (late data, T7)."""
+    if days:
+        lake.build_gold(days)
 
-def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[dict]:
+
+def apply_batch(spark: SparkSession, lake: Lake, typed: DataFrame, journal: str | None = None) -> list[Day]:
     days = upsert_silver(spark, lake, typed, journal)
     rebuild_gold(spark, lake, days)
     return days
@@ -133,51 +138,61 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
     Silver stays as it is. With ``modified_after`` the rows of older files
     that no run has taken yet pass a gate of their own (``batch=N_older``):
     either part is ingested or quarantined on its own verdict.
-    All are written per batch, so a retried batch replaces its own. Returns
-    the verdict row of every gated part, with ``older``.
+    All are written per batch, so a retried batch replaces its own; the ledger
+    has a run for every gated part. Returns the parts' verdict rows, with their
+    first errors and ``older``.
     """
-    reader = (spark.readStream.schema(BRONZE_WITH_CORRUPT).option("multiLine", "false").option("mode", "PERMISSIVE")
+    reader = (spark.readStream.schema(evolution.bronze_schema(lake.columns())).option("multiLine", "false").option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(bronze_path)
-    stream = stream.select(*[c for c in stream.columns if c not in PARTITION_COLS],
+    stream = stream.select(*[f"`{c}`" for c in stream.columns if c not in PARTITION_COLS],
                            F.col("_metadata.file_modification_time").alias(ARRIVED))
     source = f"source={path_tag(checkpoint)}"
     verdicts: list[Row] = []
 
-    def gated(part: DataFrame, name: str, older: bool) -> bool:
-        validated = quality.validate(part)
-        scored = quality.score(validated)
-        totals = spark.createDataFrame([scored.first()], scored.schema)  # one row
-        verdict = quality.gate(totals, threshold)
-        quality.metrics(totals).write.mode("overwrite").parquet(f"{lake.root}/ops/metrics/{name}")
-        quality.alerts(verdict).write.mode("overwrite").parquet(f"{lake.root}/ops/alerts/{name}")
-        row = verdict.withColumn("older", F.lit(older)).first()
+    def gated(part: DataFrame, name: str, run_id: str, older: bool) -> bool:
+        # when the newest file arrived: the same at every attempt
+        latest = part.agg(F.max(ARRIVED).cast("string")).first()[0]
+        at = F.coalesce(F.lit(latest).cast("timestamp"), F.current_timestamp())
+        run = {"run_id": F.lit(run_id), "checked_at": utc_wall(at)}
+        runs = spark.range(1).select(*[c.alias(k) for k, c in run.items()])
+        scored = ledger.scores(quality.validate(part.drop(ARRIVED)).withColumns(run), runs if latest is None else None)
+        totals = spark.createDataFrame([scored.first()], scored.schema)  # one row and its first errors
+        lake.ledger.record(totals, threshold)
+        row = quality.gate(totals, threshold, "errors").withColumn("older", F.lit(older)).first()
         verdicts.append(row)
         if row.status == quality.STATUS_OK:
             return True
         if row.records:
-            quality.first_errors(validated).write.mode("overwrite").parquet(f"{lake.root}/ops/first_errors/{name}")
-            part.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
+            part.drop(ARRIVED).write.mode("overwrite").parquet(f"{lake.root}/quarantine/{name}/reason=quality")
         return False
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
+    def each(rows: DataFrame, epoch_id: int) -> None:
+        batch = rows.persist()  # its lines are parsed once
+        try:
+            take(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def take(batch: DataFrame, epoch_id: int) -> None:
         name = f"{source}/batch={epoch_id}"
         notes = f"{lake.root}/ops/batches/{name}"
         if threshold is not None:
-            parts = [(False, name, F.lit(True))]
+            run_id = f"{path_tag(checkpoint)}-{epoch_id}"
+            parts = [(False, name, run_id, F.lit(True))]
             if modified_after:
                 cut = F.lit(_cutoff(spark, f"{notes}/cut", modified_after) + "Z").cast("timestamp")
-                parts = [(False, name, F.col(ARRIVED) > cut)]
+                parts = [(False, name, run_id, F.col(ARRIVED) > cut)]
                 if not batch.filter(F.col(ARRIVED) <= cut).isEmpty():
-                    parts.append((True, f"{name}_older", F.col(ARRIVED) <= cut))
-            passed = [rows for older, part, rows in parts if gated(batch.filter(rows).drop(ARRIVED), part, older)]
+                    parts.append((True, f"{name}_older", f"{run_id}-older", F.col(ARRIVED) <= cut))
+            passed = [rows for older, part, run, rows in parts if gated(batch.filter(rows), part, run, older)]
             if not passed:
                 return
             batch = batch.filter(reduce(Column.__or__, passed))
         batch = batch.drop(ARRIVED)
-        lake.write_errors(batch, name)
+        lake.write_errors(batch.drop(*[c for c in lake.columns() if c in batch.columns]), name)
         typed = cleaning.type_transactions(batch.filter(F.col(CORRUPT_COL).isNull()))
         if with_gold:
             apply_batch(spark, lake, typed, f"{notes}/days")
