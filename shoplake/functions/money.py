@@ -45,11 +45,6 @@ def exact_mean2(total: Column, n: Column) -> Column:
     return out(F.round(total / n, 2))
 
 
-def money_mean(c: Column | str) -> Column:
-    """round(avg(money), 2) computed exactly (an aggregate expression)."""
-    return exact_mean2(F.sum(money(c)), F.count(_c(c)))
-
-
 def discounted(price: Column | str, discount: Column | str) -> Column:
     """price x (1 - discount) in DECIMAL, cents kept (scale 4)."""
     return money(price) * (F.lit(1).cast(RATE) - _c(discount).cast(RATE))

@@ -50,7 +50,7 @@ REPORTS = {
 def _days(spec: str | None):
     if not spec:
         return None
-    return [dict(zip(("year", "month", "day"), d.split("-"))) for d in spec.split(",")]
+    return [tuple(d.split("-")) for d in spec.split(",")]
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -28,6 +28,10 @@ ABSENT_TEXT = "None"
 METRIC_SCORE, METRIC_RECORDS = "QualityScore", "SampledRecords"
 UNIT_SCORE, UNIT_RECORDS = "None", "Count"
 METRIC_ZONE = "Bronze"
+ALERT_SUBJECTS = {
+    STATUS_NO_DATA: "WARNING: no new Bronze data",
+    STATUS_FAIL: "ALERT: Bronze quality below threshold, ETL stopped",
+}
 # ----------------------------------------------------------------------------
 
 
@@ -94,41 +98,47 @@ def error_counts(validated: DataFrame) -> DataFrame:
     return e.groupBy(rule.alias("rule")).agg(F.count(F.lit(1)).alias("records"))
 
 
-def gate(scored: DataFrame, threshold: float = QUALITY_THRESHOLD) -> DataFrame:
-    """Verdict row: NO_DATA / QUALITY_FAIL (score strictly below) / OK (Q8)."""
-    status = (F.when(F.col("records") == 0, F.lit(STATUS_NO_DATA))
-              .when(F.col("quality_score") < F.lit(threshold), F.lit(STATUS_FAIL))
-              .otherwise(F.lit(STATUS_OK)))
+def status(threshold: float = QUALITY_THRESHOLD) -> Column:
+    """Status of a row with ``records`` and ``quality_score``."""
+    return (F.when(F.col("records") == 0, F.lit(STATUS_NO_DATA))
+            .when(F.col("quality_score") < F.lit(threshold), F.lit(STATUS_FAIL))
+            .otherwise(F.lit(STATUS_OK)))
+
+
+def gate(scored: DataFrame, threshold: float = QUALITY_THRESHOLD, *more: str) -> DataFrame:
+    """Verdict row: NO_DATA / QUALITY_FAIL (score strictly below) / OK (Q8), with ``more`` columns of the score."""
     return scored.select(
-        status.alias("status"), "quality_score", "records",
+        status(threshold).alias("status"), "quality_score", "records",
         (F.col("records") - F.col("valid_records")).alias("invalid_records"),
-        F.lit(threshold).alias("threshold"),
+        F.lit(threshold).alias("threshold"), *more,
     )
 
 
-def metrics(scored: DataFrame, zone: str = METRIC_ZONE) -> DataFrame:
-    """Two metric points per check: QualityScore and SampledRecords (K6)."""
-    pts = F.array(
+def points() -> Column:
+    """The metric points of a row with ``records`` and ``quality_score``."""
+    return F.array(
         F.struct(F.lit(METRIC_SCORE).alias("metric_name"), F.col("quality_score").alias("metric_value"),
                  F.lit(UNIT_SCORE).alias("unit")),
         F.struct(F.lit(METRIC_RECORDS).alias("metric_name"), F.col("records").cast("double").alias("metric_value"),
                  F.lit(UNIT_RECORDS).alias("unit")),
     )
-    return scored.select(F.explode(pts).alias("m")).select("m.*", F.lit(zone).alias("zone"))
 
 
-ALERT_SUBJECTS = {
-    STATUS_NO_DATA: "WARNING: no new Bronze data",
-    STATUS_FAIL: "ALERT: Bronze quality below threshold, ETL stopped",
-}
+def metrics(scored: DataFrame, zone: str = METRIC_ZONE) -> DataFrame:
+    """Two metric points per check: QualityScore and SampledRecords (K6)."""
+    return scored.select(F.explode(points()).alias("m")).select("m.*", F.lit(zone).alias("zone"))
+
+
+def subject() -> Column:
+    """The alert's subject for a row with ``status``."""
+    return F.when(F.col("status") == STATUS_NO_DATA, F.lit(ALERT_SUBJECTS[STATUS_NO_DATA])).when(
+        F.col("status") == STATUS_FAIL, F.lit(ALERT_SUBJECTS[STATUS_FAIL]))
 
 
 def alerts(verdict: DataFrame) -> DataFrame:
     """Alert rows for NO_DATA and QUALITY_FAIL verdicts (K7); OK gives none."""
-    subject = F.when(F.col("status") == STATUS_NO_DATA, F.lit(ALERT_SUBJECTS[STATUS_NO_DATA])).when(
-        F.col("status") == STATUS_FAIL, F.lit(ALERT_SUBJECTS[STATUS_FAIL]))
     return (verdict.filter(F.col("status") != STATUS_OK)
-            .select("status", subject.alias("subject"), "quality_score", "records", "invalid_records", "threshold"))
+            .select("status", subject().alias("subject"), "quality_score", "records", "invalid_records", "threshold"))
 
 
 def sample(bronze_with_file: DataFrame, candidates: DataFrame, files: int = 5, per_file: int = 20,

@@ -107,9 +107,6 @@ def best_region_per_day(gold_region: DataFrame, year: str, month: str) -> DataFr
             .select("day", "region", "total_revenue").orderBy("day"))
 
 
-MAX_DAYS_IN_MONTH = 31
-
-
 def region_vs_average(gold_region: DataFrame, year: str, month: str) -> DataFrame:
     """Each region's daily revenue against the cross-region mean of that day.
 

@@ -40,7 +40,9 @@ def bronze_lake(spark: SparkSession, sf_dir: str) -> Lake:
     root = scratch_path(spark, "lake", "bronze-" + _tag(sf_dir))
     lake = Lake(spark, root)
     if not path_exists(spark, f"{root}/_BUILT"):
-        lake.build_silver(cleaning.type_transactions(read_bronze(spark, src)))
+        bronze = read_bronze(spark, src)
+        lake.write_errors(bronze, "source=full/batch=0")
+        lake.build_silver(cleaning.type_transactions(bronze))
         lake.build_gold()
         touch(spark, f"{root}/_BUILT")
     return lake

@@ -10,8 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import quality, reports
+from ..operators import ledger, quality, reports
 from ..schemas import BRONZE
 from ..session import path_tag
 from ..sinks.writers import write_results
@@ -43,6 +44,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     checkpoint = f"{lake.root}/_checkpoints/silver"
     verdicts = []
     if not new_files(spark, landing, modified_after).isEmpty():
+        lake.learn(discover_schema(spark, landing, modified_after))  # a column that turns up is one of Silver from now on
         verdicts = incremental.run_incremental(spark, landing, lake, checkpoint, threshold=threshold,
                                                modified_after=modified_after)
     older = [(v.status, v.quality_score, v.records) for v in verdicts if v.older]
@@ -50,9 +52,11 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     verdicts = newer if any(v.records for v in newer) else [v for v in verdicts if v.older]
     records = sum(v.records for v in verdicts)
     if not records:
-        nothing = quality.gate(quality.score(quality.validate(spark.createDataFrame([], BRONZE))), threshold)
-        (quality.alerts(nothing).write.mode("overwrite")
-         .parquet(f"{lake.root}/ops/alerts/source={path_tag(checkpoint)}/batch=none_{run_id}"))
+        run = spark.range(1).select(F.lit(f"{path_tag(checkpoint)}-none-{run_id}").alias("run_id"),
+                                    F.lit(modified_after).cast("timestamp_ntz").alias("checked_at"))
+        none = quality.validate(spark.createDataFrame([], BRONZE)).withColumns(
+            {"run_id": F.lit(""), "checked_at": F.lit(None).cast("timestamp_ntz")})
+        lake.ledger.record(ledger.scores(none, run), threshold)
         return RunResult(quality.STATUS_NO_DATA, 0.0, 0)
     score = 1 - sum(v.invalid_records for v in verdicts) / records
     # a batch left over from a run that broke off has its own verdict
@@ -71,11 +75,4 @@ def run_pipeline(spark: SparkSession, landing: str, lake: Lake, modified_after:
     return RunResult(quality.STATUS_OK, score, records, schema, out, older)
 
 
-def serve(spark: SparkSession, lake: Lake) -> None:
-    """In-memory serving copy of Gold (C4): cached temp views for dashboards."""
-    lake.register()
-    for name in ("revenue_by_product", "revenue_by_region", "payment_method_split", "top_products"):
-        spark.catalog.cacheTable(f"gold_{name}")
-
-
-__all__ = ["run_pipeline", "serve", "RunResult"]
+__all__ = ["run_pipeline", "RunResult"]

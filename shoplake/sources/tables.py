@@ -20,35 +20,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-# --- fixed values -----------------------------------------------------------
-# Store -> region lookup used for the events fixture. Stores without an entry
-# fall back to DEFAULT_REGION (the lookup-with-default rule).
-STORE_REGIONS = [
-    ("store-0", "North"),
-    ("store-1", "North"),
-    ("store-2", "South"),
-    ("store-3", "East"),
-    ("store-4", "West"),
-]
+# --- fixed value ------------------------------------------------------------
+# The region of stores that the lookup lacks.
 DEFAULT_REGION = "Central"
 # ----------------------------------------------------------------------------
 
 
-def store_regions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(STORE_REGIONS, "store_id string, region string")
+def store_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """store_id -> region: the suppliers' stores and the regions of their nations."""
+    return _supplier_regions(spark, sf_dir).select(
+        F.concat(F.lit("store-"), F.col("s_suppkey").cast("string")).alias("store_id"), F.col("r_name").alias("region"))
 
 
 def with_region(df: DataFrame, lookup: DataFrame, default: str = DEFAULT_REGION) -> DataFrame:
     """Left lookup join store_id -> region with a default.
 
-    The lookup is a dimension with one row per store; it is broadcast only
-    when the caller passes a bounded table (the fixed list above is). For a
-    store dimension of unknown size AQE decides at runtime.
+    The lookup has a row per store and grows with the stores: no hint, Spark
+    broadcasts it only where its size is known to be under the threshold.
     """
-    looked = df.join(F.broadcast(lookup.withColumnRenamed("region", "_region")), "store_id", "left")
+    looked = df.join(lookup.withColumnRenamed("region", "_region"), "store_id", "left")
     return looked.withColumn("region", F.coalesce(F.col("_region"), F.lit(default))).drop("_region")
 
 
+def _supplier_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    # nation and region are fixed-size dimensions (25 and 5 rows): broadcast.
+    geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+           .join(F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name")),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "r_name"))
+    return supp.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "r_name")
+
+
 def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem x orders x part x supplier x nation x region -> 14 fields."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -56,13 +59,7 @@ def tx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    # nation and region are fixed-size dimensions (25 and 5 rows): broadcast.
-    geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-           .join(F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name")),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
-           .select("n_nationkey", "r_name"))
-    supp_geo = supp.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "r_name")
+    supp_geo = _supplier_regions(spark, sf_dir)
 
     # orders and part grow with the data: no hint, AQE picks the strategy
     # from runtime sizes (sort-merge at scale, broadcast when small).
@@ -105,7 +102,7 @@ def events_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("cust-"), F.col("user_id").cast("string")).alias("customer_id"),
         (F.col("event_id") % 17 == 0).alias("is_return"),
     )
-    return with_region(base, store_regions(spark)).select(*TX_FIELDS)
+    return with_region(base, store_regions(spark, sf_dir)).select(*TX_FIELDS)
 
 
 def _txt(c: Column) -> Column:
@@ -115,11 +112,11 @@ def _txt(c: Column) -> Column:
 def bronze_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as landing text with deterministic defects (batch read)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return dirty_landing_rows(spark, ev)
+    return dirty_landing_rows(ev, store_regions(spark, sf_dir))
 
 
-def dirty_landing_rows(spark: SparkSession, ev: DataFrame) -> DataFrame:
-    """Render events (batch or streaming) as landing text with defects.
+def dirty_landing_rows(ev: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Render events (batch or streaming) as landing text with defects; ``lookup``: store_id, region.
 
     Columns: the 14 fields as text plus ``arrival`` (NTZ: when the record
     reached the landing zone; it decides the landing folder).
@@ -144,8 +141,7 @@ def dirty_landing_rows(spark: SparkSession, ev: DataFrame) -> DataFrame:
         time_text.alias("timestamp"),
         F.when(eid % 97 == 0, F.lit(None).cast("string"))                    # 2. null store
          .otherwise(F.concat(F.lit("store-"), _txt(F.col("user_id")))).alias("store_id"),
-        F.when(F.col("user_id") < 5, F.concat(F.lit("store-"), _txt(F.col("user_id"))))
-         .alias("_lookup_store"),
+        F.concat(F.lit("store-"), _txt(F.col("user_id"))).alias("_lookup_store"),
         F.concat(F.lit("P-"), F.col("event_type")).alias("product_id"),
         F.col("event_type").alias("product_name"),
         F.col("event_type").alias("category"),
@@ -157,12 +153,12 @@ def dirty_landing_rows(spark: SparkSession, ev: DataFrame) -> DataFrame:
         F.concat(F.lit("cust-"), _txt(F.col("user_id"))).alias("customer_id"),
         _txt(eid % 17 == 0).alias("is_return"),
         ts.alias("arrival"),
-    ).transform(lambda d: _bronze_region(spark, d))
+    ).transform(lambda d: _bronze_region(d, lookup))
 
 
-def _bronze_region(spark: SparkSession, d: DataFrame) -> DataFrame:
-    lk = store_regions(spark).withColumnRenamed("store_id", "_lookup_store").withColumnRenamed("region", "_r")
-    j = d.join(F.broadcast(lk), "_lookup_store", "left")
+def _bronze_region(d: DataFrame, lookup: DataFrame) -> DataFrame:
+    lk = lookup.withColumnRenamed("store_id", "_lookup_store").withColumnRenamed("region", "_r")
+    j = d.join(lk, "_lookup_store", "left")
     return j.select(*TX_FIELDS[:3], F.coalesce("_r", F.lit(DEFAULT_REGION)).alias("region"), *TX_FIELDS[4:], "arrival")
 
 

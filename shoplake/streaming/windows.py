@@ -1,15 +1,18 @@
 """Tumbling-window metrics over streams.
 
-Each metric is a ``groupBy(window(...))`` aggregation. The sink is a
-``foreachBatch`` that rewrites the result table: with ``complete`` output
-every batch carries the full result, so the table always equals the batch
-answer (append mode would hold back the still-open last window).
-With ``watermark`` set, state for closed windows is dropped and ``update``
-mode can be used instead: only changed windows are rewritten.
+Each metric is a ``groupBy(window(...))`` aggregation. With a watermark the
+state of closed windows is dropped, so state is as large as the windows that are
+still open, and ``update`` output carries only the windows that a batch changed:
+the sink merges them into the days of its table that they touch. The table then
+always holds every window (append mode would hold back the still-open last ones).
+Without a watermark ``complete`` output rewrites the whole table; it is for
+streams with a bounded number of windows only.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +70,8 @@ def quality_score(validated: DataFrame, ts: str = "arrival", width: str = "1 day
     return g.select("w", (F.col("_v").cast("double") / F.col("records")).alias("quality_score"), "records")
 
 
-def run_to_table(agg: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> None:
-    """Drive a windowed aggregate to completion, keeping the result at ``path``.
+def run_to_table(agg: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> list[dict]:
+    """Drive a windowed aggregate to completion, keeping the result at ``path``; the batches' progress reports.
 
     ``complete``: every batch carries the whole result and replaces the table.
     ``update`` (needs a watermark): a batch carries only the windows that
@@ -102,3 +105,9 @@ def run_to_table(agg: DataFrame, path: str, checkpoint: str, mode: str = "comple
     q = (agg.writeStream.outputMode(mode).foreachBatch(each)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return [json.loads(p.json) if hasattr(p, "json") else dict(p) for p in q.recentProgress]
+
+
+def state_rows(progress: list[dict]) -> list[tuple[int, int]]:
+    """(rows held, rows dropped) of the window state after each batch."""
+    return [(s["numRowsTotal"], s.get("numRowsRemoved", 0)) for p in progress for s in p["stateOperators"]]
