@@ -13,6 +13,7 @@ TX_YEAR, TX_MONTH, TX_PREV_MONTH = "1998", "05", "04"
 TX_CATEGORY, TX_SHARE_DAY = "ECONOMY", "16"
 EV_YEAR, EV_MONTH, EV_DAY = "2024", "01", "16"
 AS_OF = "2001-11-04"
+EV_AS_OF, EV_KEEP_DAYS = "2024-01-20", 10
 GRANTED_REGION = "ASIA"
 
 
@@ -53,7 +54,8 @@ tx_raw AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
-STORE_REGIONS = "(VALUES ('store-0','North'), ('store-1','North'), ('store-2','South'), ('store-3','East'), ('store-4','West')) AS sr(store_id, region)"
+STORE_REGIONS = """(SELECT 'store-' || CAST(s_suppkey AS VARCHAR) AS store_id, r_name AS region
+             FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey) AS sr"""
 
 EV_RAW = f"""
 ev_raw AS (
@@ -420,6 +422,29 @@ SELECT * FROM gl_product"""
     # the same rows, whether a batch was retried or the lake rebuilt
     q["late_data_retry"] = q["rebuild_moved_day"] = q["late_data_rebuild"]
     q["dead_letter_written"] = b["dead_letter"]
+    totals = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, CAST(SUM({dec('total_revenue')}) AS DOUBLE) AS revenue FROM gl_{cte}"
+        for name, cte in (("revenue_by_product", "product"), ("revenue_by_region", "region"),
+                          ("payment_method_split", "payment"), ("top_products", "top")))
+    q["gold_after_failure"] = f"""WITH {EV_RAW},
+first_rows AS (SELECT * FROM ev_raw WHERE strftime("timestamp", '%d') <> '01'),
+{silver_cte('ls', 'first_rows')},{gold_ctes('gl', 'ls')}
+{totals}"""
+    q["gold_after_retry"] = q["late_data_rebuild"].replace("SELECT * FROM gl_product", totals)
+    q["metrics_history"] = f"""WITH {BRONZE}
+SELECT strftime(arrival, '%Y-%m-%d') AS run_day, CAST(COUNT(*) FILTER (WHERE len(errors) = 0) AS DOUBLE) / COUNT(*) AS mean_value,
+       CAST(1 AS BIGINT) AS checks
+FROM validated GROUP BY 1"""
+    q["cleaning_counters"] = b["cleaning_report"]
+    n, d = "CAST(transaction_id AS BIGINT)", 'day("timestamp")'
+    q["silver_with_new_column"] = with_ev(f"""
+SELECT *, CASE WHEN {d} > 10 AND {n} % 3 = 0 THEN 'p' || CAST({n} % 7 AS VARCHAR) END AS promo,
+       CASE WHEN {d} > 20 THEN CAST({n} % 5 AS DOUBLE) + 0.5 WHEN {d} > 10 THEN CAST({n} % 5 AS DOUBLE) END AS points
+FROM ev""")
+    q["lake_after_expiry"] = with_ev(f"""
+SELECT year, month, day, COUNT(*) AS transactions,
+       CAST(SUM({dec('total_amount')}) FILTER (WHERE is_return = false) AS DOUBLE) AS revenue
+FROM ev WHERE datediff('day', CAST("timestamp" AS DATE), DATE '{EV_AS_OF}') <= {EV_KEEP_DAYS} GROUP BY year, month, day""")
     amt = dec("value")
     q["win_incoming_records"] = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
@@ -446,6 +471,15 @@ def storage_ops() -> dict[str, str]:
 SELECT DISTINCT year, month, day, CAST(datediff('day', {day}, DATE '{AS_OF}') AS INTEGER) AS age_days
 FROM tx WHERE datediff('day', {day}, DATE '{AS_OF}') > 730""")
     q["retention_kept"] = with_tx(f"SELECT * FROM tx WHERE {day} >= DATE '{AS_OF}' - INTERVAL 730 DAY")
+    q["catalog_bronze"] = with_bronze("SELECT * EXCLUDE (arrival) FROM bronze")
+    q["catalog_silver"] = q["silver_scan"]
+    q["catalog_gold"] = with_tx("SELECT * FROM g_payment")
+    q["catalog_partitions"] = with_tx("SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition FROM g_region")
+    r = reports()
+    q["sql_growth"], q["sql_leaders"], q["sql_month_count"] = r["mom_growth"], r["best_region_per_day"], r["month_transaction_count"]
+    q["sql_landed"] = with_bronze(f"""
+SELECT category, COUNT(*) AS records, COUNT(store_id) AS with_store FROM bronze
+WHERE strftime(arrival, '%Y-%m-%d') = '{EV_YEAR}-{EV_MONTH}-{EV_DAY}' GROUP BY category""")
     fields = ["transaction_id", "timestamp", "store_id", "region", "product_id", "product_name", "category",
               "quantity", "unit_price", "discount_pct", "total_amount", "payment_method", "customer_id", "is_return"]
     parts = "\nUNION ALL\n".join(
