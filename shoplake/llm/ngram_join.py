@@ -24,10 +24,13 @@ are gathered, so that a point's set is sent to few regions and not for each shin
 are then joined recursively: one of more than ``LEAF`` shingles or ``CROWD``
 points gets pivots, each point goes to its nearest one (its Voronoi cell) and, by the triangle
 inequality, to each cell whose pivot is at most two radii farther, so any linked pair
-meets in a cell. A pivot has been compared with its whole region and leaves it. Cells
-are regions again. Where windows replicate a region's points more than ``SPREAD`` times
-or the recursion gets deeper than ``DEPTH``, its blocks are joined with one another
-instead, exactly, two blocks a task. Smaller regions are joined in one task each, by size windows, triangle windows against the points compared so far and exact
+meets in a cell; and within a cell, again by the triangle inequality, to rings of one
+radius around the pivot, its own and the next inner one, so the pair meets in a ring. A
+pivot has been compared with its whole region and leaves it. Components are drawn up anew
+with the pivots' links, rings whose points are all of one component are done, and the
+others are regions again. Where more than ``SPREAD`` times a region's points are left in
+rings or the recursion gets deeper than ``DEPTH``, the blocks of what is left of it are
+joined with one another instead, exactly, two blocks a task. Smaller regions are joined in one task each, by size windows, triangle windows against the points compared so far and exact
 overlaps; a point isn't compared with points of its own component.
 
 No step forms the pairs of a group: what is written are pivots' pairs, and the links
@@ -60,7 +63,7 @@ CROWD = 1500  # points of a region that one task joins
 FEW = 4  # points of a region that one task joins whatever their size
 PIVOTS = 48
 SPREAD = 4
-DEPTH = 4
+DEPTH = 2
 FIRST = 6  # one in so many shingles comes first in the order
 BATCH_SHINGLES = 500_000
 CACHE_WORDS = 1_000_000
@@ -312,7 +315,7 @@ def block_links(regions: DataFrame, sizes: DataFrame, sets: DataFrame, percent:
     return rows.groupBy("region", "one", "two").applyInPandas(lambda pdf: _block_links(pdf, percent, True), LINKS)
 
 
-CELLS = "region long, row long, n int, label long, cell long, home boolean, link boolean"
+CELLS = "region long, row long, n int, cell long, ring int, link boolean"
 
 
 def cells(regions: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, depth: int) -> DataFrame:
@@ -346,22 +349,27 @@ def cells(regions: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, d
             common = overlaps(mark, flat, ends, np.arange(len(every)))
             far[:, p] = 1 - common / (n + n[p] - common)
             joined.add(p, np.flatnonzero(100 * common >= percent * (n + n[p] - common)))
-        region, labels, out = int(every["region"].iloc[0]), every["label"].to_numpy(), []
+        region, out = int(every["region"].iloc[0]), []
         for i in range(k, len(every)):
             home = int(far[i].argmin())
             for p in np.flatnonzero(far[i] <= far[i, home] + 2 * radius + 1e-9).tolist():
-                out.append((region, names[i], n[i], labels[i], names[p], p == home, False))
-        out += [(region, names[i], 0, 0, names[j], False, True) for i, j in joined.links]
+                out.append((region, names[i], n[i], names[p], int(far[i, p] / (radius + 1e-9)), False))
+        out += [(region, names[i], 0, names[j], 0, True) for i, j in joined.links]
         return pd.DataFrame(out, columns=[c.split()[0] for c in CELLS.split(", ")])
 
     return rows.groupBy("region", "block").applyInPandas(split, CELLS)
 
 
-def region_links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT) -> list[DataFrame]:
-    """Links within regions (region, row, n, label), joined recursively; staged tables (a, b)."""
-    found = []
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with their component; a point without links is one of its own."""
+    return rows.drop("label").join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
+
+
+def region_links(regions: DataFrame, sets: DataFrame, links: DataFrame, percent: int = PERCENT) -> list[DataFrame]:
+    """Links within regions (region, row, n, label) besides those known, joined recursively; staged tables (a, b)."""
+    found, columns = [], ["region", "row", "n", "label"]
     for depth in range(DEPTH + 1):
-        regions = staged(regions.select("region", "row", "n", "label"), "ngram_regions")
+        regions = staged(regions.select(*columns), "ngram_regions")
         sizes = staged(regions.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total")), "ngram_sizes")
         small = ((F.col("total") <= LEAF) & (F.col("held") <= CROWD)) | (F.col("held") <= FEW)
         found.append(staged(leaf_links(regions.join(sizes.filter(small).select("region"), "region"), sets, percent), "ngram_links"))
@@ -374,15 +382,18 @@ def region_links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT) ->
             break
         split = staged(cells(rest, large, sets, percent, depth), "ngram_cells")
         found.append(split.filter("link").select(F.col("row").alias("a"), F.col("cell").alias("b")))
-        split = split.filter("not link")
-        gain = split.groupBy("region").agg(F.count(F.lit(1)).alias("made"), F.count_if("home").alias("points"))
-        stuck = staged(gain.filter(F.col("made") > SPREAD * F.col("points")).select("region"), "ngram_stuck")
-        found.append(staged(block_links(rest.join(stuck, "region"), large, sets, percent), "ngram_links"))
-        parted = split.join(stuck, "region", "left_anti")
-        regions = parted.select(F.xxhash64("region", "cell").alias("region"), "row", "n", "label")
-        # a cell of one component is done
-        open_ = regions.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-        regions = regions.join(open_.select("region"), "region")
+        labels = components(_union(regions.sparkSession, [links, *found]))
+        parted = _labelled(split.filter("not link"), labels).withColumn(
+            "ring", F.explode(F.array("ring", F.col("ring") - 1))).withColumn("part", F.xxhash64("region", "cell", "ring"))
+        # a ring of one component is done
+        mixed_ = parted.groupBy("part").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("part")
+        parted = staged(parted.join(mixed_, "part").select("region", "part", "row", "n", "label"), "ngram_rings")
+        left = staged(parted.select(*columns).distinct(), "ngram_left")
+        points_left = left.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
+        made = parted.groupBy("region").agg(F.count(F.lit(1)).alias("made"))
+        stuck = staged(points_left.join(made, "region").filter(F.col("made") > SPREAD * F.col("held")), "ngram_stuck")
+        found.append(staged(block_links(left.join(stuck.select("region"), "region"), stuck, sets, percent), "ngram_links"))
+        regions = parted.join(stuck.select("region"), "region", "left_anti").drop("region").withColumnRenamed("part", "region")
     return found
 
 
@@ -436,7 +447,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     links = staged(links, "ngram_links")
     labels = components(links)
     left = mixed(stars.filter(F.col("row") != F.col("pivot")).select("region", "row", "n"), labels)
-    more = region_links(gathered(left), sets, percent)
+    more = region_links(gathered(left), sets, links, percent)
     every = _union(spark, [links, *more])
     if any(not t.isEmpty() for t in more):
         labels = components(every)
