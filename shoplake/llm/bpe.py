@@ -86,7 +86,6 @@ class Vocabulary:
         basic = "".join(re.escape(chr(c)) for c in self.swap if c < 0x10000)
         self.odd = re.compile(f"[{basic}]" if basic else r"(?!)")
         self.beyond = re.compile("[\U00010000-\U0010ffff]")
-        self.pairs = pairs
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
 
@@ -201,10 +200,16 @@ def _merge_alone(start: int, end: int, vocab: Vocabulary, token: np.ndarray, ali
     tokens = token[places].tolist()
     n = len(places)
     nxt, prev, live = [*range(1, n), -1], list(range(-1, n - 1)), [True] * n
-    pairs, heap, held = vocab.pairs, [], [-1] * n
+    heap, held, seen = [], [-1] * n, {}
+
+    def rank_of(pair: tuple[int, int]) -> int:
+        if pair not in seen:
+            r = int(vocab.pair_ranks(np.array(pair[:1]), np.array(pair[1:]))[0])
+            seen[pair] = r if r < NONE else -1
+        return seen[pair]
 
     def look(i: int) -> None:
-        found = pairs.get((tokens[i] << 32) | tokens[nxt[i]], -1) if nxt[i] >= 0 else -1
+        found = rank_of((tokens[i], tokens[nxt[i]])) if nxt[i] >= 0 else -1
         held[i] = found
         if found >= 0:
             heapq.heappush(heap, (found, i))
@@ -274,9 +279,12 @@ def _blocks(batches: Iterator[pd.DataFrame], encoder: Encoder, block_chars: int)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest: bool = False,
-           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, n_tokens and ids of every text; with ``digest`` the hashes of the ids and of what they decode to."""
-    last = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>"
+           block_chars: int = BLOCK_CHARS, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids of every text; with ``digest`` the hashes of the ids and of what they decode to.
+
+    With ``decoded`` the text that the ids decode to comes with them, from the worker that holds the vocabulary.
+    """
+    last = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>" + ", text string" * decoded
     schema = f"doc_id long, n_tokens long, {last}"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -288,9 +296,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
                 out.append((doc, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                             hashlib.sha256(decode(ids, vocab)).hexdigest()))
             else:
-                out.append((doc, len(ids), ids.astype(np.int32)))
+                out.append((doc, len(ids), ids.astype(np.int32), *[decode(ids, vocab).decode("utf-8", "replace")] * decoded))
                 size += len(ids)
-            if size >= 1_000_000 or len(out) >= 20_000:
+            if size >= 500_000 or len(out) >= 20_000:
                 yield _frame(out, schema)
                 out, size = [], 0
         if out:

@@ -479,6 +479,8 @@ def test_bpe_table_decodes_to_its_texts(spark, awkward, nothing):
     assert read.columns == ["doc_id", "n_tokens", "ids", "text"]
     assert Counter((r["doc_id"], r["text"]) for r in read.collect()) == Counter((r["doc_id"], r["text"] or "") for r in awkward.collect())
     assert bpe.decode_table(bpe.encode(nothing, path, pattern), path, pattern).count() == 0
+    both = bpe.encode(awkward, path, pattern, decoded=True)
+    assert both.columns == read.columns and sorted(map(str, both.collect())) == sorted(map(str, read.select(*both.columns).collect()))
     cut = spark.createDataFrame([(1, [vocab_byte(path, 0xE4)]), (2, None)], "doc_id long, ids array<int>")
     assert [r["text"] for r in bpe.decode_table(cut, path, pattern).orderBy("doc_id").collect()] == ["\ufffd", None]
 
