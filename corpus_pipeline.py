@@ -38,7 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and token ids of every text, and the text that the ids decode to."""
-    return bpe.decode_table(bpe.encode(docs, *tokenizer()), *tokenizer())
+    return bpe.encode(docs, *tokenizer(), decoded=True)
 
 
 STAGES = [
