@@ -8,12 +8,15 @@ and the shard's blocks are taken as a seeded run of consecutive blocks, round
 and round: a quota above the number of blocks takes whole passes first.
 
 Only DataFrame functions. No table but the per-source one (a row for each
-source) is sorted as a whole; documents are ordered only within a shard, whose
-words are bounded by ``shard_words``, so a hot source is spread over tasks.
+source) is sorted as a whole; documents are ordered only within a shard. A source has
+as many shards as ``shard_words`` of its words or ``SHARD_ROWS`` of its rows ask for,
+and a row's shard and place follow a digest of its id, source and text, so a hot
+source or a hot id is spread over tasks; texts without words stay out of the shards.
 
 Defined results: a null text has size 0 and takes nothing; a null source is a
-source of its own and comes last; equal rows are kept as equal rows; an empty
-table gives an empty table. Columns besides the three named ones are ignored by
+source of its own and comes last; equal rows are kept as equal rows (they share a
+shard) and of rows with one doc_id each is judged by its own text, alike on every run;
+an empty table gives an empty table. Columns besides the three named ones are ignored by
 ``plan`` and kept by ``mix``.
 """
 
@@ -30,12 +33,20 @@ MAX_REPEAT = 3  # a source's target stops at this many times its size
 MAX_BLOCK_WORDS = 1024
 MIN_BLOCKS = 100  # blocks of the smallest positive target, at least
 SHARD_WORDS = 1_000_000
+SHARD_ROWS = 100_000
 
 
 def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def row_digest(text: str) -> Column:
+    """A hex digest of a row's id, source and text; rows that agree in it are interchangeable."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("n")),
+                             F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")),
+                             F.coalesce(F.concat(F.lit("t"), F.col(text).cast("string")), F.lit("n"))).cast("binary"))
+
+
 def seeded(seed: int, key: Column) -> Column:
     """A hex digest that orders keys at random, the same on every run."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary"))
@@ -64,7 +75,7 @@ def source_targets(sources: DataFrame) -> DataFrame:
     held = F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))).over(whole), zero)
     held_w = F.coalesce(F.sum(F.when(F.col("capped"), F.col("weight"))).over(whole), zero)
     share = F.try_divide((F.col("total") - held) * F.col("weight"), F.col("all_w") - held_w)
-    return ranked.select("source", "source_size", "pos", "weight",
+    return ranked.select(*sources.columns, "pos", "weight",
                          F.when(F.col("capped"), F.col("cap")).otherwise(share).alias("target"))
 
 
@@ -98,32 +109,35 @@ def sainte_lague(units: DataFrame, group: list[str], unit: str, weight: str, sea
 
 
 def plan(docs: DataFrame, seed: int = 17, text: str = "text", shard_words: int = SHARD_WORDS,
-         extra: list[Column] | None = None) -> DataFrame:
+         shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, taken and the run taken.
 
     ``from_word``/``to_word`` bound the run of blocks within the shard (``to_word``
     may run past the shard's end and on from its start), ``at_word`` is where the
-    document starts there, ``passes`` the whole passes before the run.
+    document starts there, ``passes`` the whole passes before the run (null for a
+    document without words); ``row_key`` is the row's digest.
     """
-    base = staged(docs.select("doc_id", "source", word_count(text).alias("size"), *(extra or [])), "mix_sizes")
-    sources = base.groupBy("source").agg(F.sum("size").alias("source_size"))
+    base = staged(docs.select("doc_id", "source", word_count(text).alias("size"), row_digest(text).alias("row_key")), "mix_sizes")
+    sources = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count_if(F.col("size") > 0).alias("source_rows"))
     src = source_targets(sources)
     whole = Window.partitionBy(F.lit(0))
     least = F.min(F.when(F.col("target") > 0, F.col("target"))).over(whole)
     src = src.withColumn("block", F.greatest(F.lit(1), F.least(F.lit(MAX_BLOCK_WORDS), F.floor(least / MIN_BLOCKS))))
     src = src.withColumn("block", F.coalesce("block", F.lit(1)).cast("long"))
-    src = src.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long"))
+    src = src.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words),
+                                         F.ceil(F.col("source_rows") / shard_rows)).cast("long"))
     src = src.withColumn("house", F.round(F.sum("target").over(whole) / F.col("block")).cast("long"))
     src = staged(sainte_lague(src, [], "pos", "target", "house", "quota")
                  .select("source", "pos", "source_size", "target", "block", "shards", "quota"), "mix_sources")
 
-    digest = seeded(seed, F.col("doc_id"))
+    digest = seeded(seed, F.col("row_key"))
     rows = (base.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
             .join(src.withColumn("source_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))).drop("source"),
                   "source_key")
             .withColumn("digest", digest)
             .withColumn("shard", F.pmod(F.conv(F.substring("digest", 25, 8), 16, 10).cast("long"), F.col("shards"))))
     rows = staged(rows.drop("source_key"), "mix_rows")
+    empty, rows = rows.filter("size = 0"), rows.filter("size > 0")
     shards = rows.groupBy("pos", "shard").agg(F.sum("size").alias("shard_size"), F.first("block").alias("block"),
                                              F.first("quota").alias("quota"))
     shards = shards.filter("shard_size > 0").withColumn(
@@ -140,9 +154,9 @@ def plan(docs: DataFrame, seed: int = 17, text: str = "text", shard_words: int =
     shards = staged(shards.select("pos", "shard", "shard_size", F.floor(F.col("seats") / F.col("blocks")).alias("passes"),
                                   at(start).alias("from_word"), to_word.alias("to_word")), "mix_shards")
 
-    order = Window.partitionBy("pos", "shard").orderBy("digest", "doc_id", "size")
+    order = Window.partitionBy("pos", "shard").orderBy("digest")
     rows = rows.withColumn("at_word", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    rows = rows.join(shards, ["pos", "shard"], "left")
+    rows = rows.join(shards, ["pos", "shard"], "left").unionByName(empty, allowMissingColumns=True)
     return rows.withColumn("taken", F.coalesce(
         F.col("passes") * F.col("size") + _overlap(F.lit(0)) + _overlap(F.col("shard_size")), F.lit(0)).cast("long"))
 
@@ -161,10 +175,7 @@ def mix(docs: DataFrame, seed: int = 17, text: str = "text") -> DataFrame:
     source and text are interchangeable, so they are numbered on both sides.
     """
     key, n, piece_col = (fresh_name(docs, x) for x in ("mix_key", "mix_n", "mix_piece"))
-    digest = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("n")),
-                               F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")),
-                               F.coalesce(F.concat(F.lit("t"), F.col(text).cast("string")), F.lit("n"))).cast("binary"))
-    chosen = plan(docs, seed, text, extra=[digest.alias("row_key")]).filter("taken > 0")
+    chosen = plan(docs, seed, text).filter("taken > 0")
 
     def run(shift: Column) -> Column:
         a = F.col("at_word") + shift
@@ -175,7 +186,7 @@ def mix(docs: DataFrame, seed: int = 17, text: str = "text") -> DataFrame:
     pieces = F.concat(F.array_repeat(whole, F.col("passes").cast("int")), F.array(run(F.lit(0)), run(F.col("shard_size"))))
     chosen = chosen.select(F.col("row_key").alias(key), F.filter(pieces, lambda p: p["n"] > 0).alias(piece_col), "size",
                            F.row_number().over(Window.partitionBy("row_key").orderBy("at_word")).alias(n))
-    own = docs.withColumn(key, digest)
+    own = docs.filter(word_count(text) > 0).withColumn(key, row_digest(text))
     own = own.withColumn(n, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     out = own.join(chosen.withColumnRenamed("size", piece_col + "_size"), [key, n])
     out = out.withColumn(piece_col, F.explode(piece_col))

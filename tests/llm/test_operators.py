@@ -408,6 +408,18 @@ def test_mixture_meets_its_targets(spark, awkward, nothing):
     assert mixing.mix(awkward).agg(F.sum(mixing.word_count("text"))).first()[0] == mixing.plan(awkward).agg(F.sum("taken")).first()[0]
 
 
+def test_mixture_spreads_rows_of_one_id_and_repeats_itself(spark):
+    rows = [(None, prose(i, 30), "en", "a" if i % 3 else "b", 0, "", "", "") for i in range(400)] + [(None, "", "en", "a", 0, "", "", "")] * 600
+    docs = spark.createDataFrame(rows, DOCS)
+    plan = mixing.plan(docs, shard_rows=50)
+    held = Counter((r["source"], r["shard"]) for r in plan.filter("size > 0").collect())
+    assert len(held) >= 8 and max(held.values()) <= 100
+    empty = [r for r in plan.collect() if r["size"] == 0]
+    assert len(empty) == 600 and not any(r["taken"] for r in empty)
+    runs = [sorted(r["text"] for r in mixing.mix(docs.repartition(n)).collect()) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) > 0
+
+
 # 7 ----------------------------------------------------------------------------------------------------------------
 
 def test_bpe_matches_the_tokenizer_library(spark, awkward, nothing):
