@@ -45,7 +45,7 @@ KEEP_FROM = 0.3
 WORD_DIMS, SHAPE_DIMS, PAIR_DIMS, REPEAT_DIMS = 1024, 512, 1024, 64
 TERM_DIMS = WORD_DIMS + SHAPE_DIMS + PAIR_DIMS + REPEAT_DIMS
 BLOCK = 512
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 LONG, PIECE = 32, 3
 NEAR = 50
 _RUNS = re.compile(r"(.)\1+", re.S)
