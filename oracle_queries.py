@@ -236,6 +236,11 @@ def kpis() -> dict[str, str]:
         "kpi_revenue_by_region": with_tx("SELECT * FROM g_region"),
         "kpi_payment_method_split": with_tx("SELECT * FROM g_payment"),
         "kpi_top_products": with_tx("SELECT * FROM g_top"),
+        "preview_revenue_by_product": with_tx("SELECT * FROM g_product ORDER BY total_revenue DESC, year, month, day, category LIMIT 5"),
+        "preview_revenue_by_region": with_tx("SELECT * FROM g_region ORDER BY total_revenue DESC, year, month, day, region LIMIT 5"),
+        "preview_payment_method_split": with_tx(
+            "SELECT * FROM g_payment ORDER BY transaction_count DESC, year, month, day, payment_method LIMIT 5"),
+        "preview_top_products": with_tx("SELECT * FROM g_top ORDER BY year, month, day, revenue_rank, product_id, product_name LIMIT 10"),
     }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,3 +65,8 @@ def date_partitions(ts: Column | str = "timestamp") -> dict[str, Column]:
 def event_date(year: str = "year", month: str = "month", day: str = "day") -> Column:
     """Partition strings back to a DATE."""
     return F.make_date(F.col(year).cast("int"), F.col(month).cast("int"), F.col(day).cast("int"))
+
+
+def hours_before(as_of: str, hours: int = 25) -> str:
+    """The cut-off ``hours`` before ``as_of`` (both 'yyyy-MM-ddTHH:mm:ss', UTC); a parameter, never the clock."""
+    return (datetime.fromisoformat(as_of) - timedelta(hours=hours)).isoformat(timespec="seconds")

@@ -18,6 +18,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from shoplake.functions.timeparse import hours_before  # noqa: E402
 from shoplake.operators import cleaning, quality, reports  # noqa: E402
 from shoplake.plans.lake import Lake  # noqa: E402
 from shoplake.plans.pipeline import run_pipeline  # noqa: E402
@@ -70,7 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     pl = sub.add_parser("pipeline")
     pl.add_argument("--bronze", required=True)
     pl.add_argument("--lake", required=True)
-    pl.add_argument("--modified-after", required=True, help="yyyy-MM-ddTHH:mm:ss (UTC)")
+    since = pl.add_mutually_exclusive_group(required=True)
+    since.add_argument("--modified-after", help="yyyy-MM-ddTHH:mm:ss (UTC)")
+    since.add_argument("--as-of", help="yyyy-MM-ddTHH:mm:ss (UTC): files of the 25 hours before it")
     pl.add_argument("--month", required=True, help="yyyy-mm for the persisted reports")
     pl.add_argument("--run-id", default="run")
     rp = sub.add_parser("report")
@@ -111,7 +114,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0 if v.status == quality.STATUS_OK else 2
     elif args.job == "pipeline":
         year, month = args.month.split("-")
-        r = run_pipeline(spark, args.bronze, Lake(spark, args.lake), args.modified_after, (year, month),
+        r = run_pipeline(spark, args.bronze, Lake(spark, args.lake), args.modified_after or hours_before(args.as_of), (year, month),
                          run_id=args.run_id)
         print(json.dumps({"status": r.status, "quality_score": r.quality_score, "records": r.records,
                           "results": r.results, "older": r.older}))

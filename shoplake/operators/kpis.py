@@ -95,6 +95,24 @@ KPIS = {
 }
 
 
+# Rows and order of each table's preview.
+PREVIEWS = {
+    "revenue_by_product": (5, [F.desc("total_revenue")]),
+    "revenue_by_region": (5, [F.desc("total_revenue")]),
+    "payment_method_split": (5, [F.desc("transaction_count")]),
+    "top_products": (10, [F.asc(c) for c in DAY] + [F.asc("revenue_rank")]),
+}
+
+
+def preview(name: str, gold: DataFrame) -> DataFrame:
+    """The first rows of a Gold table in its preview's order; ties by day, then by the table's keys.
+
+    A sort with a limit: every task keeps its own first rows.
+    """
+    n, order = PREVIEWS[name]
+    return gold.orderBy(*order, *DAY, *[c for c, t in gold.dtypes if t == "string" and c not in DAY]).limit(n)
+
+
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     """The four KPIs of a Silver read, where ids are unique by construction.
 

@@ -147,13 +147,14 @@ def sample(bronze_with_file: DataFrame, candidates: DataFrame, files: int = 5, p
     ``candidates`` (a file listing, e.g. ``new_files``), first ``per_file``
     records of each (S6).
 
+    Files come by a hash of seed and path, alike on every run and partitioning.
     Kept as an option; the default gate runs over every record. Within a
     file, read order is the order of monotonically_increasing_id (a
     landing file is gzip, read by a single task).
     """
     from pyspark.sql import Window
 
-    chosen = candidates.select("file_path").distinct().orderBy(F.rand(seed)).limit(files)
+    chosen = candidates.select("file_path").distinct().orderBy(F.xxhash64(F.lit(seed), "file_path"), "file_path").limit(files)
     # ``files`` paths at most; as a filter on the file's own path they keep the other files from being opened
     paths = [r.file_path for r in chosen.collect()]
     rows = bronze_with_file.filter(F.col("file_path").isin(paths)).withColumn("_pos", F.monotonically_increasing_id())

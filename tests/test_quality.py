@@ -76,3 +76,10 @@ def test_sample_at_most_five_files_twenty_each(spark, tmp_root):
     per_file = s.groupBy("file_path").count().collect()
     assert len(per_file) == 5 and all(r["count"] <= 20 for r in per_file)
     assert s.count() == sum(r["count"] for r in per_file) > 0
+
+
+def test_cut_off_is_computed_from_a_parameter():
+    from shoplake.functions.timeparse import hours_before
+
+    assert hours_before("2026-05-16T01:00:00") == "2026-05-15T00:00:00"
+    assert hours_before("2024-03-01T00:30:00", 1) == "2024-02-29T23:30:00"
