@@ -95,12 +95,12 @@ KPIS = {
 }
 
 
-# Rows and order of each table's preview.
+# Rows of each table's preview, the columns of its order and whether it ascends.
 PREVIEWS = {
-    "revenue_by_product": (5, [F.desc("total_revenue")]),
-    "revenue_by_region": (5, [F.desc("total_revenue")]),
-    "payment_method_split": (5, [F.desc("transaction_count")]),
-    "top_products": (10, [F.asc(c) for c in DAY] + [F.asc("revenue_rank")]),
+    "revenue_by_product": (5, ["total_revenue"], False),
+    "revenue_by_region": (5, ["total_revenue"], False),
+    "payment_method_split": (5, ["transaction_count"], False),
+    "top_products": (10, [*DAY, "revenue_rank"], True),
 }
 
 
@@ -109,8 +109,9 @@ def preview(name: str, gold: DataFrame) -> DataFrame:
 
     A sort with a limit: every task keeps its own first rows.
     """
-    n, order = PREVIEWS[name]
-    return gold.orderBy(*order, *DAY, *[c for c, t in gold.dtypes if t == "string" and c not in DAY]).limit(n)
+    n, order, ascending = PREVIEWS[name]
+    first = [F.asc(c) if ascending else F.desc(c) for c in order]
+    return gold.orderBy(*first, *DAY, *[c for c, t in gold.dtypes if t == "string" and c not in DAY]).limit(n)
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
