@@ -358,6 +358,19 @@ def with_bronze(body: str) -> str:
     return f"WITH {BRONZE},{silver_cte('bsilver', f'(SELECT {TYPED_COLS} FROM typed)')},{gold_ctes('gb', 'bsilver')}\n{body}"
 
 
+def with_mended(body: str) -> str:
+    """Silver of the mended landing rows, stores filled from customers."""
+    fixed = """bronze AS (
+  SELECT * REPLACE (ltrim(total_amount, '-') AS total_amount, COALESCE(store_id, replace(customer_id, 'cust-', 'store-')) AS store_id,
+                    CASE WHEN quantity = '0' THEN '1' ELSE quantity END AS quantity,
+                    CASE WHEN discount_pct = '1.5' THEN '0.0' ELSE discount_pct END AS discount_pct)
+  FROM landed
+),
+typed AS ("""
+    landed = BRONZE.replace("bronze AS (", "landed AS (").replace("typed AS (", fixed)
+    return f"WITH {landed},{silver_cte('msilver', f'(SELECT {TYPED_COLS} FROM typed)')}\n{body}"
+
+
 def bronze_ops() -> dict[str, str]:
     q: dict[str, str] = {}
     q["bronze_scan"] = with_bronze("SELECT * EXCLUDE (arrival) FROM bronze")
@@ -450,6 +463,27 @@ FROM ev""")
 SELECT year, month, day, COUNT(*) AS transactions,
        CAST(SUM({dec('total_amount')}) FILTER (WHERE is_return = false) AS DOUBLE) AS revenue
 FROM ev WHERE datediff('day', CAST("timestamp" AS DATE), DATE '{EV_AS_OF}') <= {EV_KEEP_DAYS} GROUP BY year, month, day""")
+    revenue = f"(SELECT CAST(SUM({dec('total_amount')}) FILTER (WHERE is_return = false) AS DOUBLE) FROM ev WHERE day <= '15')"
+    q["gated_runs"] = f"""WITH {BRONZE.strip().removeprefix(',')},{EV_RAW},{silver_cte('ev', 'ev_raw')},
+runs AS (
+  SELECT 'clean' AS step, COUNT(*) AS records, COUNT(*) FILTER (WHERE total_amount > 0) AS valid
+  FROM ev_raw WHERE day("timestamp") <= 15
+  UNION ALL
+  SELECT 'defective', COUNT(*), COUNT(*) FILTER (WHERE len(errors) = 0) FROM validated WHERE day(arrival) > 15)
+SELECT step, CASE WHEN CAST(valid AS DOUBLE) / records < 0.95 THEN 'QUALITY_FAIL' ELSE 'OK' END AS status,
+       1 - CAST(records - valid AS DOUBLE) / records AS quality_score, records,
+       (SELECT COUNT(*) FROM ev WHERE day <= '15') AS silver_rows, {revenue} AS gold_revenue,
+       CASE WHEN step = 'clean' THEN CAST(0 AS BIGINT) ELSE records END AS quarantined
+FROM runs"""
+    early = "(SELECT * FROM ev_raw WHERE day(\"timestamp\") <= 15)"
+    q["report_persisted"] = reports()["monthly_category_revenue"].replace(with_tx(""), (
+        f"WITH {EV_RAW},{silver_cte('ev', early)},{gold_ctes('g', 'ev')}\n")).replace(M_TX, M_EV)
+    q["quarantine_replayed"] = with_mended("SELECT * FROM msilver")
+    q["replay_accounts"] = with_mended("""
+SELECT CASE WHEN "timestamp" IS NULL THEN 'bad_timestamp' ELSE 'invalid_amount' END AS outcome, COUNT(*) AS records
+FROM typed WHERE "timestamp" IS NULL OR NOT (total_amount > 0) GROUP BY 1
+UNION ALL SELECT 'silver', COUNT(*) FROM msilver
+UNION ALL SELECT 'quarantine', CAST(0 AS BIGINT)""")
     amt = dec("value")
     q["win_incoming_records"] = """
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,

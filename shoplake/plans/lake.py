@@ -119,9 +119,15 @@ class Lake:
         """The partitions of Silver as folder names, from a listing: no data file is opened."""
         return self._days(self.silver_path).select(_partition_name().alias("partition")).orderBy("partition")
 
+    def error_columns(self) -> dict[str, str]:
+        """The registered columns that dead letters keep: all but those named like a column of their own."""
+        return {c: kind for c, kind in self.columns().items() if c.lower() not in ("error_type", "_raw")}
+
     def write_errors(self, bronze: DataFrame, batch: str) -> None:
         """Dead-letter sink: the rejected rows of one load under errors/<batch>/error_type=; a repeated load replaces its own."""
-        write_partitioned(cleaning.dead_letters(bronze), f"{self.root}/errors/{batch}", ["error_type"], mode="overwrite")
+        held = {c.lower() for c in self.columns()} - {c.lower() for c in self.error_columns()}
+        letters = cleaning.dead_letters(bronze.drop(*[c for c in bronze.columns if c.lower() in held]))
+        write_partitioned(letters, f"{self.root}/errors/{batch}", ["error_type"], mode="overwrite")
 
     def errors(self) -> DataFrame:
         """Every dead letter: the text columns, the corrupt line, error_type."""

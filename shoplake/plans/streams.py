@@ -21,9 +21,10 @@ from ..sinks.writers import write_landing
 from ..sources import tables
 from ..sources.bronze import discover_schema
 from ..sources.zones import read_bronze
-from ..streaming import incremental, landing, windows
+from ..streaming import incremental, landing, replay, windows
 from .lake import Lake
 from .landing import landing_path
+from .pipeline import run_pipeline
 
 
 def _events_schema(spark: SparkSession, sf_dir: str):
@@ -239,7 +240,71 @@ def lake_after_expiry(spark: SparkSession, sf_dir: str, as_of: str, keep_days: i
     return silver.join(gold, PARTITION_COLS, "full")
 
 
+FIRST_RUN = "2000-01-01T00:00:00"
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, year: str, month: str):
+    """A gated run over clean files up to the 15th, then one over defective files of the later days; each with the lake."""
+    apply_lake_conf(spark)
+    run = scratch_path(spark, "streams", "gated", unique=True)
+    lake, landed, day = Lake(spark, f"{run}/lake"), f"{run}/landing", F.dayofmonth("arrival")
+    for step, rows in (("clean", tables.clean_landing_rows(spark, sf_dir).filter(day <= 15)),
+                       ("defective", tables.bronze_dirty(spark, sf_dir).filter(day > 15))):
+        write_landing(rows, landed, mode="append")
+        yield step, lake, run_pipeline(spark, landed, lake, FIRST_RUN, (year, month), run_id=step)
+
+
+def gated_runs(spark: SparkSession, sf_dir: str, year: str, month: str) -> DataFrame:
+    """Verdict and zones after each run: the second one is quarantined whole and leaves Silver and Gold as they were."""
+    out = []
+    for step, lake, result in _two_runs(spark, sf_dir, year, month):
+        held = {r.outcome: r.records for r in replay.accounts(lake).collect()}
+        revenue = lake.gold("revenue_by_region").agg(M.money_sum("total_revenue")).first()[0]
+        out.append((step, result.status, result.quality_score, result.records, held["silver"], revenue, held["quarantine"]))
+    return spark.createDataFrame(out, "step string, status string, quality_score double, records long, silver_rows long, "
+                                      "gold_revenue double, quarantined long")
+
+
+def report_persisted(spark: SparkSession, sf_dir: str, year: str, month: str) -> DataFrame:
+    """The report that the gated run wrote, read from its folder."""
+    _, _, result = next(_two_runs(spark, sf_dir, year, month))
+    return spark.read.parquet(result.results["monthly_category_revenue"])
+
+
+def mended(rows: DataFrame) -> DataFrame:
+    """The landing rows with amounts' signs dropped, no quantity as one and impossible discounts as none."""
+    return rows.withColumns({
+        "total_amount": F.ltrim(F.col("total_amount"), F.lit("-")),
+        "quantity": F.when(F.col("quantity") == "0", F.lit("1")).otherwise(F.col("quantity")),
+        "discount_pct": F.when(F.col("discount_pct") == "1.5", F.lit("0.0")).otherwise(F.col("discount_pct"))})
+
+
+def with_store(rows: DataFrame) -> DataFrame:
+    """The landing rows with an absent store taken from the customer."""
+    return rows.withColumn("store_id", F.coalesce("store_id", F.regexp_replace("customer_id", "^cust-", "store-")))
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> Lake:
+    """The defective landing files fail the gate, are mended in quarantine and pass; then their dead letters get their stores."""
+    apply_lake_conf(spark)
+    run = scratch_path(spark, "streams", "replay", unique=True)
+    lake = Lake(spark, f"{run}/lake")
+    incremental.run_incremental(spark, landing_path(spark, sf_dir), lake, f"{run}/_checkpoint", threshold=quality.QUALITY_THRESHOLD)
+    replay.replay_quarantine(lake, mended, "2024-02-01T00:00:00", with_gold=False)
+    replay.replay_errors(lake, with_store)
+    return lake
+
+
+def quarantine_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replayed(spark, sf_dir).silver()
+
+
+def replay_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay.accounts(_replayed(spark, sf_dir))
+
+
 __all__ = ["landing_stream", "silver_incremental", "late_data_rebuild", "win_incoming_records", "win_hourly_sum",
            "win_daily_avg", "win_quality_score", "late_batches", "dead_letter_written", "late_data_retry",
            "rebuild_moved_day", "gold_after_failure", "gold_after_retry",
-           "metrics_history", "cleaning_counters", "lake_after_expiry", "silver_with_new_column"]
+           "metrics_history", "cleaning_counters", "lake_after_expiry", "silver_with_new_column",
+           "gated_runs", "report_persisted", "quarantine_replayed", "replay_accounts"]

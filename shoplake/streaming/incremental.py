@@ -126,6 +126,24 @@ def _cutoff(spark: SparkSession, path: str, modified_after: str) -> str:
     return noted.cut if noted else modified_after
 
 
+def judge(lake: Lake, rows: DataFrame, run_id: str, at: Column, threshold: float, empty: bool = False) -> DataFrame:
+    """The gate over some landing rows, entered in the ledger: one verdict row with its first errors."""
+    spark = lake.spark
+    run = {"run_id": F.lit(run_id), "checked_at": at}
+    runs = spark.range(1).select(*[c.alias(k) for k, c in run.items()])
+    scored = ledger.scores(quality.validate(rows).withColumns(run), runs if empty else None)
+    totals = spark.createDataFrame([scored.first()], scored.schema)  # one row and its first errors
+    lake.ledger.record(totals, threshold)
+    return quality.gate(totals, threshold, "errors")
+
+
+def ingest(lake: Lake, batch: DataFrame, name: str, journal: str, with_gold: bool = True) -> list[Day]:
+    """Landing rows into errors/``name``, Silver and, of the touched days, Gold; the days that changed."""
+    lake.write_errors(batch, name)
+    typed = cleaning.type_transactions(batch.filter(F.col(CORRUPT_COL).isNull()))
+    return (apply_batch if with_gold else upsert_silver)(lake.spark, lake, typed, journal)
+
+
 def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoint: str,
                     max_files_per_trigger: int | None = None, with_gold: bool = True,
                     threshold: float | None = None, modified_after: str | None = None) -> list[Row]:
@@ -155,13 +173,8 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
     def gated(part: DataFrame, name: str, run_id: str, older: bool) -> bool:
         # when the newest file arrived: the same at every attempt
         latest = part.agg(F.max(ARRIVED).cast("string")).first()[0]
-        at = F.coalesce(F.lit(latest).cast("timestamp"), F.current_timestamp())
-        run = {"run_id": F.lit(run_id), "checked_at": utc_wall(at)}
-        runs = spark.range(1).select(*[c.alias(k) for k, c in run.items()])
-        scored = ledger.scores(quality.validate(part.drop(ARRIVED)).withColumns(run), runs if latest is None else None)
-        totals = spark.createDataFrame([scored.first()], scored.schema)  # one row and its first errors
-        lake.ledger.record(totals, threshold)
-        row = quality.gate(totals, threshold, "errors").withColumn("older", F.lit(older)).first()
+        at = utc_wall(F.coalesce(F.lit(latest).cast("timestamp"), F.current_timestamp()))
+        row = judge(lake, part.drop(ARRIVED), run_id, at, threshold, latest is None).withColumn("older", F.lit(older)).first()
         verdicts.append(row)
         if row.status == quality.STATUS_OK:
             return True
@@ -191,13 +204,7 @@ def run_incremental(spark: SparkSession, bronze_path: str, lake: Lake, checkpoin
             if not passed:
                 return
             batch = batch.filter(reduce(Column.__or__, passed))
-        batch = batch.drop(ARRIVED)
-        lake.write_errors(batch.drop(*[c for c in lake.columns() if c in batch.columns]), name)
-        typed = cleaning.type_transactions(batch.filter(F.col(CORRUPT_COL).isNull()))
-        if with_gold:
-            apply_batch(spark, lake, typed, f"{notes}/days")
-        else:
-            upsert_silver(spark, lake, typed, f"{notes}/days")
+        ingest(lake, batch.drop(ARRIVED), name, f"{notes}/days", with_gold)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
