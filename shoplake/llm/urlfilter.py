@@ -8,9 +8,11 @@ that level 1 lets through; level 3 the listed keys that level 2 lets through, an
 so on until a level lets nothing wrong through. For every key of the universe the
 walk down the levels is then exact, with no join against the list.
 
-Each level is a bit array in one row, read by the tasks as a scalar subquery. Its
-size is known from the keys it encodes; beyond ``MAX_FILTER_BITS`` in all, the same
-answer comes from a shuffled join with the list.
+Each level is cut by key hash into bit arrays of ``PART_BITS`` at most, a row a part,
+made and read by Spark alone: the driver holds the number of keys of a level and of its
+parts, at any length of the list. A url's keys meet their part of each level by its
+number, never the list; Spark broadcasts a level that is small and shuffles by part
+otherwise, and a part that hot keys fill is split by adaptive execution.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and
 matches no rule; pages and rules may be empty; equal rows are kept; other columns
@@ -20,8 +22,9 @@ are ignored. A rule listed under both actions blocks. Only DataFrame functions.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import staged
@@ -30,7 +33,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 BITS_PER_KEY = 10
 HASHES = 3
-MAX_FILTER_BITS = 64 * 8 * 1024 * 1024  # 64 MB over all levels
+PART_BITS = 1 << 20  # 128 KB
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -40,7 +43,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def rule_shapes(rules: DataFrame) -> list[tuple[int, int]]:
-    """The (host labels, path length) pairs among the rules: a short list for any number of rules."""
+    """The (host labels, path length) pairs among the rules: as many as their labels and path lengths allow."""
     slash = F.locate("/", "rule")
     host = F.when(slash > 0, F.substring("rule", F.lit(1), slash - 1)).otherwise(F.col("rule"))
     shapes = rules.select(F.size(F.split(host, r"\.")).alias("labels"), (F.length("rule") - F.length(host)).alias("path"))
@@ -59,59 +62,76 @@ def _places(key: Column, level: int, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(level * 64 + i)), F.lit(bits)) for i in range(HASHES)]
 
 
-def _build(keys: DataFrame, level: int, bits: int) -> list[int]:
-    """The words of the level's bit array; its size was checked before."""
-    places = keys.select(F.explode(F.array(*_places(F.col("key"), level, bits))).alias("p"))
-    word = F.expr("shiftleft(1L, cast(p % 64 as int))")
-    rows = places.groupBy(F.expr("cast(p div 64 as int)").alias("w")).agg(F.bit_or(word).alias("v")).collect()
-    words = [0] * (bits // 64)
-    for w, v in rows:
-        words[w] = v
-    return words
+def _part(key: Column, level: int, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(level * 64 + HASHES)), F.lit(parts))
+
+
+@dataclass
+class Level:
+    """``table`` has a row a part: its number and the words of its bit array."""
+
+    table: DataFrame
+    number: int
+    parts: int
+    bits: int
+
+    @classmethod
+    def build(cls, keys: DataFrame, number: int, n: int, part_bits: int) -> "Level":
+        parts = max(1, math.ceil(n * BITS_PER_KEY / part_bits))
+        bits = max(64, 64 * math.ceil(n * BITS_PER_KEY / parts / 64))
+        key, words = F.col("key"), bits // 64
+        places = keys.select(_part(key, number, parts).alias("part"), F.explode(F.array(*_places(key, number, bits))).alias("p"))
+        word = F.expr("shiftleft(1L, cast(p % 64 as int))")
+        held = places.select("part", F.expr("p div 64").alias("w"), word.alias("v"))
+        every = keys.sparkSession.range(parts * words).select(
+            F.expr(f"id div {words}").alias("part"), (F.col("id") % words).alias("w"), F.lit(0).cast("long").alias("v"))
+        rows = held.unionByName(every).groupBy("part", "w").agg(F.bit_or("v").alias("v"))
+        # a part's words, at most PART_BITS / 64 of them
+        table = rows.groupBy("part").agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("words"))
+        return cls(staged(table, "url_level"), number, parts, bits)
+
+    def mark(self, rows: DataFrame, name: str, key: str = "key", spread: str = "key") -> DataFrame:
+        """Adds whether the level lets the key through; a null key, which goes to a part by ``spread``, isn't."""
+        part = F.when(F.col(key).isNotNull(), _part(F.col(key), self.number, self.parts)).otherwise(
+            F.pmod(F.xxhash64(spread), F.lit(self.parts)))
+        both = rows.withColumn("_part", part).join(self.table.toDF("_part", "_words"), "_part", "left")
+        hit = F.col(key).isNotNull()
+        for p in _places(F.col(key), self.number, self.bits):
+            word = F.get("_words", F.floor(p / 64).cast("int"))
+            hit = hit & (F.getbit(word, (p % 64).cast("int")) == 1)
+        return both.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(name))
 
 
 class Cascade:
     """Exact membership of a list in a universe of keys, by levels of Bloom filters."""
 
-    def __init__(self, spark: SparkSession, levels: list[list[int]]):
-        self.spark, self.levels = spark, levels
+    def __init__(self, levels: list[Level]):
+        self.levels = levels
 
     @classmethod
-    def fit(cls, universe: DataFrame, listed: DataFrame, max_bits: int = MAX_FILTER_BITS) -> "Cascade | None":
-        """``universe`` and ``listed`` hold distinct ``key``s; None if the levels would exceed ``max_bits``."""
-        spark = universe.sparkSession
-        made, used, level = [], 0, 0
+    def fit(cls, universe: DataFrame, listed: DataFrame, part_bits: int = PART_BITS) -> "Cascade":
+        """``universe`` and ``listed`` hold distinct ``key``s."""
+        made: list[Level] = []
         yes, no = staged(listed.join(universe, "key", "left_semi"), "url_listed"), universe.join(listed, "key", "left_anti")
-        while (n := yes.count()) or not level:
-            bits = max(64, 64 * math.ceil(n * BITS_PER_KEY / 64))
-            used += bits
-            if used > max_bits:
-                return None
-            made.append(_build(yes, level, bits))
-            passing = _hits(spark, made[-1], level, F.col("key"))
+        while (n := yes.count()) or not made:
+            made.append(Level.build(yes, len(made), n, part_bits))
             # what this level lets through wrongly is what the next one encodes
-            yes, no = staged(no.filter(passing), "url_level"), yes
-            level += 1
-        return cls(spark, made)
-
-    def contains(self, key: Column) -> Column:
-        """Level i lets a key through or not; the first that doesn't decides by its parity (a null key isn't in)."""
+            yes, no = staged(made[-1].mark(no, "passes").filter("passes").select("key"), "url_wrong"), yes
+        return cls(made)
+
+    def mark(self, rows: DataFrame, name: str, key: str = "key", spread: str = "key") -> DataFrame:
+        """Adds whether the key is listed: the first level that doesn't let it through decides by its parity."""
+        passes = [f"_{name}_{level.number}" for level in self.levels]
+        out = rows
+        for level, column in zip(self.levels, passes, strict=True):
+            out = level.mark(out, column, key, spread)
         result = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(range(len(self.levels))):
-            result = F.when(_hits(self.spark, self.levels[level], level, key), result).otherwise(F.lit(level % 2 == 1))
-        return F.coalesce(key.isNotNull() & result, F.lit(False))
-
-
-def _hits(spark: SparkSession, words: list[int], level: int, key: Column) -> Column:
-    array = spark.createDataFrame([(words,)], "words array<long>").scalar()
-    hit = F.lit(True)
-    for p in _places(key, level, len(words) * 64):
-        word = F.get(array, F.floor(p / 64).cast("int"))
-        hit = hit & (F.getbit(word, (p % 64).cast("int")) == 1)
-    return hit
+        for level, column in reversed(list(enumerate(passes))):
+            result = F.when(F.col(column), result).otherwise(F.lit(level % 2 == 1))
+        return out.select(*rows.columns, (F.col(key).isNotNull() & result).alias(name))
 
 
-def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bits: int = MAX_FILTER_BITS) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", part_bits: int = PART_BITS) -> DataFrame:
     """page_id, host, path, rule, verdict for every page; ``rules`` holds (rule, action).
 
     The longest fitting rule wins (of equal ones the first by code point); a url
@@ -120,35 +140,18 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", max_bits:
     host, path = host_and_path(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
     rules = rules.filter("rule is not null").groupBy("rule").agg(F.min(F.col("action") != "block").alias("allowed"))
-    shapes = rule_shapes(rules)
-    keyed = parts.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), shapes))
-    universe = staged(keyed.select(F.explode("keys").alias("key")).distinct(), "url_universe")
-    lists = {action: rules.filter(cond).select(F.col("rule").alias("key"))
-             for action, cond in (("block", "not allowed"), ("allow", "allowed"))}
-    found = {action: Cascade.fit(universe, listed, max_bits) for action, listed in lists.items()}
-    if any(c is None for c in found.values()):
-        return _judge_by_join(keyed, rules, default)
-    # one lookup per rule shape; the best is the longest, then the first by code point
-    offers = []
-    for n in range(len(shapes)):
-        key = F.get("keys", F.lit(n))
-        blocked = found["block"].contains(key)
-        offers.append(F.when(blocked | found["allow"].contains(key),
-                             F.struct((-F.length(key)).alias("n"), key.alias("rule"), blocked.alias("blocked"))))
-    best = F.array_min(F.array_compact(F.array(*offers))) if offers else F.lit(None).cast(
-        "struct<n:int,rule:string,blocked:boolean>")
-    out = keyed.withColumn("best", best)
+    keys = candidate_keys(F.col("host"), F.col("path"), rule_shapes(rules))
+    # row numbers are fixed by writing them: equal pages stay apart
+    rows = staged(parts.select("*", F.monotonically_increasing_id().alias("row"), keys.alias("keys")), "url_rows")
+    universe = staged(rows.select(F.explode("keys").alias("key")).distinct(), "url_universe")
+    asked = rows.select("row", "page_id", "host", "path", F.explode_outer("keys").alias("key"))
+    for name, cond in (("blocked", "not allowed"), ("listed", "allowed")):
+        found = Cascade.fit(universe, rules.filter(cond).select(F.col("rule").alias("key")), part_bits)
+        asked = found.mark(asked, name, spread="row")
+    # the best is the longest, then the first by code point; a page's keys meet in the task that made them
+    offer = F.when(F.col("blocked") | F.col("listed"),
+                   F.struct((-F.length("key")).alias("n"), F.col("key").alias("rule"), "blocked"))
+    best = asked.groupBy("row", "page_id", "host", "path").agg(F.min(offer).alias("best"))
     verdict = (F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.blocked"), F.lit("block"))
                .otherwise(F.lit("allow")))
-    return out.select("page_id", "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict"))
-
-
-def _judge_by_join(keyed: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    """The same answer for a list too long for broadcast filters."""
-    rows = staged(keyed.withColumn("row", F.monotonically_increasing_id()), "url_rows")
-    hits = (rows.select("row", F.explode("keys").alias("rule")).join(rules, "rule")
-            .groupBy("row").agg(F.min(F.struct((-F.length("rule")).alias("n"), "rule", "allowed")).alias("best")))
-    return rows.join(hits, "row", "left").select(
-        "page_id", "host", "path", F.col("best.rule").alias("rule"),
-        F.when(F.col("best").isNull(), F.lit(default)).when(F.col("best.allowed"), F.lit("allow"))
-        .otherwise(F.lit("block")).alias("verdict"))
+    return best.select("page_id", "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict"))
