@@ -8,8 +8,10 @@ of all documents has, so that ordinary words beside a notice cost it the same in
 corpus of any size. Templates are notices and headers by version (``TEMPLATES``) and
 the licences' whole texts (``bodies``). The nearest template from a cosine of ``LEAST``
 names the file's licence; a whole text from ``BODY`` comes before any notice, since
-licences quote notices. An SPDX tag names the licence itself, with score 1: without
--only, -or-later or +, and an expression of several as it is written. Templates whose
+licences quote notices. A notice counts only where the words it is found in name its
+licence and version or none, and don't deny it ("not licensed under"). An SPDX tag that names
+known licences (``KNOWN``, LicenseRef-) tells the licence itself, with score 1: without -only,
+-or-later or +, and an expression of several with its brackets. Templates whose
 words in common with a text can't lift any cosine to ``LEAST`` are skipped exactly.
 
 A file without a licence of its own inherits from the nearest directory on its path,
@@ -42,7 +44,18 @@ LEAST = 0.6
 BODY = 0.85
 OUTSIDE = 1 + math.log(10)
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([._-].*)?$"
-SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+-]+)*)"
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)"
+# SPDX licence identifiers, without -only and -or-later.
+KNOWN = """
+    0BSD AFL-3.0 AGPL-1.0 AGPL-3.0 Apache-1.0 Apache-1.1 Apache-2.0 APSL-2.0 Artistic-1.0 Artistic-2.0 Beerware BlueOak-1.0.0
+    BSD-1-Clause BSD-2-Clause BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 BUSL-1.1 bzip2-1.0.6
+    CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-2.0
+    CC-BY-SA-2.5 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 curl ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.1
+    EUPL-1.2 FSFAP FTL GFDL-1.2 GFDL-1.3 GPL-1.0 GPL-2.0 GPL-3.0 HPND ICU IJG ISC LGPL-2.0 LGPL-2.1 LGPL-3.0 Libpng LPPL-1.3c
+    MIT MIT-0 MPL-1.0 MPL-1.1 MPL-2.0 MS-PL MS-RL MulanPSL-2.0 NCSA NPL-1.1 ODbL-1.0 OFL-1.1 OLDAP-2.8 OpenSSL OSL-3.0 PDDL-1.0
+    PHP-3.01 PostgreSQL PSF-2.0 Python-2.0 QPL-1.0 Ruby SISSL Sleepycat SSPL-1.0 Unicode-3.0 Unlicense UPL-1.0 Vim W3C WTFPL
+    X11 Zlib ZPL-2.1
+""".split()
 TEXTS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "licence_texts")
 _FREE = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License "
          "as published by the Free Software Foundation; either version {} of the License")
@@ -111,10 +124,85 @@ def bodies() -> tuple[tuple[str, str], ...]:
     return tuple(held.items())
 
 
+_IDS = {name.lower(): name for name in KNOWN}
+_TOKEN = re.compile(r"[()]|[A-Za-z0-9.+-]+")
+_LATER = re.compile(r"(?i)(-only|-or-later|\+)$")
+
+
+def _licence_id(token: str) -> str | None:
+    own = _LATER.sub("", token)
+    if re.fullmatch(r"(?i)LicenseRef-[A-Za-z0-9.-]+", own):
+        return own
+    return _IDS.get(own.lower())
+
+
+def _term(tokens: list[str], at: int) -> tuple[str, int] | None:
+    """A licence, with its exception, or an expression in brackets; None where there is neither."""
+    depth = at
+    while depth < len(tokens) and tokens[depth] == "(":
+        depth += 1
+    if depth - at > 8:
+        return None
+    if depth > at:
+        inner = _expression(tokens, at + 1)
+        if not inner:
+            return None
+        text, at = inner
+        if at < len(tokens) and tokens[at] == ")":
+            return (f"({text})" if " " in text else text), at + 1
+        return text, len(tokens)  # a bracket left open ends the tag
+    name = _licence_id(tokens[at]) if at < len(tokens) else None
+    if not name:
+        return None
+    if at + 2 < len(tokens) and tokens[at + 1].upper() == "WITH" and "exception" in tokens[at + 2].lower():
+        return f"{name} WITH {tokens[at + 2]}", at + 3
+    return name, at + 1
+
+
+def _expression(tokens: list[str], at: int) -> tuple[str, int] | None:
+    """Terms with AND and OR between them, as far as they are known licences."""
+    first = _term(tokens, at)
+    if not first:
+        return None
+    text, at = first
+    while at + 1 < len(tokens) and tokens[at].upper() in ("AND", "OR") and (more := _term(tokens, at + 1)):
+        text, at = f"{text} {tokens[at].upper()} {more[0]}", more[1]
+    return text, at
+
+
 def tagged(text: str) -> str | None:
-    """The licence of the first SPDX tag."""
-    found = re.search(SPDX, text)
-    return found and re.sub(r"(?i)(-only|-or-later|\+)(?=\s|$)", "", found[1])
+    """The licence, or the expression of licences, of the first SPDX tag that names one."""
+    for found in re.finditer(SPDX, text):
+        # a line's first tokens: the longest expression in use has a few dozen
+        tokens = [m[0] for m, _ in zip(_TOKEN.finditer(found[1]), range(200))]
+        if _TOKEN.match(found[1]) and (whole := _expression(tokens, 0)):
+            return _bare(whole[0])
+    return None
+
+
+def _bare(text: str) -> str:
+    """An expression without brackets around the whole of it."""
+    depth = 0
+    for i, c in enumerate(text):
+        depth += (c == "(") - (c == ")")
+        if not depth and i < len(text) - 1:
+            return text
+    return text[1:-1]
+
+
+_DENIED = re.compile(r"\b(?:not|never|no longer)(?: be| been| yet)? (?:licensed|released|distributed|available|covered)\b")
+_NAMES = frozenset({"apache", "bsd", "cc", "cc0", "creative", "gnu", "isc", "mit", "mozilla"})
+_NUMBER = re.compile(r"v?([0-9]+(?:\.[0-9]+)*)")
+
+
+def versions(own: list[str]) -> set[str]:
+    """The version numbers that words name: v3, or a number after version, v, license or public; 2.0 is 2."""
+    out = set()
+    for before, w in zip(["", *own], own):
+        m = _NUMBER.fullmatch(w)
+        if m and (w[0] == "v" or before in ("version", "v", "license", "licence", "clause")):
+            out.add(re.sub(r"(\.0)+$", "", m[1]))
+    return out
 
 
 class Model:
@@ -130,6 +218,8 @@ class Model:
         self.templates = [(name, self._unit(Counter(words(t)))) for name, t in every]
         self.lengths = [len(words(t)) for _, t in every]
         self.notices = len(templates)
+        self.names = [_NAMES.intersection(words(t)) for _, t in every]
+        self.versions = [versions(words(t)) if i < self.notices else set() for i, (_, t) in enumerate(every)]
         self.held: dict[str, list[tuple[int, float]]] = {}
         for i, (_, vector) in enumerate(self.templates):
             for w, x in vector.items():
@@ -168,7 +258,19 @@ class Model:
                 mass[i] += x * x
         return [i for i, m in enumerate(mass) if m >= self.least * self.least - 1e-9]
 
-    def _cosine(self, own: list[str], i: int) -> float:
+    def _fits(self, own: list[str], i: int) -> bool:
+        """A notice names its own licence and version, or none, and isn't denied."""
+        if i >= self.notices:
+            return True
+        if self.names[i] and self.names[i].isdisjoint(own) and not _NAMES.isdisjoint(own):
+            return False
+        named = versions(own) if self.versions[i] else set()
+        return (not named or not named.isdisjoint(self.versions[i])) and not _DENIED.search(" ".join(own))
+
+    def _cosine(self, own: list[str], i: int, around: list[str] | None = None) -> float:
+        """The cosine with a template; ``around`` adds the words on either side that can change a notice's sense."""
+        if not self._fits(around or own, i):
+            return 0.0
         template = self.templates[i][1]
         return round(sum(x * template.get(w, 0.0) for w, x in self._unit(Counter(own)).items()), 12)
 
@@ -197,7 +299,7 @@ class Model:
                 dot -= gain[begin]
             if begin >= -1 and dot * dot > top * square:
                 top, at = dot * dot / square, begin + 1
-        return self._cosine(every[at:at + n], i)
+        return self._cosine(every[at:at + n], i, every[max(0, at - 3):at + n + 2])
 
     def scan(self, text: str) -> tuple[str | None, float]:
         tag = tagged(text)

@@ -244,8 +244,8 @@ def test_url_cascade_is_exact(spark):
     pages = spark.createDataFrame([(i, u, "h", "k") for i, u in enumerate(urls)], "page_id long, url string, host string, keys string")
     rules = spark.createDataFrame(RULES, "rule string, action string")
     want = {i: brute_judge(u) for i, u in enumerate(urls)}
-    for max_bits in (urlfilter.MAX_FILTER_BITS, 1):  # the cascade, and the join for a list beyond the bound
-        got = urlfilter.judge(pages, rules, max_bits=max_bits).collect()
+    for part_bits in (urlfilter.PART_BITS, 64):  # levels of one part and of several
+        got = urlfilter.judge(pages, rules, part_bits=part_bits).collect()
         assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got} == want
     assert urlfilter.judge(pages.limit(0), rules).count() == 0
     assert {r["verdict"] for r in urlfilter.judge(pages, rules.limit(0)).collect()} == {"allow"}
@@ -254,10 +254,29 @@ def test_url_cascade_is_exact(spark):
 def test_cascade_levels_have_no_wrong_member(spark):
     universe = spark.range(20_000).select(F.col("id").cast("string").alias("key"))
     listed = universe.filter("key % 7 = 0")
-    cascade = urlfilter.Cascade.fit(universe, listed)
-    assert len(cascade.levels) > 1
-    wrong = universe.filter(cascade.contains(F.col("key")) != (F.col("key") % 7 == 0))
-    assert wrong.count() == 0
+    for part_bits, parts in ((urlfilter.PART_BITS, 1), (1024, 28)):
+        cascade = urlfilter.Cascade.fit(universe, listed, part_bits)
+        assert len(cascade.levels) > 1 and cascade.levels[0].parts == parts
+        # no part is larger than it may be, and all of a level's words are there
+        sizes = cascade.levels[0].table.select(F.size("words").alias("n")).collect()
+        assert len(sizes) == parts and {r["n"] for r in sizes} == {cascade.levels[0].bits // 64}
+        assert cascade.levels[0].bits <= part_bits
+        assert cascade.mark(universe, "listed").filter(F.col("listed") != (F.col("key") % 7 == 0)).isEmpty()
+
+
+def test_long_block_lists_of_many_shapes(spark):
+    rules = [(f"{'s.' * (i % 5)}h{i}.net/{'p' * (i % 9)}", "allow" if i % 3 else "block") for i in range(2_000)]
+    urls = [f"http://www.{r}x" for r, _ in rules] + ["http://hot.h1.net/pq"] * 3_000
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urlfilter.judge(pages, spark.createDataFrame(rules, "rule string, action string"), part_bits=4096).collect()
+    assert len(got) == len(urls)
+    known = dict(rules)
+    for r in got:
+        want = rules[r["page_id"]][0] if r["page_id"] < len(rules) else "s.h1.net/p"
+        if r["page_id"] < len(rules):
+            assert (r["rule"], r["verdict"]) == (want, known[want])
+        else:
+            assert (r["rule"], r["verdict"]) == (None, "allow")
 
 
 # 5 ----------------------------------------------------------------------------------------------------------------
@@ -583,6 +602,18 @@ def test_real_headers_tags_and_licence_files_are_named(spark):
              "e.c": ("// SPDX-License-Identifier: MIT\n" + prose(5, 40), "MIT"),
              "f.c": ("# SPDX-License-Identifier: GPL-2.0-or-later\n" + prose(6, 40), "GPL-2.0"),
              "g.c": ("/* SPDX-License-Identifier: Apache-2.0 OR MIT */", "Apache-2.0 OR MIT"),
+             "g1.c": ("# SPDX-License-Identifier: (mit or Apache-2.0)\n", "MIT OR Apache-2.0"),
+             "g2.c": ("# SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 */", "GPL-2.0 WITH Classpath-exception-2.0"),
+             "g3.c": ("# SPDX-License-Identifier: (MIT AND (BSD-3-Clause OR ISC)) and more", "MIT AND (BSD-3-Clause OR ISC)"),
+             "g4.c": ("SPDX-License-Identifier: LicenseRef-Foo-1.0", "LicenseRef-Foo-1.0"),
+             "g5.c": ("SPDX-License-Identifier: <id>\n" + prose(11, 30) + "\n# SPDX-License-Identifier: Zlib", "Zlib"),
+             "t1.md": ("Every file has an SPDX-License-Identifier: line at its top.", None),
+             "t2.md": ("SPDX-License-Identifier: (MIT OR", "MIT"), "t3.md": ("SPDX-License-Identifier: ((", None),
+             "n1.md": ("This tool is not licensed under the MIT License.", None),
+             "n2.md": ("It was never released under the MIT License.", None),
+             "n3.md": ("This part is not licensed under the ISC License. The rest is licensed under the MIT License.", "MIT"),
+             "v1.md": ("Licensed under the Apache License, Version 1.1", None),
+             "v2.md": ("Licensed under the Apache License, Version 2", "Apache-2.0"),
              "h/LICENSE": (ISC, "ISC"), "i/LICENSE": (BSD2, "BSD-2-Clause"),
              "j/LICENSE": (BSD2.replace("THIS SOFTWARE IS", clause, 1), "BSD-3-Clause"),
              "k.c": (prose(7, 200) + " this file is\nreleased under\nthe MIT\nLicense " + prose(8, 200), "MIT"),
