@@ -65,6 +65,7 @@ PIVOTS = 48
 SPREAD = 4
 DEPTH = 2
 FIRST = 6  # one in so many shingles comes first in the order
+COUNTED = 40  # bits of a shingle's hash by which it is counted
 BATCH_SHINGLES = 500_000
 CACHE_WORDS = 1_000_000
 
@@ -139,13 +140,17 @@ def points(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataF
 def first_regions(rows: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(region, row, n): the regions of single shingles that two points or more are replicated to.
 
-    Shingles are counted over all documents, copies too: any count makes an order. Only
-    ids and hashes are shuffled with them; ``reps`` has the row of each point.
+    Shingles are counted over all documents, copies too: any count makes an order, also
+    one by the upper ``COUNTED`` bits of a hash, which is all that is shuffled to count
+    them. A shingle counted once is held by one document alone; one that shares these
+    bits with another's is merely not left out here. Only ids and hashes are shuffled
+    with the counts; ``reps`` has the row of each point.
     """
     need = F.expr(f"n - cast(ceil({percent} * n / 100.0) as int) + 1")
     held = rows.select("row", F.explode("first").alias("region"))
-    shared = held.groupBy("region").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    own = held.join(shared, "region").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("held", "region"))).alias("own"))
+    upper = F.shiftrightunsigned("region", 64 - COUNTED)
+    shared = held.groupBy(upper.alias("upper")).agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    own = held.join(shared, upper == F.col("upper")).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("held", "region"))).alias("own"))
     meta = rows.select("row", "n", F.size("first").alias("early")).join(reps, "row")
     own = own.join(meta, "row")
     # shingles that no other document has come before the shared ones

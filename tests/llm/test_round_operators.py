@@ -317,3 +317,21 @@ def test_join_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.join(none).collect() == []
     assert _joined(ngram_join.join(spark.createDataFrame([(3, None)], none.schema))) == [(3, 0, 3)]
+
+
+@pytest.mark.parametrize("bits", [1, 6, 40])
+def test_regions_counted_by_some_bits_of_a_shingle_lose_no_link(spark, monkeypatch, bits):
+    from shoplake.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "COUNTED", bits)
+    rng = random.Random(bits)
+    docs = []
+    for group in range(12):
+        base = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(3, 90))]
+        for _ in range(3):
+            near = list(base)
+            if rng.random() < 0.6:
+                near[rng.randrange(len(near))] = f"x{rng.randrange(5)}"
+            docs.append((len(docs), " ".join(near)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert _joined(ngram_join.join(df)) == brute_join(docs)
