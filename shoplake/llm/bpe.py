@@ -34,15 +34,16 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import shipped
+from shoplake.llm.common import shipped, some_rows
 
-BLOCK_CHARS = 24_000_000
-CACHE_WORDS = 1_000_000
+BLOCK_CHARS = 8_000_000
+CACHE_WORDS = 200_000
 NONE = np.int64(1 << 40)
 # A character that stands for its class where the two pattern engines know other Unicode versions.
 STAND_INS = ((r"\p{L}", "a"), (r"\p{N}", "1"), (r"\s", "\u2003"))
@@ -263,11 +264,11 @@ class Encoder:
             self.reset()
 
 
-def _blocks(batches: Iterator[pd.DataFrame], encoder: Encoder, block_chars: int) -> Iterator[tuple]:
+def _blocks(batches: Iterator[pa.RecordBatch], encoder: Encoder, block_chars: int) -> Iterator[tuple]:
     """(key, ids) of every row, a block at a time."""
     keys, rows, chars = [], [], 0
-    for pdf in batches:
-        for key, text in zip(pdf["key"], pdf["text"], strict=True):
+    for part in some_rows(batches):
+        for key, text in zip(part["key"], part["text"], strict=True):
             keys.append(key)
             rows.append(encoder.rows(text))
             chars += len(text)
@@ -286,12 +287,14 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
     """
     last = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>" + ", text string" * decoded
     schema = f"doc_id long, n_tokens long, {last}"
+    kinds = [("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digest else (
+        [("ids", pa.list_(pa.int32()))] + [("text", pa.string())] * decoded)
+    fields = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *kinds])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path, pattern)
         out, size = [], 0
-        for key, ids in _blocks(batches, Encoder(vocab), block_chars):
-            doc = None if pd.isna(key) else int(key)
+        for doc, ids in _blocks(batches, Encoder(vocab), block_chars):
             if digest:
                 out.append((doc, len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                             hashlib.sha256(decode(ids, vocab)).hexdigest()))
@@ -299,13 +302,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", digest:
                 out.append((doc, len(ids), ids.astype(np.int32), *[decode(ids, vocab).decode("utf-8", "replace")] * decoded))
                 size += len(ids)
             if size >= 500_000 or len(out) >= 20_000:
-                yield _frame(out, schema)
+                yield _batch(out, fields)
                 out, size = [], 0
         if out:
-            yield _frame(out, schema)
+            yield _batch(out, fields)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return shipped(rows).mapInPandas(run, schema)
+    return shipped(rows).mapInArrow(run, schema)
 
 
 def decode_table(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -321,10 +324,8 @@ def decode_table(rows: DataFrame, path: str, pattern: str, ids: str = "ids", tex
     return shipped(rows).select(*names, read(F.col(ids)).alias(text))
 
 
-def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
-    out["doc_id"] = out["doc_id"].astype("Int64")
-    return out
+def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(dict(zip(fields.names, zip(*rows, strict=True), strict=True)), fields)
 
 
 def decode(ids: np.ndarray, vocab: Vocabulary) -> bytes:

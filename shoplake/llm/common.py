@@ -5,14 +5,16 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 import shoplake
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplake.session import scratch_path
 
-
+BITS = 1 << 24
 _SHIPPED: set[str] = set()
 
 
@@ -56,6 +58,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[dict[str, list]]:
+    """The columns of a task's rows, ``rows`` at a time: a batch's texts are never Python objects all at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows).to_pydict()
+
+
+def among(docs: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` has a value of ``chosen``, and few others: by ``BITS`` bits, broadcast as words of 64.
+
+    Keeps most rows out of a shuffle; what comes through is joined exactly.
+    """
+    bit = F.pmod(F.xxhash64(column), F.lit(BITS))
+    words = chosen.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_mask"))
+    known = docs.withColumn("_bit", bit).withColumn("_word", F.expr("_bit div 64")).join(F.broadcast(words), "_word")
+    return known.filter("shiftright(_mask, cast(_bit % 64 as int)) & 1 = 1").select(*docs.columns)
+
+
 def text_or_empty(name: str) -> Column:
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -34,20 +34,21 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import fresh_name, shipped, staged, text_or_empty
+from shoplake.llm.common import among, fresh_name, shipped, some_rows, staged, text_or_empty
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
 LAST_ID = (1 << 63) - 1  # stands for a null doc_id: ordered last
 BATCH_SHINGLES = 200_000
+BATCH_TEXTS = 5_000
 THROWS = 200_000
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 100_000
 
 _RNG = np.random.default_rng(20240607)
 _ORDER = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -165,54 +166,58 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 SIGNATURES = "doc_id long, row long, raw string, digest binary, n int, bands array<long>"
+_SIGNATURES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("raw", pa.string()), ("digest", pa.binary()), ("n", pa.int32()),
+                         ("bands", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("set", pa.list_(pa.int64()))])
 
 
 def signatures(docs: DataFrame, text: str = "text", bands: int = BANDS, rows: int = ROWS, counts: bool = False) -> DataFrame:
     """doc_id, row, the text's digest, the number of its shingles and its band keys (none for a text without words)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for pdf in batches:
-            for doc, row, raw, body in zip(pdf["doc_id"], pdf["row"], pdf["raw"], pdf["text"], strict=True):
+        for part in some_rows(batches):
+            for doc, row, raw, body in zip(part["doc_id"], part["row"], part["raw"], part["text"], strict=True):
                 words = normal_words(body)
                 elements, weights = shingles(words, counts)
                 digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                held.append((int(doc), int(row), raw, digest, elements, weights))
+                held.append((doc, row, raw, digest, elements, weights))
                 size += len(elements)
-                if size >= BATCH_SHINGLES:
+                if size >= BATCH_SHINGLES or len(held) >= BATCH_TEXTS:
                     yield flush(held)
                     held, size = [], 0
         if held:
             yield flush(held)
+        _HASHES.clear()  # a worker goes on to other tasks
 
-    def flush(held: list) -> pd.DataFrame:
+    def flush(held: list) -> pa.RecordBatch:
         full = [h for h in held if len(h[4])]
         keys = iter(())
         if full:
             sig = dart_signatures(np.concatenate([h[4] for h in full]), np.concatenate([h[5] for h in full]),
                                   np.array([len(h[4]) for h in full]), bands * rows)
             keys = iter(band_keys(sig, bands, rows))
-        return pd.DataFrame({"doc_id": [h[0] for h in held], "row": [h[1] for h in held], "raw": [h[2] for h in held],
-                             "digest": [h[3] for h in held], "n": [len(h[4]) for h in held],
-                             "bands": [next(keys) if len(h[4]) else [] for h in held]})
+        return pa.RecordBatch.from_pydict({
+            "doc_id": [h[0] for h in held], "row": [h[1] for h in held], "raw": [h[2] for h in held],
+            "digest": [h[3] for h in held], "n": [len(h[4]) for h in held],
+            "bands": [next(keys) if len(h[4]) else [] for h in held]}, _SIGNATURES)
 
     body = text_or_empty(text)
     rows_in = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"),
                           F.monotonically_increasing_id().alias("row"), F.md5(body.cast("binary")).alias("raw"), body.alias("text"))
-    return shipped(rows_in).mapInPandas(run, SIGNATURES)
+    return shipped(rows_in).mapInArrow(run, SIGNATURES)
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
     """(node, text) to (node, set): the distinct shingle hashes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 200):
-                part = pdf.iloc[at:at + 200]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "row": part["row"], "set": [
-                    shingles(normal_words(t))[0].view(np.int64) for t in part["text"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in some_rows(batches):
+            yield pa.RecordBatch.from_pydict({"doc_id": part["doc_id"], "row": part["row"], "set": [
+                shingles(normal_words(t))[0].view(np.int64) for t in part["text"]]}, _SETS)
+        _HASHES.clear()
 
-    out = shipped(texts.select("node.doc_id", "node.row", "text")).mapInPandas(run, "doc_id long, row long, set array<long>")
+    out = shipped(texts.select("node.doc_id", "node.row", "text")).mapInArrow(run, "doc_id long, row long, set array<long>")
     return out.select(F.struct("doc_id", "row").alias("node"), "set")
 
 
@@ -280,8 +285,8 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY,
     body = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"),
                        F.md5(text_or_empty(text).cast("binary")).alias("raw"), text_or_empty(text).alias("text"))
     # rows with the same doc_id and text are one text here
-    chosen = own.groupBy("doc_id", "raw").agg(F.min("row").alias("row"))
-    sets = staged(shingle_sets(body.join(chosen, ["doc_id", "raw"]).select(node.alias("node"), "text"))
+    chosen = staged(own.groupBy("doc_id", "raw").agg(F.min("row").alias("row")), "dart_chosen")
+    sets = staged(shingle_sets(among(body, chosen, "raw").join(chosen, ["doc_id", "raw"]).select(node.alias("node"), "text"))
                   .dropDuplicates(["node"]), "dart_sets")
     # a shingle that no other text has is in no overlap: what a text can share bounds its links exactly
     alone = (sets.select(F.col("node.row").alias("row"), F.explode("set").alias("shingle")).groupBy("shingle")

@@ -335,3 +335,63 @@ def test_regions_counted_by_some_bits_of_a_shingle_lose_no_link(spark, monkeypat
             docs.append((len(docs), " ".join(near)))
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert _joined(ngram_join.join(df)) == brute_join(docs)
+
+
+@pytest.mark.parametrize("operator", ["neardup"])
+def test_workers_keep_little_of_a_batch_and_nothing_after_it(spark, monkeypatch, operator):
+    import importlib
+    import tracemalloc
+
+    import pyarrow as pa
+
+    module = importlib.import_module(f"shoplake.llm.{operator}")
+    caught = {}
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            caught["arrow"] = run
+
+        def mapInPandas(self, run, schema):
+            caught["pandas"] = run
+
+    monkeypatch.setattr(module, "shipped", lambda df: Rows())
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    (module.signatures if operator == "neardup" else module.points)(docs)
+    texts = [" ".join(f"w{i * 50 + j}" for j in range(50)) for i in range(8_000)]  # 400,000 words
+    columns = {"doc_id": list(range(8_000)), "row": list(range(8_000)), "raw": ["r"] * 8_000, "text": texts}
+    if operator == "ngram_join":
+        columns = {"key": list(map(str, columns["row"])), "row": columns["row"], "raw": columns["raw"], "data": [t.encode() for t in texts]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    del columns, texts
+    tracemalloc.start()
+    try:
+        kind, run = caught.popitem()
+        rows = 0
+        for out in run(iter([batch if kind == "arrow" else batch.to_pandas()])):
+            rows += len(out) if kind == "pandas" else out.num_rows
+            out = None
+        left, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert rows == 8_000
+    assert peak < 64e6 and left < 2e6
+
+
+def test_only_texts_that_share_a_bucket_are_shuffled_for_their_sets(spark, monkeypatch):
+    from shoplake.llm import neardup
+
+    words = random.Random(2)
+    texts = [" ".join(f"w{words.randrange(10**9)}" for _ in range(12)) for _ in range(300)]
+    texts += [texts[0] + " more", texts[1]]
+    found, staged = {}, neardup.staged
+
+    def count(df, name):
+        if name == "dart_sets":
+            found["plan"] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(neardup, "staged", count)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()}
+    assert got == {i: i for i in range(300)} | {300: 0 if got[300] == 0 else 300, 301: 1}
+    assert "_mask" in found["plan"]
