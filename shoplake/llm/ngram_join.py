@@ -49,11 +49,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import shipped, staged, text_or_empty
+from shoplake.llm.common import among, shipped, some_rows, staged, text_or_empty
 from shoplake.llm.neardup import components
 
 WORDS = 3
@@ -67,7 +68,8 @@ DEPTH = 2
 FIRST = 6  # one in so many shingles comes first in the order
 COUNTED = 40  # bits of a shingle's hash by which it is counted
 BATCH_SHINGLES = 500_000
-CACHE_WORDS = 1_000_000
+BATCH_TEXTS = 5_000
+CACHE_WORDS = 100_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ORDER = np.random.default_rng(20250311).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -107,34 +109,41 @@ def window(n: int, percent: int) -> int:
 
 
 POINTS = "key string, row long, raw string, digest binary, n int, first array<long>, further array<long>"
+_POINTS = pa.schema([("key", pa.string()), ("row", pa.int64()), ("raw", pa.string()), ("digest", pa.binary()), ("n", pa.int32()),
+                     ("first", pa.list_(pa.int64())), ("further", pa.list_(pa.int64()))])
+_SETS = pa.schema([("row", pa.int64()), ("set", pa.list_(pa.int64()))])
 
 
 def points(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
     """A row per document: id, row, md5 of the text, the set's digest and size, its shingles that come first in the order."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            held, size = [], 0
-            for key, row, raw, data in zip(pdf["key"], pdf["row"], pdf["raw"], pdf["data"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in some_rows(batches):
+            for key, row, raw, data in zip(part["key"], part["row"], part["raw"], part["data"], strict=True):
                 found = shingle_set(data)
                 early = found % FIRST == 0
                 first, late = found[early], found[~early]
                 if 100 * len(found) < percent * (len(found) + 1):  # too few to link with any other set
                     first = late = found[:0]
                 lack = max(0, window(len(found), percent) - len(first))
-                held.append((key, int(row), raw, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), len(found),
-                             first, late[:lack]))
-                size += len(first)
-                if size >= BATCH_SHINGLES:
-                    yield pd.DataFrame(held, columns=columns)
+                held.append((key, row, raw, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), len(found),
+                             first, late[:lack].copy()))  # a view would keep all of the text's shingles
+                size += len(first) + lack
+                if size >= BATCH_SHINGLES or len(held) >= BATCH_TEXTS:
+                    yield flush(held)
                     held, size = [], 0
-            yield pd.DataFrame(held, columns=columns)
+        if held:
+            yield flush(held)
+        _HASHES.clear()  # a worker goes on to other tasks
+
+    def flush(held: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(dict(zip(_POINTS.names, zip(*held, strict=True), strict=True)), _POINTS)
 
-    columns = [c.split()[0] for c in POINTS.split(", ")]
     body = text_or_empty(text)
     rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("key"), F.monotonically_increasing_id().alias("row"),
                        F.md5(body.cast("binary")).alias("raw"), body.cast("binary").alias("data"))
-    return shipped(rows).mapInPandas(run, POINTS)
+    return shipped(rows).mapInArrow(run, POINTS)
 
 
 def first_regions(rows: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -402,21 +411,6 @@ def region_links(regions: DataFrame, sets: DataFrame, links: DataFrame, percent:
     return found
 
 
-BITS = 1 << 24
-
-
-def among(docs: DataFrame, chosen: DataFrame, column: str) -> DataFrame:
-    """The rows whose ``column`` has a value of ``chosen``, and few others: by ``BITS`` bits, broadcast as words of 64.
-
-    Keeps most rows out of a shuffle; what comes through is joined exactly.
-    """
-    bit = F.pmod(F.xxhash64(column), F.lit(BITS))
-    words = chosen.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("_word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_mask"))
-    known = docs.withColumn("_bit", bit).withColumn("_word", F.expr("_bit div 64")).join(F.broadcast(words), "_word")
-    return known.filter("shiftright(_mask, cast(_bit % 64 as int)) & 1 = 1").select(*docs.columns)
-
-
 def _union(spark: SparkSession, tables: list[DataFrame]) -> DataFrame:
     out = spark.createDataFrame([], LINKS)
     for t in tables:
@@ -434,11 +428,10 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     live = rows.select("row", "key", "raw").join(regions.select("row").distinct(), "row").select(
         "row", "raw", F.coalesce("key", F.lit("")).alias("key"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for at in range(0, len(pdf), 200):
-                part = pdf.iloc[at:at + 200]
-                yield pd.DataFrame({"row": part["row"], "set": [shingle_set(t) for t in part["data"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in some_rows(batches):
+            yield pa.RecordBatch.from_pydict({"row": part["row"], "set": [shingle_set(t) for t in part["data"]]}, _SETS)
+        _HASHES.clear()
 
     body = text_or_empty(text)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key"),
@@ -446,7 +439,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     wanted = live.groupBy("key", "raw").agg(F.min("row").alias("row"))
     wanted = staged(wanted, "ngram_wanted")
     texts = among(texts, wanted, "raw").join(wanted, ["key", "raw"])
-    found = shipped(texts.select("row", "data")).mapInPandas(run, "row long, set array<long>")
+    found = shipped(texts.select("row", "data")).mapInArrow(run, "row long, set array<long>")
     sets = staged(found.dropDuplicates(["row"]), "ngram_sets")
     links, stars = star_links(regions, sets, percent)
     links = staged(links, "ngram_links")

@@ -337,7 +337,7 @@ def test_regions_counted_by_some_bits_of_a_shingle_lose_no_link(spark, monkeypat
     assert _joined(ngram_join.join(df)) == brute_join(docs)
 
 
-@pytest.mark.parametrize("operator", ["neardup"])
+@pytest.mark.parametrize("operator", ["neardup", "ngram_join"])
 def test_workers_keep_little_of_a_batch_and_nothing_after_it(spark, monkeypatch, operator):
     import importlib
     import tracemalloc
