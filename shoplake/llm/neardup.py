@@ -253,15 +253,13 @@ def _prefix_pairs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFr
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the least node of each node's component, by label spreading and pointer jumping."""
-    both = staged(links.union(links.select("b", "a")).toDF("a", "b").distinct(), "links")
-    labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(
-        F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    # every node is its own neighbour too: one grouping gives its old label and the least near it
+    ends = F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"])).alias("end")
+    both = staged(links.select(ends).select("end.*").distinct(), "links")
+    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                .groupBy("a").agg(F.min("label").alias("near")))
-        spread = labels.join(near, labels["node"] == near["a"], "left").select(
-            "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        spread = staged(spread, "labels")
+        spread = (both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
+                  .agg(F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"), F.min("label").alias("label")))
         jump = spread.select(F.col("node").alias("label"), F.col("label").alias("top"))
         jumped = spread.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("top", "label")).alias("label"))

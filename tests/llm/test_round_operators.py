@@ -377,6 +377,26 @@ def test_workers_keep_little_of_a_batch_and_nothing_after_it(spark, monkeypatch,
     assert peak < 64e6 and left < 2e6
 
 
+def test_components_of_chains_rings_and_stars_match_union_find(spark):
+    from shoplake.llm.neardup import components
+
+    rng = random.Random(8)
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200 + i, 200 + (i + 1) % 17) for i in range(17)]
+    links += [(rng.randrange(300, 360), rng.randrange(300, 360)) for _ in range(35)] + [(500, 500), (7, 3)]
+    top = {x: x for link in links for x in link}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        top[b] = a
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["node"]: r["label"] for r in got} == {x: root(x) for x in top} and len(got) == len(top)
+
+
 def test_only_texts_that_share_a_bucket_are_shuffled_for_their_sets(spark, monkeypatch):
     from shoplake.llm import neardup
 
