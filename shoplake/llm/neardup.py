@@ -18,8 +18,10 @@ Work on groups stays linear: texts that are equal word for word are collapsed fi
 In every bucket one leader is compared with the other members, the text that shares
 buckets with the most others: it lies in the middle of its group, so a large group of
 near copies is joined up at once. Texts that are left in a bucket with another class
-are compared exactly by prefix filtering: similar sets share one of their rarest
-shingles. Shingles that no other text has can't be in an overlap; where too many are,
+meet by prefix filtering, as similar sets share one of their rarest shingles, and are
+compared exactly within tasks of bounded size, which give each text's number of links
+and the links that join classes: no pair of a group becomes a row.
+Shingles that no other text has can't be in an overlap; where too many are,
 a pair is ruled out before it is formed. So there is no cap on buckets or partners,
 and no link between texts of different classes that share a band is lost.
 
@@ -34,6 +36,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -49,6 +52,8 @@ BATCH_SHINGLES = 200_000
 BATCH_TEXTS = 5_000
 THROWS = 200_000
 CACHE_WORDS = 100_000
+LEAF = 500_000  # shingles and
+CROWD = 1500  # texts that one task compares across classes
 
 _RNG = np.random.default_rng(20240607)
 _ORDER = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -230,25 +235,98 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common >= similarity * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
-def _prefix_pairs(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of texts of different classes that can be similar enough, by their rarest shingles.
+def _prefix_regions(live: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Regions (region, node, n, label, regions) in which all texts of different classes meet that can be similar enough.
 
     Two sets of similarity t share one of the ``n - ceil(t n) + 1`` shingles of each that
-    come first in any common order; with the rarest first, few others have them.
+    come first in any common order; with the rarest first, few others have them. Such shingles
+    with one hub, the text that has most of them, are one region; ``regions`` are all of a text's.
     """
     rows = live.join(sets, "node").select("node", "n", "label", F.explode("set").alias("shingle"))
     texts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
     order = Window.partitionBy("node").orderBy("texts", "shingle")
     first = (rows.join(texts, "shingle").withColumn("at", F.row_number().over(order))
              .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).filter("texts > 1"))
-    first = staged(first.select("shingle", "node", "n", "at", "label"), "dart_prefixes")
-    other = first.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "at", "label")])
-    # before a pair's first common shingle nothing is shared, so enough must be left after it on both sides
-    least = similarity / (1 + similarity) * (F.col("n") + F.col("n_b")) - 1e-6
-    left = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")) + 1
-    pairs = first.join(other, "shingle").filter(
-        (F.col("node") < F.col("node_b")) & (F.col("label") != F.col("label_b")) & (left >= least))
-    return pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+    first = staged(first.select("shingle", "node", "n", "label"), "dart_prefixes")
+    mixed = first.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("shingle")
+    known = staged(first.join(mixed, "shingle"), "dart_mixed")
+    reach = known.groupBy("node").agg(F.count(F.lit(1)).alias("reach"))
+    hubs = known.join(reach, "node").groupBy("shingle").agg(F.max(F.struct("reach", "node"))["node"]["row"].alias("region"))
+    regions = staged(known.join(hubs, "shingle").select("region", "node", "n", "label").distinct(), "dart_regions")
+    return regions.join(regions.groupBy("node").agg(F.array_sort(F.collect_list("region")).alias("regions")), "node")
+
+
+ACROSS = "doc_id long, row long, doc_b long, row_b long, links long"
+
+
+def _block_links(pdf: pd.DataFrame, similarity: float) -> list[tuple]:
+    """Links of one task's texts across classes: how many each text has (row_b: -1), and those that join classes.
+
+    A pair that meets in several regions is counted in the first.
+    """
+    from shoplake.llm.ngram_join import _flat, _Joined, overlaps  # that module imports this one
+
+    pdf = pdf.assign(n=pdf["set"].map(len)).sort_values("n", kind="stable")
+    region, sided = int(pdf["region"].iloc[0]), bool(pdf["sided"].iloc[0])
+    n, label, side, doc, row = (pdf[c].to_numpy() for c in ("n", "label", "side", "doc_id", "row"))
+    regions = [set(r) for r in pdf["regions"]]
+    flat, ends, count = _flat([np.asarray(s, np.int64) for s in pdf["set"]])
+    joined, mark, found = _Joined(label), np.zeros(count, np.int64), np.zeros(len(pdf), np.int64)
+    upto = np.searchsorted(similarity * n - 1e-6, n, side="right")  # the larger ones that fit
+    for i in range(len(pdf)):
+        later = np.arange(i + 1, upto[i])
+        later = later[label[later] != label[i]]
+        if sided:
+            later = later[side[later] != side[i]]
+        if not len(later):
+            continue
+        own = flat[ends[i]:ends[i + 1]]
+        mark[own] = 1
+        common = overlaps(mark, flat, ends, later)
+        mark[own] = 0
+        near = later[common >= similarity * (n[later] + n[i] - common)]
+        if len(regions[i]) > 1:
+            near = np.array([j for j in near.tolist() if min(regions[i] & regions[j]) == region], np.int64)
+        found[i] += len(near)
+        found[near] += 1
+        joined.add(i, near)
+    return [(doc[i], row[i], -1, -1, found[i]) for i in np.flatnonzero(found).tolist()] + [
+        (doc[i], row[i], doc[j], row[j], 0) for i, j in joined.links]
+
+
+def _across(regions: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """What ``_block_links`` finds in the regions, two blocks a task; blocks of one and the same class don't meet.
+
+    No pair of a region becomes a row: a task compares its texts in place.
+    """
+    parts = F.greatest(F.ceil(2 * F.col("total") / LEAF), F.ceil(2 * F.col("held") / CROWD)).cast("int")
+    sizes = [F.count(F.lit(1)).alias("held"), F.sum("n").alias("total")]
+    large = staged(regions.groupBy("region", "label").agg(*sizes).filter(parts > 1)
+                   .select("region", "label", F.col("label.row").alias("class"), parts.alias("parts")), "dart_large")
+    dealt = regions.join(large, ["region", "label"], "left")
+    small = dealt.filter("class is null").groupBy("region").agg(*sizes).select("region", parts.alias("others"))
+    dealt = dealt.join(small, "region", "left").withColumn("block", F.struct(
+        F.coalesce("class", F.lit(-1).cast("long")).alias("class"),
+        F.pmod(F.xxhash64("node.row"), F.coalesce("parts", "others")).cast("int").alias("part")))
+    dealt = staged(dealt.select("region", "node", "n", "label", "regions", "block"), "dart_dealt")
+    blocks = dealt.groupBy("region", "block").agg(*sizes)
+    one, two = (blocks.select("region", F.col("block").alias(c), F.col("total").alias(f"total_{c}")) for c in ("one", "two"))
+    tasks = one.join(two, "region").filter(
+        (F.col("one") < F.col("two")) & ((F.col("one.class") == -1) | (F.col("one.class") != F.col("two.class")))
+        | (F.col("one") == F.col("two")) & (F.col("one.class") == -1))
+    tasks = staged(tasks.withColumn("task", F.monotonically_increasing_id()), "dart_tasks")
+    lots = (tasks.agg(F.sum(F.col("total_one") + F.col("total_two"))).first()[0] or 0) // LEAF + 1
+    sides = F.explode(F.array_distinct(F.array("one", "two"))).alias("block")
+    members = dealt.join(tasks.select("region", "task", (F.col("one") != F.col("two")).alias("sided"), "two", sides), ["region", "block"])
+    rows = members.join(sets, "node").select(
+        F.pmod(F.xxhash64("task"), F.lit(lots)).alias("lot"), "task", "region", "sided", "node.doc_id", "node.row",
+        F.col("label.row").alias("label"), (F.col("block") == F.col("two")).cast("int").alias("side"), "regions", "set")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [x for _, part in pdf.groupby("task", sort=False) for x in _block_links(part, similarity)]
+        return pd.DataFrame(found, columns=[c.split()[0] for c in ACROSS.split(", ")]).astype("int64")
+
+    return shipped(rows).groupBy("lot").applyInPandas(run, ACROSS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -260,7 +338,8 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         spread = (both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
                   .agg(F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"), F.min("label").alias("label")))
-        jump = spread.select(F.col("node").alias("label"), F.col("label").alias("top"))
+        # by the labels of before: those of this round would have the join made twice
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("top"))
         jumped = spread.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("top", "label")).alias("label"))
         labels = staged(jumped, "labels")
@@ -311,12 +390,13 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY,
         "key", "node", "n", F.coalesce("label", "node").alias("label"))
     mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("key")
     live = staged(rest.join(mixed, "key").select("node", "n", "label").distinct(), "dart_live")
-    more = staged(_verified(_prefix_pairs(live, sets, similarity), sets, similarity), "dart_links")
-    links = links.union(more)
-    if not more.isEmpty():
-        labels = components(links)
+    more = staged(_across(_prefix_regions(live, sets, similarity), sets, similarity), "dart_across")
+    joins = more.filter("row_b >= 0").select(node.alias("a"), F.struct(F.col("doc_b").alias("doc_id"), F.col("row_b").alias("row")).alias("b"))
+    if not joins.isEmpty():
+        labels = components(links.union(joins))
     out = sig.select("doc_id", "row", "raw", "digest").join(texts.select("digest", "node", "copies"), "digest")
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("links"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.lit(1).cast("long").alias("links"))
+    degree = ends.union(more.filter("row_b < 0").select(node.alias("node"), "links")).groupBy("node").agg(F.sum("links").alias("links"))
     out = out.join(labels, "node", "left").join(degree, "node", "left")
     out = out.withColumn("label", F.coalesce("label", "node")).withColumn(
         "links", F.coalesce("links", F.lit(0).cast("long")))

@@ -415,3 +415,77 @@ def test_only_texts_that_share_a_bucket_are_shuffled_for_their_sets(spark, monke
     got = {r["doc_id"]: r["class_id"] for r in neardup.classes(df).collect()}
     assert got == {i: i for i in range(300)} | {300: 0 if got[300] == 0 else 300, 301: 1}
     assert "_mask" in found["plan"]
+
+
+def edited(n: int, seed: int, length: int = 150) -> list[str]:
+    """Copies of one text with up to three words replaced anywhere, and some with four: too far from the middle, but near a few."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+    texts = [" ".join(base)]
+    while len(texts) < n:
+        words = list(base)
+        for at in rng.sample(range(length), rng.choice((1, 1, 2, 2, 2, 3, 3, 4))):
+            words[at] = f"edit{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_a_group_of_near_copies_makes_no_rows_by_the_square_of_its_size(spark, monkeypatch):
+    from shoplake.llm import neardup
+
+    texts = edited(1000, 5) + [" ".join(f"v{i}_{j}" for j in range(30)) for i in range(5)]
+    sets = [{tuple(w[j:j + 5]) for j in range(len(w) - 4)} for w in map(str.split, texts)]
+    near = [[] for _ in texts]
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        common = len(sets[i] & sets[j])
+        if common >= 0.8 * (len(sets[i]) + len(sets[j]) - common):
+            near[i].append(j)
+            near[j].append(i)
+    expected = {}
+    for i in range(len(texts)):
+        todo = [i]
+        while todo:
+            if (j := todo.pop()) not in expected:
+                expected[j] = i
+                todo += near[j]
+    made, verified = [], neardup._verified
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = neardup.classes(df).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == expected
+    assert sum(made) <= 8 * len(texts)
+    assert all(r["links"] <= len(near[r["doc_id"]]) for r in got)
+    # the links of a text don't hang on how many texts a task compares
+    monkeypatch.setattr(neardup, "CROWD", 30)
+    monkeypatch.setattr(neardup, "LEAF", 6_000)
+    assert sorted(neardup.classes(df).collect()) == sorted(got)
+
+
+def test_links_across_classes_are_counted_once_and_each_class_joined(spark):
+    import numpy as np
+    import pandas as pd
+
+    from shoplake.llm import neardup
+
+    rng = random.Random(3)
+    base = list(range(100))
+    sets = [sorted({*base, *range(1000, 1012)} - set(rng.sample(base, rng.randrange(12)))) for _ in range(40)]
+    label = [i % 3 if i < 30 else 100 + i for i in range(40)]
+    for sided in (False, True):
+        side = [i % 2 for i in range(40)]
+        regions = [[7, 9] if i % 4 else [5, 7] for i in range(40)]
+        pairs = [(i, j) for i in range(40) for j in range(i) if label[i] != label[j] and not (sided and side[i] == side[j])
+                 and len({*sets[i]} & {*sets[j]}) >= 0.8 * len({*sets[i]} | {*sets[j]})
+                 and min({*regions[i]} & {*regions[j]}) == 7]
+        part = pd.DataFrame({"region": 7, "sided": sided, "doc_id": range(40), "row": range(40), "label": label,
+                             "side": side, "regions": regions, "set": [np.array(s) for s in sets]})
+        found = neardup._block_links(part, 0.8)
+        assert {r[1]: r[4] for r in found if r[3] < 0} == Counter(x for p in pairs for x in p)
+        joins = [(r[1], r[3]) for r in found if r[3] >= 0]
+        assert all((a, b) in pairs or (b, a) in pairs for a, b in joins)
+        assert 0 < len(joins) <= len(set(label)) - 1
