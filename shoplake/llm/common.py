@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shoplake.session import scratch_path
 
 BITS = 1 << 24
+PACK = 100_000
 _SHIPPED: set[str] = set()
 
 
@@ -54,6 +55,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` short rows at most, in as many partitions as these need (``PACK`` rows each), if it has more.
+
+    A task and a file cost as much for ten rows as for many, and a session may have any
+    number of shuffle partitions and not let Spark join them up.
+    """
+    return df.coalesce(rows // PACK + 1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import among, fresh_name, shipped, some_rows, staged, text_or_empty
+from shoplake.llm.common import among, fresh_name, packed, shipped, some_rows, staged, text_or_empty
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -330,11 +330,15 @@ def _across(regions: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label): the least node of each node's component, by label spreading and pointer jumping."""
+    """(node, label): the least node of each node's component, by label spreading and pointer jumping.
+
+    Each round writes its labels, in tasks and files by the number of links.
+    """
+    most = 4 * links.count()
     # every node is its own neighbour too: one grouping gives its old label and the least near it
     ends = F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x in "ab" for y in "ab"])).alias("end")
-    both = staged(links.select(ends).select("end.*").distinct(), "links")
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
+    both = staged(packed(links.select(ends).select("end.*").distinct(), most), "links")
+    labels = staged(packed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), most), "labels")
     while True:
         spread = (both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node"))
                   .agg(F.min(F.when(F.col("a") == F.col("b"), F.col("label"))).alias("old"), F.min("label").alias("label")))
@@ -342,7 +346,7 @@ def components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("top"))
         jumped = spread.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("top", "label")).alias("label"))
-        labels = staged(jumped, "labels")
+        labels = staged(packed(jumped, most), "labels")
         if labels.filter("label != old").isEmpty():
             return labels.select("node", "label")
 

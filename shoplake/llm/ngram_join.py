@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import among, shipped, some_rows, staged, text_or_empty
+from shoplake.llm.common import among, packed, shipped, some_rows, staged, text_or_empty
 from shoplake.llm.neardup import components
 
 WORDS = 3
@@ -172,7 +172,7 @@ def first_regions(rows: DataFrame, reps: DataFrame, percent: int = PERCENT) -> D
     core = F.expr(f"n - cast(ceil({2 * percent} * n / {100 + percent}.0) as int) + 1")
     every = staged(near.union(far).select("region", "row", "n", (F.col("before") + F.col("at") < core).alias("core")), "ngram_windows")
     live = every.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.max("core").alias("core")).filter("held > 1 and core")
-    return every.drop("core").join(live.select("region"), "region")
+    return packed(every.drop("core").join(live.select("region"), "region"), every.count())
 
 
 def similar(a: Column, b: Column, common: Column, percent: int) -> Column:
@@ -186,12 +186,13 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
 
 def star_links(regions: DataFrame, sets: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of each region's pivot, the point that shares most; and the regions with their pivot."""
+    most = regions.count()
     sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("held"))
     reach = regions.join(sizes, "region").groupBy("row").agg(F.sum("held").alias("reach"))
-    known = staged(regions.join(reach, "row"), "ngram_reach")
+    known = staged(packed(regions.join(reach, "row"), most), "ngram_reach")
     lead = known.groupBy("region").agg(F.max(F.struct("reach", "row", "n")).alias("pivot"))
-    known = staged(known.join(lead, "region").select("region", "row", "n", F.col("pivot.row").alias("pivot"),
-                                                    F.col("pivot.n").alias("pivot_n")), "ngram_stars")
+    known = known.join(lead, "region").select("region", "row", "n", F.col("pivot.row").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    known = staged(packed(known, most), "ngram_stars")
     pairs = known.filter((F.col("row") != F.col("pivot")) & _fits(F.col("n"), F.col("pivot_n"), percent)).select(
         F.col("pivot").alias("a"), F.col("row").alias("b")).distinct()
     left = sets.select(F.col("row").alias("b"), F.col("set").alias("set_b"))
@@ -209,16 +210,16 @@ def mixed(regions: DataFrame, labels: DataFrame) -> DataFrame:
     return known.join(open_, "region")
 
 
-def gathered(regions: DataFrame) -> DataFrame:
-    """The regions (region, row, n, label), all that have one hub as one: the hub of a region is its point with most regions.
+def gathered(regions: DataFrame, most: int) -> DataFrame:
+    """The regions (region, row, n, label; ``most`` rows), all that have one hub as one: the hub of a region is its point with most regions.
 
     Near copies share many shingles and mostly one hub, so a point's set is sent to few
     regions; the points of a gathered region all share a shingle with its hub.
     """
-    known = staged(regions, "ngram_mixed")
+    known = staged(packed(regions, most), "ngram_mixed")
     reach = known.groupBy("row").agg(F.count(F.lit(1)).alias("reach"))
     hubs = known.join(reach, "row").groupBy("region").agg(F.max(F.struct("reach", "row"))["row"].alias("hub"))
-    return known.join(hubs, "region").select(F.col("hub").alias("region"), "row", "n", "label").distinct()
+    return packed(known.join(hubs, "region").select(F.col("hub").alias("region"), "row", "n", "label").distinct(), known.count())
 
 
 class _Joined:
@@ -301,8 +302,8 @@ def _block_links(pdf: pd.DataFrame, percent: int, sided: bool) -> pd.DataFrame:
 def leaf_links(regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of small regions; a task joins several, one after another. Regions of the same points are joined once."""
     key = regions.groupBy("region").agg(F.array_sort(F.collect_list("row")).alias("rows"), F.sum("n").alias("total"))
-    once = staged(key.groupBy("rows").agg(F.min("region").alias("region"), F.first("total").alias("total"))
-                  .select("region", "total"), "ngram_leaves")
+    once = key.groupBy("rows").agg(F.min("region").alias("region"), F.first("total").alias("total")).select("region", "total")
+    once = staged(packed(once, regions.count()), "ngram_leaves")
     batches = (once.agg(F.sum("total")).first()[0] or 0) // LEAF + 1
     members = regions.join(once, "region").join(sets, "row").select(
         F.pmod(F.xxhash64("region"), F.lit(batches)).alias("batch"), "region", "row", "label", "set")
@@ -384,7 +385,8 @@ def region_links(regions: DataFrame, sets: DataFrame, links: DataFrame, percent:
     found, columns = [], ["region", "row", "n", "label"]
     for depth in range(DEPTH + 1):
         regions = staged(regions.select(*columns), "ngram_regions")
-        sizes = staged(regions.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total")), "ngram_sizes")
+        sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
+        sizes = staged(packed(sizes, regions.count()), "ngram_sizes")
         small = ((F.col("total") <= LEAF) & (F.col("held") <= CROWD)) | (F.col("held") <= FEW)
         found.append(staged(leaf_links(regions.join(sizes.filter(small).select("region"), "region"), sets, percent), "ngram_links"))
         large = sizes.filter(~small)
@@ -401,11 +403,13 @@ def region_links(regions: DataFrame, sets: DataFrame, links: DataFrame, percent:
             "ring", F.explode(F.array("ring", F.col("ring") - 1))).withColumn("part", F.xxhash64("region", "cell", "ring"))
         # a ring of one component is done
         mixed_ = parted.groupBy("part").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("part")
-        parted = staged(parted.join(mixed_, "part").select("region", "part", "row", "n", "label"), "ngram_rings")
-        left = staged(parted.select(*columns).distinct(), "ngram_left")
+        most = 2 * split.count()  # a cell's own ring and the next
+        parted = staged(packed(parted.join(mixed_, "part").select("region", "part", "row", "n", "label"), most), "ngram_rings")
+        left = staged(packed(parted.select(*columns).distinct(), most), "ngram_left")
         points_left = left.groupBy("region").agg(F.count(F.lit(1)).alias("held"), F.sum("n").alias("total"))
         made = parted.groupBy("region").agg(F.count(F.lit(1)).alias("made"))
-        stuck = staged(points_left.join(made, "region").filter(F.col("made") > SPREAD * F.col("held")), "ngram_stuck")
+        stuck = points_left.join(made, "region").filter(F.col("made") > SPREAD * F.col("held"))
+        stuck = staged(packed(stuck, most), "ngram_stuck")
         found.append(staged(block_links(left.join(stuck.select("region"), "region"), stuck, sets, percent), "ngram_links"))
         regions = parted.join(stuck.select("region"), "region", "left_anti").drop("region").withColumnRenamed("part", "region")
     return found
@@ -422,8 +426,8 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     rows = staged(points(docs, text, percent), "ngram_points")
-    same = staged(rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min(F.col("key").cast("long")).alias("least")),
-                  "ngram_same")
+    same = rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min(F.col("key").cast("long")).alias("least"))
+    same = staged(packed(same, rows.count()), "ngram_same")
     regions = staged(first_regions(rows, same.select("row"), percent), "ngram_regions")
     live = rows.select("row", "key", "raw").join(regions.select("row").distinct(), "row").select(
         "row", "raw", F.coalesce("key", F.lit("")).alias("key"))
@@ -437,7 +441,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key"),
                         F.md5(body.cast("binary")).alias("raw"), body.cast("binary").alias("data"))
     wanted = live.groupBy("key", "raw").agg(F.min("row").alias("row"))
-    wanted = staged(wanted, "ngram_wanted")
+    wanted = staged(packed(wanted, regions.count()), "ngram_wanted")
     texts = among(texts, wanted, "raw").join(wanted, ["key", "raw"])
     found = shipped(texts.select("row", "data")).mapInArrow(run, "row long, set array<long>")
     sets = staged(found.dropDuplicates(["row"]), "ngram_sets")
@@ -445,7 +449,7 @@ def join(docs: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFra
     links = staged(links, "ngram_links")
     labels = components(links)
     left = mixed(stars.filter(F.col("row") != F.col("pivot")).select("region", "row", "n"), labels)
-    more = region_links(gathered(left), sets, links, percent)
+    more = region_links(gathered(left, stars.count()), sets, links, percent)
     every = _union(spark, [links, *more])
     if any(not t.isEmpty() for t in more):
         labels = components(every)

@@ -397,6 +397,46 @@ def test_components_of_chains_rings_and_stars_match_union_find(spark):
     assert {r["node"]: r["label"] for r in got} == {x: root(x) for x in top} and len(got) == len(top)
 
 
+def test_small_tables_of_the_join_are_few_files_whatever_the_shuffle_partitions(spark, monkeypatch):
+    from shoplake.llm import neardup, ngram_join
+
+    parts, staged = {}, ngram_join.staged
+
+    def count(df, name):
+        out = staged(df, name)
+        parts.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "staged", count)
+    monkeypatch.setattr(ngram_join, "staged", count)
+    for name, value in (("LEAF", 1000), ("CROWD", 8)):  # as in the recursion's own test
+        monkeypatch.setattr(ngram_join, name, value)
+    docs = list(enumerate(_near_texts(random.Random(4), 2, 60)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    conf = {"spark.sql.shuffle.partitions": "13", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    held = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = _joined(ngram_join.join(df))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == brute_join(docs)
+    small = ["links", "labels", "ngram_same", "ngram_regions", "ngram_reach", "ngram_stars", "ngram_wanted", "ngram_mixed",
+             "ngram_sizes", "ngram_leaves", "ngram_rings", "ngram_left"]
+    assert set(small) <= set(parts) and all(max(parts[name]) <= 1 for name in small), parts
+
+
+def test_packed_tables_get_tasks_by_their_rows(spark, monkeypatch):
+    from shoplake.llm import common
+
+    monkeypatch.setattr(common, "PACK", 10)
+    df = spark.range(95).repartition(40)
+    assert common.packed(df, 95).rdd.getNumPartitions() == 10 and common.packed(df, 10_000).rdd.getNumPartitions() == 40
+    assert sorted(r["id"] for r in common.packed(df, 95).collect()) == list(range(95))
+
+
 def test_only_texts_that_share_a_bucket_are_shuffled_for_their_sets(spark, monkeypatch):
     from shoplake.llm import neardup
 
