@@ -127,6 +127,22 @@ def test_a_large_lake_is_built_in_shares_with_the_same_rows(spark, tmp_root, mon
     assert _rows(lake.partitions()) == _rows(want.select(plans._partition_name().alias("partition")).distinct())
 
 
+def test_lines_are_not_shuffled_to_join_few_stores(spark, tmp_root, monkeypatch):
+    d = _star(spark, f"{tmp_root}/star")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = tables.tx_raw(spark, d, order_key="_order")
+        plan = _final_plan(few)
+        assert set(re.findall(r"hashpartitioning\(([^#]+)#\d+L?, ", plan)) == {"l_partkey", "p_partkey", "l_orderkey", "o_orderkey"}
+        monkeypatch.setattr(tables, "FEW_STORES", 6)  # there are 7
+        many = tables.tx_raw(spark, d, order_key="_order")
+        assert "hashpartitioning(l_suppkey#" in _final_plan(many)
+        assert _rows(few) == _rows(many) == _rows(tables.tx_raw(spark, d).select("*", F.split("transaction_id", "-")[0].cast("long").alias("_order")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_shares_replace_what_is_there_and_add_up_their_counters(spark, tmp_root):
     at = dt.datetime(2026, 5, 1)
     rows = [(f"{o}-{k % 3}", at + dt.timedelta(days=k), -1.0 if (o + k) % 7 == 0 else 1.0 + k, "c", o) for o in range(30) for k in range(6)]
